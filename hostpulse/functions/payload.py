@@ -1,22 +1,36 @@
 """Building and reading the JSON payload inside an envelope."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import LOG, METRICS, PAYLOAD
 
 
-def decode(value: Column) -> Column:
-    """JSON text, or its bytes, to the payload struct.
+def decode(value: Column, *fields: str) -> Column:
+    """JSON text, or its bytes, to the payload struct, or to the given fields of it.
 
     Text that is no JSON object gives a struct of nulls, a mistyped field gives null for that field.
     """
-    return F.from_json(value.cast("string"), PAYLOAD)
+    schema = T.StructType([PAYLOAD[name] for name in fields]) if fields else PAYLOAD
+    return F.from_json(value.cast("string"), schema)
 
 
 def payload_type(value: Column) -> Column:
     """Only the routing key; the parser skips over all other fields."""
-    return F.from_json(value.cast("string"), "type STRING")["type"]
+    return decode(value, "type")["type"]
+
+
+def may_have_type(value: Column, *kinds: str) -> Column:
+    """False only where no parser could find one of `kinds` in the text; a cheap test before it.
+
+    Any JSON string that reads `kind` spells it out or uses a unicode escape.
+    """
+    text = value.cast("string")
+    return reduce(or_, (text.contains(part) for part in [*kinds, "\\u"]))
 
 
 def metrics_payload(

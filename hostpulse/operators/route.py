@@ -1,40 +1,60 @@
 """Splitting decoded envelopes into logs and metrics. Row-wise work only: nothing here shuffles."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import embedding, payload
 from ..functions.text import CLEANERS
-from ..functions.times import to_wall_time
+from ..functions.times import payload_instant, to_wall_time
 from ..schemas import ENRICHED_LOGS, LOG, METRICS
 
 
-def decoded(envelopes: DataFrame) -> DataFrame:
-    return envelopes.withColumn("payload", payload.decode(F.col("value")))
+LOG_FIELDS = ("timestamp", "type", "category", "log_raw")
+METRICS_FIELDS = ("timestamp", "type", "cpu_percent", "memory")
+
+
+def decoded(envelopes: DataFrame, *fields: str) -> DataFrame:
+    """Adds the payload struct with all or the given fields.
+
+    It is generated rather than projected: every filter on a field of a projected payload moves below
+    the projection and parses the text once more for itself. The optimizer does not see through that
+    which fields are used, so they are named.
+    """
+    return envelopes.withColumn(
+        "payload", F.explode(F.array(payload.decode(F.col("value"), *fields)))
+    )
 
 
-def of_type(envelopes: DataFrame, kind: str) -> DataFrame:
-    """Decoded rows of one type, case-sensitive. Rows without a readable type belong to none.
+def of_type(
+    envelopes: DataFrame, *kinds: str, fields: Sequence[str] = (), audit: str | None = None
+) -> DataFrame:
+    """Decoded rows of the given types, case-sensitive. Rows without a readable type belong to none.
 
-    The optimizer moves this filter below the decoding and parses only `type` for it, so the full
-    parse is paid for the kept rows alone.
+    Most other rows are gone before the parse. With `audit`, all rows are parsed and counted.
     """
-    return decoded(envelopes).where(F.col("payload.type") == kind)
+    if audit is None:
+        envelopes = envelopes.where(payload.may_have_type(F.col("value"), *kinds))
+        rows = decoded(envelopes, *fields)
+    else:
+        rows = counted(decoded(envelopes, *fields), audit)
+    return rows.where(F.col("payload.type").isin(*kinds))
 
 
-def observed(envelopes: DataFrame, name: str) -> DataFrame:
-    """Counts messages by outcome while they pass: a dropped malformed message leaves a trace.
+def counted(rows: DataFrame, name: str) -> DataFrame:
+    """Counts messages by outcome as they pass: a malformed one leaves a trace though it is dropped.
 
-    The counts are in `StreamingQueryProgress.observedMetrics[name]`, or in a listener.
+    The counts are in `StreamingQueryProgress.observedMetrics[name]`, or in an `Observation`.
     """
-    kind = payload.payload_type(F.col("value"))
-    return envelopes.withColumn("_type", kind).observe(
+    kind = F.col("payload.type")
+    return rows.observe(
         name,
         F.count(F.lit(1)).alias("messages"),
-        F.count_if(F.col("_type") == LOG).alias("logs"),
-        F.count_if(F.col("_type") == METRICS).alias("metrics"),
-        F.count_if(F.col("_type").isNull()).alias("unreadable"),
-    ).drop("_type")
+        F.count_if(kind == LOG).alias("logs"),
+        F.count_if(kind == METRICS).alias("metrics"),
+        F.count_if(kind.isNull()).alias("unreadable"),
+    )
 
 
 def broker_column(zone: str | None) -> Column:
@@ -42,9 +62,11 @@ def broker_column(zone: str | None) -> Column:
     return time if zone is None else to_wall_time(time, zone)
 
 
-def logs(envelopes: DataFrame, clean: str = "full", zone: str | None = None) -> DataFrame:
+def logs(
+    envelopes: DataFrame, clean: str = "full", zone: str | None = None, audit: str | None = None
+) -> DataFrame:
     """Log messages with cleaned text."""
-    return of_type(envelopes, LOG).select(
+    return of_type(envelopes, LOG, fields=LOG_FIELDS, audit=audit).select(
         broker_column(zone).alias("eventhub_timestamp"),
         "topic",
         F.col("payload.timestamp").alias("timestamp"),
@@ -63,9 +85,11 @@ def enriched(
     return log_rows.withColumn("embedding_vector", vector).select(*ENRICHED_LOGS)
 
 
-def metrics(envelopes: DataFrame, zone: str | None = None) -> DataFrame:
+def metrics(
+    envelopes: DataFrame, zone: str | None = None, audit: str | None = None
+) -> DataFrame:
     """Metrics messages with the memory figures as columns."""
-    return of_type(envelopes, METRICS).select(
+    return of_type(envelopes, METRICS, fields=METRICS_FIELDS, audit=audit).select(
         broker_column(zone).alias("eventhub_timestamp"),
         "topic",
         F.col("payload.timestamp").alias("timestamp"),
@@ -76,17 +100,28 @@ def metrics(envelopes: DataFrame, zone: str | None = None) -> DataFrame:
     )
 
 
-def samples(envelopes: DataFrame) -> DataFrame:
-    """Type, category, instants and figures of every message with a known type, for the summaries.
-
-    One pass serves both types, and the broker time stays in UTC.
-    """
-    return decoded(envelopes).where(F.col("payload.type").isin(LOG, METRICS)).select(
-        F.col("payload.type").alias("type"),
+def log_samples(envelopes: DataFrame) -> DataFrame:
+    """Time and category of logs, for the summaries."""
+    return of_type(envelopes, LOG, fields=("timestamp", "type", "category")).select(
+        payload_instant(F.col("payload.timestamp")).alias("at"),
         F.col("payload.category").alias("category"),
-        "broker_time",
-        F.col("payload.timestamp").alias("timestamp"),
+    )
+
+
+def metric_samples(envelopes: DataFrame) -> DataFrame:
+    """Time and figures of metrics, for the summaries."""
+    return of_type(envelopes, METRICS, fields=METRICS_FIELDS).select(
+        payload_instant(F.col("payload.timestamp")).alias("at"),
         F.col("payload.cpu_percent").alias("cpu_percent"),
         F.col("payload.memory.available").alias("available_memory"),
         F.col("payload.memory.percent").alias("percent_memory"),
     )
+
+
+def arrivals(envelopes: DataFrame) -> DataFrame:
+    """Type, sample time and unshifted broker time of all messages, in one pass."""
+    return of_type(envelopes, LOG, METRICS, fields=("timestamp", "type")).select(
+        F.col("payload.type").alias("type"),
+        F.col("payload.timestamp").alias("timestamp"),
+        "broker_time",
+    )

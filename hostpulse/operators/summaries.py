@@ -12,19 +12,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.times import lag_micros, payload_instant
-from ..schemas import LOG, METRICS
+from ..functions.times import lag_micros
 
 MILLIONTHS = 1_000_000
 
 
-def timed(samples: DataFrame, kind: str) -> DataFrame:
-    """Samples of one type with the payload time as `at`."""
-    return samples.where(F.col("type") == kind).withColumn(
-        "at", payload_instant(F.col("timestamp"))
-    )
-
-
 def _millionths(value: Column) -> Column:
     """Whole millionths: their sum does not depend on the order in which tasks deliver it."""
     return F.round(value * MILLIONTHS).try_cast("bigint")
@@ -75,14 +67,6 @@ def streamed(rows: DataFrame, delay: str, time: str = "at") -> DataFrame:
     return rows.withWatermark(time, delay)
 
 
-def metric_samples(samples: DataFrame) -> DataFrame:
-    return timed(samples, METRICS)
-
-
-def log_samples(samples: DataFrame) -> DataFrame:
-    return timed(samples, LOG)
-
-
 def percentiles(
     rows: DataFrame, by: list[str], value: str, points: Sequence[str], bucket: int = 1_000_000
 ) -> DataFrame:
@@ -95,10 +79,12 @@ def percentiles(
     taken, without interpolation.
     """
     counted = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
+        rows.groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", F.floor(F.col(value) / bucket))
+        # The join below asks for this on its side; asked here, both uses of the counts are the same
+        # plan and the input is read once.
+        .where(F.col("_bucket").isNotNull() & F.col(value).isNotNull())
     )
     in_order = Window.partitionBy(*by).orderBy("_bucket")
     group = Window.partitionBy(*by)
@@ -166,7 +152,9 @@ def column_of(point: str) -> str:
 
 
 def ingest_lag(
-    samples: DataFrame, by: Sequence[str] = ("type",), points: Sequence[str] = ("0.5", "0.95", "0.99")
+    samples: DataFrame,
+    by: Sequence[str] = ("type",),
+    points: Sequence[str] = ("0.5", "0.95", "0.99"),
 ) -> DataFrame:
     """Distribution of the time, in microseconds, between taking a sample and its arrival."""
     rows = samples.select(

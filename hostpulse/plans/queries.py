@@ -150,26 +150,22 @@ def assign_topic(spark: SparkSession, folder: str) -> DataFrame:
     return collect.addressed(rows)
 
 
-def _samples(spark: SparkSession, folder: str) -> DataFrame:
-    return route.samples(_envelopes(spark, folder))
-
-
 def _zone_free_windows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("window_start", zoneless(F.col("window_start")))
 
 
 def metrics_5s(spark: SparkSession, folder: str) -> DataFrame:
-    rows = summaries.metric_samples(_samples(spark, folder))
+    rows = route.metric_samples(_envelopes(spark, folder))
     return _zone_free_windows(summaries.metrics_by_window(rows))
 
 
 def log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
-    rows = summaries.log_samples(_samples(spark, folder))
+    rows = route.log_samples(_envelopes(spark, folder))
     return _zone_free_windows(summaries.logs_by_window(rows))
 
 
 def ingest_lag(spark: SparkSession, folder: str) -> DataFrame:
-    return summaries.ingest_lag(_samples(spark, folder))
+    return summaries.ingest_lag(route.arrivals(_envelopes(spark, folder)))
 
 
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +187,7 @@ def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
     One question per event type: the user with the highest number among its events.
     """
     rows = _envelopes(spark, folder)
-    found = route.of_type(rows, LOG).select(
+    found = route.of_type(rows, LOG, fields=route.LOG_FIELDS).select(
         F.col("offset").alias("event_id"),
         embedding.embed(text.strip_noise(F.col("payload.log_raw"))).alias("embedding"),
     )
@@ -240,17 +236,15 @@ def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def stream_metrics_5s(spark: SparkSession, folder: str) -> DataFrame:
     """The windows that are closed when the input ends."""
     config = _file_run(spark, folder, "stream-metrics-5s")
-    samples = route.samples(stream_envelopes(spark, config, "metrics"))
-    rows = summaries.streamed(summaries.metric_samples(samples), WINDOW_DELAY)
-    windows = summaries.metrics_by_window(rows)
+    samples = route.metric_samples(stream_envelopes(spark, config, "metrics"))
+    windows = summaries.metrics_by_window(summaries.streamed(samples, WINDOW_DELAY))
     return _zone_free_windows(_stored(spark, windows, config, "metrics_5s"))
 
 
 def stream_log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
     config = _file_run(spark, folder, "stream-log-counts-5s")
-    samples = route.samples(stream_envelopes(spark, config, "logs"))
-    rows = summaries.streamed(summaries.log_samples(samples), WINDOW_DELAY)
-    windows = summaries.logs_by_window(rows)
+    samples = route.log_samples(stream_envelopes(spark, config, "logs"))
+    windows = summaries.logs_by_window(summaries.streamed(samples, WINDOW_DELAY))
     return _zone_free_windows(_stored(spark, windows, config, "log_counts_5s"))
 
 

@@ -39,13 +39,14 @@ class Sink:
 
 
 def logs_frame(spark: SparkSession, config: Config, open_encoder=HashingEncoder) -> DataFrame:
-    envelopes = route.observed(stream_envelopes(spark, config, "logs"), "logs_input")
-    return route.enriched(route.logs(envelopes, config.clean, config.broker_zone), open_encoder)
+    envelopes = stream_envelopes(spark, config, "logs")
+    rows = route.logs(envelopes, config.clean, config.broker_zone, audit="logs_input")
+    return route.enriched(rows, open_encoder)
 
 
 def metrics_frame(spark: SparkSession, config: Config) -> DataFrame:
-    envelopes = route.observed(stream_envelopes(spark, config, "metrics"), "metrics_input")
-    return route.metrics(envelopes, config.broker_zone)
+    envelopes = stream_envelopes(spark, config, "metrics")
+    return route.metrics(envelopes, config.broker_zone, audit="metrics_input")
 
 
 def start(

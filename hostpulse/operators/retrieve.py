@@ -144,18 +144,20 @@ def _in_cells(
     # Twice as many blocks as would just fit, since a hash does not fill them evenly.
     blocks = 2 * math.ceil(usable.count() / most)
     stripes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stripe = F.pmod(F.xxhash64(*id_cols), F.lit(stripes))
-    block = F.pmod(F.xxhash64(query_id), F.lit(blocks))
+
+    def each(count: int):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
+
     query_rows = usable.select(
-        F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).cast("bigint").alias("_stripe"),
-        block.cast("bigint").alias("_block"),
+        each(stripes).alias("_stripe"),
+        F.pmod(F.xxhash64(query_id, query_vector), F.lit(blocks)).alias("_block"),
         F.lit(0).alias("_kind"),
         F.col(query_id).alias("_query"),
         F.col(query_vector).cast("array<double>").alias("_vector"),
     )
     vector_rows = rows.select(
-        stripe.cast("bigint").alias("_stripe"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("_block"),
+        F.pmod(F.xxhash64(*id_cols), F.lit(stripes)).alias("_stripe"),
+        each(blocks).alias("_block"),
         F.lit(1).alias("_kind"),
         F.col(vector).cast("array<double>").alias("_vector"),
         *id_cols,

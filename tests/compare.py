@@ -38,7 +38,7 @@ def _bag(table) -> list[tuple]:
 def difference(frame, sql: str, folder: str) -> str | None:
     """None if both agree, else what differs."""
     ours = frame.toArrow()
-    theirs = database(folder).execute(sql).to_arrow_table()
+    theirs = database(folder).sql(sql).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(ours.column_names)} != {sorted(theirs.column_names)}"
     if ours.num_rows != theirs.num_rows:

@@ -227,6 +227,10 @@ scored AS (
 SELECT query_id, event_id, similarity,
        CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, event_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 10""",
+        "envelope_files": f"""WITH {_MESSAGES}
+SELECT 'system_data' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition", event_id,
+       broker AS broker_time, type
+FROM messages""",
         "stream_logs": f"""WITH {_MESSAGES}, {_LOGS},
 {_VECTORS.format(name="vectors", keys="event_id", text="log_raw", source="logs")}
 SELECT eventhub_timestamp, topic, "timestamp", category, log_raw, dim, round(weight, 6) AS weight

@@ -1,6 +1,7 @@
 """Runs the streams: `python -m hostpulse --streams logs metrics --mode files --volume-root DIR`."""
 
 import argparse
+import sys
 from dataclasses import replace
 
 from .config import Config, Target
@@ -49,8 +50,11 @@ def main(arguments: list[str] | None = None) -> None:
     if "metrics" in given.streams:
         queries.append(start_metrics(spark, config, sink_for(given, config, "parsed_metrics")))
     with stopping(*queries):
-        for query in queries:
-            wait(query, given.wait)
+        try:
+            for query in queries:
+                wait(query, given.wait)
+        except KeyboardInterrupt:
+            print("stopped", file=sys.stderr)
 
 
 if __name__ == "__main__":

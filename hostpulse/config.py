@@ -38,6 +38,8 @@ class StreamLimits:
     starting_offsets: str
     max_offsets: int | None
     max_files: int | None = 10
+    # Instead of `max_files`; the better unit when file sizes differ.
+    max_bytes: int | None = None
     request_timeout_ms: int | None = None
     session_timeout_ms: int | None = None
     # Splits a topic partition over several tasks; the embedding call is what needs the width.
@@ -90,12 +92,17 @@ class Config:
     def limits(self, stream: StreamName) -> StreamLimits:
         return self.logs if stream == "logs" else self.metrics
 
-    def without_limits(self) -> "Config":
-        """For a large backlog: no cap per batch, so that one batch is as wide as the cluster."""
+    def for_backlog(self, max_bytes: int | None = None) -> "Config":
+        """For a large backlog: batches as wide as the cluster, where the usual limits would cut it
+        into a great many small ones.
+
+        A limit in bytes bounds what a failed batch has to repeat. A stream with a watermark must do
+        without it: input that is not in the order of time would be late in the batches after the
+        first.
+        """
+        wide = {"max_offsets": None, "max_files": None, "max_bytes": max_bytes}
         return replace(
-            self,
-            logs=replace(self.logs, max_offsets=None, max_files=None),
-            metrics=replace(self.metrics, max_offsets=None, max_files=None),
+            self, logs=replace(self.logs, **wide), metrics=replace(self.metrics, **wide)
         )
 
     @classmethod

@@ -23,10 +23,16 @@ TOPIC_OF = {METRICS: "system-metrics", LOG: "system-logs"}
 def useful_lines(
     lines: DataFrame, column: str = "line", keywords: tuple[str, ...] = LOG_KEYWORDS
 ) -> DataFrame:
-    """Trimmed lines that hold at least one of the quoted keywords."""
-    return lines.withColumn(column, strip_blanks(F.col(column))).where(
-        has_keyword(F.col(column), keywords)
-    )
+    """Trimmed lines that hold at least one of the quoted keywords.
+
+    The untrimmed line is tested, so that lines without a keyword are never trimmed. Only a keyword
+    with a blank at its end could be lost by trimming.
+    """
+    line = F.col(column)
+    trimmed = lines.where(has_keyword(line, keywords)).withColumn(column, strip_blanks(line))
+    if any(word != word.strip() for word in keywords):
+        return trimmed.where(has_keyword(line, keywords))
+    return trimmed
 
 
 def by_category(

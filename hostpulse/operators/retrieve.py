@@ -46,8 +46,11 @@ class _Best:
         for start in range(0, len(self.queries), step):
             scores = np.round(self.queries[start : start + step] @ units.T, self.digits) + 0.0
             scores[np.isnan(scores)] = -np.inf
-            for offset, row in enumerate(scores):
-                self._offer(start + offset, row, ties)
+            top = scores.max(axis=1, initial=-np.inf)
+            # Once a query has k good rows, most batches have nothing better for it.
+            promising = (top >= self.floor[start : start + step]) & (top > -np.inf)
+            for offset in np.flatnonzero(promising).tolist():
+                self._offer(start + offset, scores[offset], ties)
 
     def _offer(self, query: int, scores: np.ndarray, ties: pa.Table) -> None:
         floor = self.floor[query]

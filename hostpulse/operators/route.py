@@ -16,15 +16,19 @@ METRICS_FIELDS = ("timestamp", "type", "cpu_percent", "memory")
 
 
 def decoded(envelopes: DataFrame, *fields: str) -> DataFrame:
-    """Adds the payload struct with all or the given fields.
+    """Adds the payload struct with all or the given fields."""
+    return envelopes.withColumn("payload", payload.decode(F.col("value"), *fields))
 
-    It is generated rather than projected: every filter on a field of a projected payload moves below
-    the projection and parses the text once more for itself. The optimizer does not see through that
-    which fields are used, so they are named.
+
+def decoded_once(envelopes: DataFrame, *fields: str) -> DataFrame:
+    """The same for use under filters.
+
+    The payload is generated rather than projected: every filter on a field of a projected payload
+    moves below the projection and parses the text once more for itself. The optimizer does not see
+    through that which fields are used, so they are named.
     """
-    return envelopes.withColumn(
-        "payload", F.explode(F.array(payload.decode(F.col("value"), *fields)))
-    )
+    value = payload.decode(F.col("value"), *fields)
+    return envelopes.withColumn("payload", F.explode(F.array(value)))
 
 
 def of_type(
@@ -36,9 +40,9 @@ def of_type(
     """
     if audit is None:
         envelopes = envelopes.where(payload.may_have_type(F.col("value"), *kinds))
-        rows = decoded(envelopes, *fields)
+        rows = decoded_once(envelopes, *fields)
     else:
-        rows = counted(decoded(envelopes, *fields), audit)
+        rows = counted(decoded_once(envelopes, *fields), audit)
     return rows.where(F.col("payload.type").isin(*kinds))
 
 

@@ -11,7 +11,7 @@ from ..operators import collect, retrieve, route, summaries
 from ..schemas import LOG
 from ..session import shared_dir
 from ..sinks.files import write_envelopes
-from ..sources import stream_envelopes
+from ..sources import read_files, stream_envelopes
 from ..streaming import streams
 from . import tables
 from .tables import table, zoneless
@@ -19,6 +19,7 @@ from .tables import table, zoneless
 NEIGHBOURS = 10
 DIMS = 64
 WINDOW_DELAY = "1 hour"
+BATCH_BYTES = 1 << 40
 
 
 def _utc(spark: SparkSession) -> None:
@@ -170,7 +171,7 @@ def ingest_lag(spark: SparkSession, folder: str) -> DataFrame:
 
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     """For each label the vectors nearest to the mean of all vectors with that label."""
-    vectors = table(spark, folder, "embeddings")
+    vectors = table(spark, folder, "embeddings").where(F.size("embedding") == DIMS)
     # One row of sums per label and task goes into the shuffle; long form would shuffle each number.
     means = vectors.groupBy("label").agg(
         F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(DIMS)]).alias(
@@ -205,47 +206,70 @@ def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
     return retrieve.nearest(found, questions, NEIGHBOURS, DIMS, id_cols=["event_id"])
 
 
-def _file_run(spark: SparkSession, folder: str, label: str) -> Config:
-    """A configuration whose source folder holds all events as JSON envelopes."""
-    config = Config(
-        mode="files", volume_root=shared_dir(spark, label), broker_zone=None
-    ).without_limits()
-    write_envelopes(tables.file_envelopes(_events(spark, folder)), config.base_path)
-    return config
+# Folder with the events of a table as JSON envelopes, by application and table folder.
+_written: dict[tuple[str, str], str] = {}
 
 
-def _stored(spark: SparkSession, rows: DataFrame, config: Config, name: str) -> DataFrame:
-    """Drains a stream into a Parquet folder and reads that back."""
-    path = f"{config.volume_root}/out/{name}"
-    streams.drain(rows, streams.Sink(path=path), config.checkpoint(name))
-    return spark.read.schema(rows.schema).parquet(path)
+def _file_run(spark: SparkSession, folder: str) -> Config:
+    """A configuration whose source folder holds all events as JSON envelopes.
+
+    The streams of one application share the files, as the two streams of a deployment do.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _written:
+        config = Config(mode="files", volume_root=shared_dir(spark, "envelopes"))
+        write_envelopes(tables.file_envelopes(_events(spark, folder)), config.base_path)
+        _written[key] = config.volume_root
+    _utc(spark)
+    return Config(mode="files", volume_root=_written[key], broker_zone=None)
+
+
+def _stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Drains a stream into a Parquet folder and reads that back. Each run has its own checkpoint."""
+    run = shared_dir(spark, name)
+    streams.drain(rows, streams.Sink(path=f"{run}/out"), f"{run}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{run}/out")
+
+
+def envelope_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All events written as JSON-lines files and read back through the file source."""
+    path = shared_dir(spark, "envelope-files")
+    write_envelopes(tables.file_envelopes(_events(spark, folder)), path)
+    rows = read_files(spark, path)
+    return rows.select(
+        "topic",
+        "partition",
+        F.col("offset").alias("event_id"),
+        zoneless(F.col("broker_time")).alias("broker_time"),
+        payload.payload_type(F.col("value")).alias("type"),
+    )
 
 
 def stream_logs(spark: SparkSession, folder: str) -> DataFrame:
     """JSON files, decoding, routing, cleaning, embedding, Parquet: the whole logs stream."""
-    config = _file_run(spark, folder, "stream-logs")
-    stored = _stored(spark, streams.logs_frame(spark, config), config, "logs")
+    config = _file_run(spark, folder).for_backlog(BATCH_BYTES)
+    stored = _stored(spark, streams.logs_frame(spark, config), "stream-logs")
     return _weights(_zone_free(stored), "embedding_vector")
 
 
 def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    config = _file_run(spark, folder, "stream-metrics")
-    return _zone_free(_stored(spark, streams.metrics_frame(spark, config), config, "metrics"))
+    config = _file_run(spark, folder).for_backlog(BATCH_BYTES)
+    return _zone_free(_stored(spark, streams.metrics_frame(spark, config), "stream-metrics"))
 
 
 def stream_metrics_5s(spark: SparkSession, folder: str) -> DataFrame:
     """The windows that are closed when the input ends."""
-    config = _file_run(spark, folder, "stream-metrics-5s")
+    config = _file_run(spark, folder).for_backlog()
     samples = route.metric_samples(stream_envelopes(spark, config, "metrics"))
     windows = summaries.metrics_by_window(summaries.streamed(samples, WINDOW_DELAY))
-    return _zone_free_windows(_stored(spark, windows, config, "metrics_5s"))
+    return _zone_free_windows(_stored(spark, windows, "stream-metrics-5s"))
 
 
 def stream_log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
-    config = _file_run(spark, folder, "stream-log-counts-5s")
+    config = _file_run(spark, folder).for_backlog()
     samples = route.log_samples(stream_envelopes(spark, config, "logs"))
     windows = summaries.logs_by_window(summaries.streamed(samples, WINDOW_DELAY))
-    return _zone_free_windows(_stored(spark, windows, config, "log_counts_5s"))
+    return _zone_free_windows(_stored(spark, windows, "stream-log-counts-5s"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -268,6 +292,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_lag,
         vector_topk,
         retrieve_logs,
+        envelope_files,
         stream_logs,
         stream_metrics,
         stream_metrics_5s,

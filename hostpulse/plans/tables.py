@@ -21,8 +21,10 @@ def zoneless(time: Column) -> Column:
 
 def messages(events: DataFrame) -> DataFrame:
     """One payload per event, its fields still as columns: errors are logs, the rest are metrics."""
-    number = F.get_json_object("props", "$.k").cast("bigint")
-    taken = F.col("ts").cast("timestamp")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint")).withColumn(
+        "taken", F.unix_micros(F.col("ts").cast("timestamp"))
+    )
+    number, taken = F.col("k"), F.col("taken")
     is_log = F.col("event_type") == "error"
     user = F.col("user_id")
     line = F.concat(
@@ -31,10 +33,8 @@ def messages(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.when(is_log, F.lit(LOG)).otherwise(F.lit(METRICS)).alias("type"),
-        (F.unix_micros(taken) / F.lit(1e6)).alias("timestamp"),
-        F.timestamp_micros(F.unix_micros(taken) + F.col("event_id") % 997 * 1000).alias(
-            "broker_time"
-        ),
+        (taken / F.lit(1e6)).alias("timestamp"),
+        F.timestamp_micros(taken + F.col("event_id") % 997 * 1000).alias("broker_time"),
         F.when(~is_log, F.col("value")).alias("cpu_percent"),
         F.when(~is_log, F.lit(MEMORY_TOTAL)).alias("total_memory"),
         F.when(~is_log, user * 1000000).alias("available_memory"),

@@ -15,5 +15,6 @@ __all__ = ["read_files", "stream_envelopes", "stream_files", "stream_kafka"]
 def stream_envelopes(spark: SparkSession, config: Config, stream: StreamName) -> DataFrame:
     """The streaming envelopes of the configured source. What follows does not depend on it."""
     if config.mode == "files":
-        return stream_files(spark, config.base_path, config.limits(stream).max_files)
+        limits = config.limits(stream)
+        return stream_files(spark, config.base_path, limits.max_files, limits.max_bytes)
     return stream_kafka(spark, config, stream)

@@ -39,7 +39,7 @@ def test_metrics_options(config):
     assert options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "10000"
     assert "kafka.request.timeout.ms" not in options
-    lenient = Config(topics="a,b", fail_on_data_loss=False).without_limits()
+    lenient = Config(topics="a,b", fail_on_data_loss=False).for_backlog()
     options = read_options(lenient, "metrics")
     assert options["failOnDataLoss"] == "false" and options["subscribe"] == "a,b"
     assert "maxOffsetsPerTrigger" not in options

@@ -1,6 +1,7 @@
 """Text cleaning, broker time, collection rules."""
 
 import datetime as dt
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -32,6 +33,17 @@ def test_golden_cleaning(spark):
     assert [tuple(row) for row in got] == [(prefix, full) for _, prefix, full in CLEANED]
 
 
+pieces = st.sampled_from(['"eventMessage"', '"', "eventMessage", ":", " ", "\t", ",", '"eventMessage" : "', "x"])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(pieces, max_size=12).map("".join), min_size=1, max_size=30))
+def test_full_cleaning_equals_one_pattern(spark, raws):
+    rows = spark.createDataFrame([(raw,) for raw in raws], "raw string")
+    got = [row[0] for row in rows.select(text.strip_noise(F.col("raw"))).collect()]
+    assert got == [re.sub(r'"eventMessage"\s*:\s*|["\,]', "", raw) for raw in raws]
+
+
 strings = st.lists(st.text(st.characters(exclude_categories=("Cs",))), min_size=1, max_size=30)
 
 
@@ -67,6 +79,8 @@ def test_useful_lines(spark):
     assert got == ['"eventMessage" : "a"', '"category"', '"timestamp"']
     own = collect.useful_lines(rows, keywords=("Timestamp",))
     assert [row["line"] for row in own.collect()] == ['"Timestamp"']
+    # The blank behind the first line is gone when the line is tested.
+    assert collect.useful_lines(rows, keywords=('"a" ',)).count() == 0
 
 
 def test_categories(spark):

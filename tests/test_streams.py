@@ -63,11 +63,18 @@ def test_file_limit_and_hidden_folders(spark, envelopes, config, tmp_path):
     query = drain(raw, Sink(path=f"{tmp_path}/raw"), config.checkpoint("raw"))
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [100, 100, 50]
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 250
+    sizes = [path.stat().st_size for path in Path(config.base_path).glob("part-*.json")]
+    half = config.for_backlog(sum(sizes) // 2)
+    query = drain(
+        stream_envelopes(spark, half, "logs"), Sink(path=f"{tmp_path}/b"), half.checkpoint("b")
+    )
+    batches = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert sum(batches) == 250 and len(batches) in (2, 3)
 
 
 def test_restart_repeats_and_loses_nothing(spark, envelopes, config, tmp_path):
     sink = Sink(path=f"{tmp_path}/m")
-    wide = config.without_limits()
+    wide = config.for_backlog()
     first, second = envelopes.randomSplit([0.5, 0.5], seed=1)
     write_envelopes(first, config.base_path)
     finish(start_metrics(spark, wide, sink))
@@ -111,7 +118,7 @@ def test_waiting_is_bounded(spark, envelopes, config, tmp_path):
 
 def test_a_failure_reaches_the_caller_and_a_restart_goes_on(spark, envelopes, config, tmp_path):
     write_envelopes(envelopes, config.base_path)
-    config = config.without_limits()
+    config = config.for_backlog()
     sink = Sink(path=f"{tmp_path}/l")
 
     def broken():

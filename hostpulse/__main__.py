@@ -1,18 +1,30 @@
 """Runs the streams: `python -m hostpulse --streams logs metrics --mode files --volume-root DIR`."""
 
 import argparse
+import os
 import sys
 from dataclasses import replace
 
-from .config import Config, Target
+from pyspark.sql import SparkSession
+
+from .config import Config, Secret, Target
 from .session import session
-from .streaming.streams import Sink, start_logs, start_metrics, stopping, wait
+from .sinks.jdbc import Database, jdbc_writer
+from .streaming import streams
+
+# Stream, what starts it, and the table it fills.
+STREAMS = {
+    "logs": (streams.start_logs, "enriched_logs"),
+    "metrics": (streams.start_metrics, "parsed_metrics"),
+    "logs-5s": (streams.start_log_windows, "log_counts_5s"),
+    "metrics-5s": (streams.start_metric_windows, "metrics_5s"),
+}
 
 
 def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Config]:
     defaults = Config.from_env()
     parser = argparse.ArgumentParser(prog="hostpulse")
-    parser.add_argument("--streams", nargs="+", choices=["logs", "metrics"], default=["logs", "metrics"])
+    parser.add_argument("--streams", nargs="+", choices=[*STREAMS], default=["logs", "metrics"])
     parser.add_argument("--mode", choices=["kafka", "files"], default=defaults.mode)
     parser.add_argument("--environment", default=defaults.environment)
     parser.add_argument("--volume-root", default=defaults.volume_root)
@@ -21,6 +33,11 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument("--catalog", default=defaults.target.catalog)
     parser.add_argument("--schema", default=defaults.target.schema)
     parser.add_argument("--output", help="folder for Parquet output; default: tables")
+    parser.add_argument("--jdbc-url", help="write to this database instead of tables")
+    parser.add_argument("--jdbc-user")
+    parser.add_argument(
+        "--run-name", default="run", help="change it for the database after deleting a checkpoint"
+    )
     parser.add_argument("--wait", type=float, help="seconds to wait; default: until the streams end")
     given = parser.parse_args(arguments)
     config = replace(
@@ -35,24 +52,37 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     return given, config
 
 
-def sink_for(given: argparse.Namespace, config: Config, table: str) -> Sink:
+def sink_for(
+    given: argparse.Namespace, config: Config, table: str, spark: SparkSession | None = None
+) -> streams.Sink:
     if given.output:
-        return Sink(path=f"{given.output}/{table}")
-    return Sink(table=config.target.table(table))
+        return streams.Sink(path=f"{given.output}/{table}")
+    if given.jdbc_url:
+        # The URL names the database, so the table needs only its schema.
+        name = Target("", config.target.schema).table(table)
+        password = (
+            Secret.from_env("HOSTPULSE_JDBC_PASSWORD")
+            if "HOSTPULSE_JDBC_PASSWORD" in os.environ
+            else None
+        )
+        database = Database(given.jdbc_url, user=given.jdbc_user, password=password)
+        query = f"{given.run_name}_{config.mode}_{table}"
+        folder = f"{config.base_path}/_staging"
+        return streams.Sink(batch=jdbc_writer(spark, database, query, name, folder))
+    return streams.Sink(table=config.target.table(table))
 
 
 def main(arguments: list[str] | None = None) -> None:
     given, config = parse(arguments)
     spark = session()
     queries = []
-    if "logs" in given.streams:
-        queries.append(start_logs(spark, config, sink_for(given, config, "enriched_logs")))
-    if "metrics" in given.streams:
-        queries.append(start_metrics(spark, config, sink_for(given, config, "parsed_metrics")))
-    with stopping(*queries):
+    for name in given.streams:
+        start, table = STREAMS[name]
+        queries.append(start(spark, config, sink_for(given, config, table, spark)))
+    with streams.stopping(*queries):
         try:
             for query in queries:
-                wait(query, given.wait)
+                streams.wait(query, given.wait)
         except KeyboardInterrupt:
             print("stopped", file=sys.stderr)
 

@@ -11,7 +11,7 @@ from ..operators import collect, retrieve, route, summaries
 from ..schemas import LOG
 from ..session import shared_dir
 from ..sinks.files import write_envelopes
-from ..sources import read_files, stream_envelopes
+from ..sources import read_files
 from ..streaming import streams
 from . import tables
 from .tables import table, zoneless
@@ -260,15 +260,13 @@ def stream_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def stream_metrics_5s(spark: SparkSession, folder: str) -> DataFrame:
     """The windows that are closed when the input ends."""
     config = _file_run(spark, folder).for_backlog()
-    samples = route.metric_samples(stream_envelopes(spark, config, "metrics"))
-    windows = summaries.metrics_by_window(summaries.streamed(samples, WINDOW_DELAY))
+    windows = streams.metric_windows_frame(spark, config, WINDOW_DELAY)
     return _zone_free_windows(_stored(spark, windows, "stream-metrics-5s"))
 
 
 def stream_log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
     config = _file_run(spark, folder).for_backlog()
-    samples = route.log_samples(stream_envelopes(spark, config, "logs"))
-    windows = summaries.logs_by_window(summaries.streamed(samples, WINDOW_DELAY))
+    windows = streams.log_windows_frame(spark, config, WINDOW_DELAY)
     return _zone_free_windows(_stored(spark, windows, "stream-log-counts-5s"))
 
 

@@ -9,8 +9,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # An Arrow batch of whole log texts has to fit a Python worker's memory.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
     # Window state lives on disk and goes to the checkpoint as change logs, not as heap maps.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -112,7 +112,8 @@ def publish_statements(
         (f"DELETE FROM {table} WHERE query_name = ? AND batch_id = ?", (query_name, batch_id)),
         (
             f"INSERT INTO {table} ({names}, query_name, batch_id) "
-            f"SELECT {names}, ?, ? FROM {staging} WHERE attempt = ?",
+            f"SELECT {names}, CAST(? AS VARCHAR(255)), CAST(? AS BIGINT) "
+            f"FROM {staging} WHERE attempt = ?",
             (query_name, batch_id, attempt),
         ),
         (f"DELETE FROM {staging} WHERE attempt = ?", (attempt,)),
@@ -125,7 +126,7 @@ def jdbc_transaction(spark: SparkSession, database: Database) -> Transaction:
     def run(count: Statement, check: Callable[[tuple], None], rest: list[Statement]) -> None:
         jvm = spark._jvm
         loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-        driver = loader.loadClass(database.driver).getDeclaredConstructor().newInstance()
+        driver = loader.loadClass(database.driver).newInstance()
         properties = jvm.java.util.Properties()
         for key, value in database.properties().items():
             properties.setProperty(key, value)

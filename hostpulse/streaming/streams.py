@@ -11,13 +11,14 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..config import Config
 from ..functions.embedding import HashingEncoder
-from ..operators import route
+from ..operators import route, summaries
 from ..sources import stream_envelopes
 
 log = logging.getLogger(__name__)
 
 LOGS_TRIGGER = {"processingTime": "100 milliseconds"}
 DRAIN = {"availableNow": True}
+WINDOWS_TRIGGER = {"processingTime": "5 seconds"}
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,18 @@ def metrics_frame(spark: SparkSession, config: Config) -> DataFrame:
     return route.metrics(envelopes, config.broker_zone, audit="metrics_input")
 
 
+def metric_windows_frame(
+    spark: SparkSession, config: Config, delay: str = "10 seconds"
+) -> DataFrame:
+    samples = route.metric_samples(stream_envelopes(spark, config, "metrics"))
+    return summaries.metrics_by_window(summaries.streamed(samples, delay))
+
+
+def log_windows_frame(spark: SparkSession, config: Config, delay: str = "10 seconds") -> DataFrame:
+    samples = route.log_samples(stream_envelopes(spark, config, "logs"))
+    return summaries.logs_by_window(summaries.streamed(samples, delay))
+
+
 def start(
     rows: DataFrame, sink: Sink, checkpoint: str, trigger: dict, name: str | None = None
 ) -> StreamingQuery:
@@ -77,6 +90,22 @@ def start_metrics(
     return start(metrics_frame(spark, config), sink, config.checkpoint("metrics"), trigger)
 
 
+def start_metric_windows(
+    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER
+) -> StreamingQuery:
+    """CPU and memory per five seconds, each window written once it is closed."""
+    rows = metric_windows_frame(spark, config)
+    return start(rows, sink, config.checkpoint("metrics_5s"), trigger)
+
+
+def start_log_windows(
+    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER
+) -> StreamingQuery:
+    """Logs per category and five seconds."""
+    rows = log_windows_frame(spark, config)
+    return start(rows, sink, config.checkpoint("logs_5s"), trigger)
+
+
 def wait(query: StreamingQuery, seconds: float | None = 10) -> bool:
     """True once the query has ended. After `seconds` it goes on and False is returned.
 

@@ -102,9 +102,13 @@ def test_command_line():
     assert sink_for(given, config, "parsed_metrics").table == "c.default.parsed_metrics"
     given, config = parse(["--output", "/out"])
     assert sink_for(given, config, "parsed_metrics").path == "/out/parsed_metrics"
+    given, config = parse(["--jdbc-url", "jdbc:postgresql://h/d", "--schema", "s"])
+    sink = sink_for(given, config, "parsed_metrics")
+    assert sink.batch is not None and sink.table is None
 
 
 def test_triggers():
+    assert streams.WINDOWS_TRIGGER == {"processingTime": "5 seconds"}
     assert streams.LOGS_TRIGGER == {"processingTime": "100 milliseconds"}
     assert streams.DRAIN == {"availableNow": True}
 

@@ -12,6 +12,7 @@ from hostpulse.functions import payload
 from hostpulse.operators import route
 from hostpulse.schemas import ENVELOPE, PAYLOAD
 from hostpulse.sources.files import normalise_files
+from hostpulse.sources.kafka import normalise_kafka
 
 # value, branch that keeps it, fields it must have there
 GOLDEN = [
@@ -120,6 +121,29 @@ def test_bad_broker_time_becomes_null(spark):
     assert row["broker_time"] is None and row["offset"] is None
 
 
+def test_rows_of_the_kafka_source(spark):
+    """A static table of the connector's schema: bytes, long offset, real timestamp."""
+    rows = spark.createDataFrame(
+        [
+            (None, b'{"type":"log","log_raw":"\\"eventMessage\\" : \\"a, b\\"","timestamp":1.5}', "t", 3, 7, "2024-07-01 12:00:00", 0),
+            (b"k", b'{"type":"metrics","cpu_percent":2.5,"memory":{"total":8}}', "t", 0, 8, "2024-01-01 12:00:00", 0),
+            (None, b"\xff\xfe broken", "t", 0, 9, "2024-01-01 12:00:00", 0),
+            (None, None, "t", 0, 10, "2024-01-01 12:00:00", 0),
+        ],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp string, timestampType int",
+    ).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    normalised = normalise_kafka(rows)
+    assert normalised.schema == normalise_files(spark.createDataFrame([], ENVELOPE)).schema
+    logs = route.logs(normalised, zone="Europe/Berlin").collect()
+    assert [(str(r["eventhub_timestamp"]), r["log_raw"]) for r in logs] == [
+        ("2024-07-01 14:00:00", "a b")
+    ]
+    metrics = route.metrics(normalised, zone="Europe/Berlin").collect()
+    assert [(str(r["eventhub_timestamp"]), r["cpu_percent"], r["total_memory"]) for r in metrics] == [
+        ("2024-01-01 13:00:00", 2.5, 8)
+    ]
+
+
 text = st.text(st.characters(exclude_categories=("Cs",)), max_size=30)
 number = st.floats(-1e9, 1e9, allow_nan=False)
 whole = st.integers(-(2**62), 2**62)

@@ -144,6 +144,36 @@ def test_filter_comes_before_the_encoder(spark, config, envelopes):
     assert "Python" not in metrics and "Exchange" not in metrics
 
 
+def test_windows_come_out_once_they_are_closed(spark, config, tmp_path):
+    """On time, late but within the delay, too late; and the state survives a restart."""
+
+    def send(*seconds):
+        rows = [(1704067200.0 + s, float(i)) for i, s in enumerate(seconds)]
+        payloads = spark.createDataFrame(rows, "s double, cpu double").select(
+            F.to_json(
+                F.struct(F.col("s").alias("timestamp"), F.lit("metrics").alias("type"), F.col("cpu").alias("cpu_percent"))
+            ).alias("value"),
+            *[F.lit(None).cast("string").alias(name) for name in ("key", "topic", "offset", "timestamp")],
+            F.lit(0).alias("partition"),
+        )
+        write_envelopes(payloads.coalesce(1), config.base_path)
+
+    sink = Sink(path=f"{tmp_path}/w")
+    run = lambda: finish(streams.start_metric_windows(spark, config, sink, streams.DRAIN))
+    counts = lambda: {
+        row["window_start"].second: row["n"] for row in spark.read.parquet(sink.path).collect()
+    }
+    send(1, 2, 7, 16)
+    run()
+    assert counts() == {0: 2}
+    send(8, 3, 30)  # 8 s is within ten seconds of 16 s, 3 s belongs to a closed window
+    run()
+    assert counts() == {0: 2, 5: 2, 15: 1}
+    logs = streams.start_log_windows(spark, config, Sink(path=f"{tmp_path}/l"), streams.DRAIN)
+    finish(logs)
+    assert spark.read.parquet(f"{tmp_path}/l").count() == 0
+
+
 def test_shared_folder_follows_the_session(spark):
     one, two = shared_dir(spark, "x"), shared_dir(spark, "x")
     context = spark.sparkContext

@@ -42,8 +42,10 @@ class StreamLimits:
     max_bytes: int | None = None
     request_timeout_ms: int | None = None
     session_timeout_ms: int | None = None
-    # Splits a topic partition over several tasks; the embedding call is what needs the width.
+    # Both split a topic partition over several tasks: for a wider embedding call, and for the case
+    # that one partition holds much of the topic.
     min_partitions: int | None = None
+    max_records_per_partition: int | None = None
 
 
 # Start position, limits and timeouts of the two streams.
@@ -100,7 +102,12 @@ class Config:
         without it: input that is not in the order of time would be late in the batches after the
         first.
         """
-        wide = {"max_offsets": None, "max_files": None, "max_bytes": max_bytes}
+        wide = {
+            "max_offsets": None,
+            "max_files": None,
+            "max_bytes": max_bytes,
+            "max_records_per_partition": 1_000_000,
+        }
         return replace(
             self, logs=replace(self.logs, **wide), metrics=replace(self.metrics, **wide)
         )

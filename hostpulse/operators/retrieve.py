@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 # Query vectors go to every task as long as they take no more than this.
 MAX_QUERY_BYTES = 32 << 20
+# Rows are scored in groups of about this size: each group costs a merge per query.
+SCORED_BYTES = 16 << 20
 
 
 def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
@@ -29,37 +31,46 @@ def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
 class _Best:
     """The best k rows seen so far for each query of a block."""
 
-    def __init__(self, unit_queries: np.ndarray, k: int, ties: list[str], digits: int):
+    def __init__(self, unit_queries: np.ndarray, k: int, ties: list[str], vector: str, digits: int):
         self.queries = unit_queries
         self.k = k
+        self.ties = ties
+        self.vector = vector
         self.digits = digits
         self.order = [("similarity", "descending"), *[(name, "ascending") for name in ties]]
-        self.ties = ties
         self.rows: list[pa.Table | None] = [None] * len(unit_queries)
         self.floor = np.full(len(unit_queries), -np.inf)
+        self.waiting: list[pa.Table] = []
+        self.group = max(1, SCORED_BYTES // (8 * unit_queries.shape[1]))
+
+    def add(self, rows: pa.Table) -> None:
+        self.waiting.append(rows)
+        if sum(map(len, self.waiting)) >= self.group:
+            self._score()
 
-    def add(self, batch: pa.Table, vector: str) -> None:
-        units = _matrix(batch.column(vector).combine_chunks(), self.queries.shape[1])
-        ties = batch.select(self.ties)
+    def _score(self) -> None:
+        waiting, self.waiting = self.waiting, []
+        if not sum(map(len, waiting)) or not len(self.queries):
+            return
+        rows = pa.concat_tables(waiting).combine_chunks()
+        units = _matrix(rows.column(self.vector).combine_chunks(), self.queries.shape[1])
+        ties = rows.select(self.ties)
         # A million similarities at a time, whatever the number of queries.
-        step = max(1, 1_000_000 // max(1, len(units)))
+        step = max(1, 1_000_000 // len(units))
         for start in range(0, len(self.queries), step):
             scores = np.round(self.queries[start : start + step] @ units.T, self.digits) + 0.0
             scores[np.isnan(scores)] = -np.inf
-            top = scores.max(axis=1, initial=-np.inf)
-            # Once a query has k good rows, most batches have nothing better for it.
+            top = scores.max(axis=1)
             promising = (top >= self.floor[start : start + step]) & (top > -np.inf)
             for offset in np.flatnonzero(promising).tolist():
                 self._offer(start + offset, scores[offset], ties)
 
     def _offer(self, query: int, scores: np.ndarray, ties: pa.Table) -> None:
-        floor = self.floor[query]
-        if len(scores) > self.k:
-            floor = max(floor, np.partition(scores, -self.k)[-self.k])
-        # Equal scores stay in, because the tie columns decide among them.
-        chosen = np.flatnonzero((scores >= floor) & (scores > -np.inf))
-        if not len(chosen):
-            return
+        # Scores equal to the floor stay in, because the tie columns decide among them.
+        chosen = np.flatnonzero((scores >= self.floor[query]) & (scores > -np.inf))
+        if len(chosen) > 4 * self.k:
+            good = scores[chosen]
+            chosen = chosen[good >= np.partition(good, -self.k)[-self.k]]
         new = ties.take(pa.array(chosen)).append_column("similarity", pa.array(scores[chosen]))
         old = self.rows[query]
         both = new if old is None else pa.concat_tables([old, new])
@@ -69,6 +80,7 @@ class _Best:
             self.floor[query] = best.column("similarity")[-1].as_py()
 
     def results(self, query_ids: pa.Array, query_id: str) -> Iterator[pa.RecordBatch]:
+        self._score()
         for number, rows in enumerate(self.rows):
             if rows is not None:
                 ids = pa.array([query_ids[number].as_py()] * len(rows), query_ids.type)
@@ -126,10 +138,9 @@ def _one_pass(rows, head, schema, k, dims, id_cols, vector, query_id, digits) ->
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, units = shared.value
-        best = _Best(units, k, id_cols, digits)
+        best = _Best(units, k, id_cols, vector, digits)
         for batch in batches:
-            if batch.num_rows:
-                best.add(pa.Table.from_batches([batch]), vector)
+            best.add(pa.Table.from_batches([batch]))
         yield from best.results(ids, query_id)
 
     return rows.mapInArrow(search, schema)
@@ -188,8 +199,8 @@ def _in_cells(
                 block_rows = pa.concat_tables(loaded)
                 ids = block_rows.column("_query").combine_chunks()
                 units = _matrix(block_rows.column("_vector").combine_chunks(), dims)
-                best = _Best(units, k, id_cols, digits)
-            best.add(table, "_vector")
+                best = _Best(units, k, id_cols, "_vector", digits)
+            best.add(table)
         if best is not None:
             yield from best.results(ids, query_id)
 

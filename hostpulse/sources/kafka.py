@@ -34,6 +34,7 @@ def read_options(config: Config, stream: StreamName) -> dict[str, str]:
     optional = {
         "maxOffsetsPerTrigger": limits.max_offsets,
         "minPartitions": limits.min_partitions,
+        "maxRecordsPerPartition": limits.max_records_per_partition,
         "kafka.request.timeout.ms": limits.request_timeout_ms,
         "kafka.session.timeout.ms": limits.session_timeout_ms,
     }

@@ -23,9 +23,10 @@ WINDOWS_TRIGGER = {"processingTime": "5 seconds"}
 
 @dataclass(frozen=True)
 class Sink:
-    """Where a stream writes: a Parquet folder, a table, or a function per micro-batch."""
+    """Where a stream writes: a folder, a table, or a function per micro-batch."""
 
     path: str | None = None
+    format: str = "parquet"
     table: str | None = None
     batch: Callable[[DataFrame, int], None] | None = None
     partition_by: tuple[str, ...] = ()
@@ -35,7 +36,7 @@ class Sink:
             return writer.foreachBatch(self.batch).start()
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer = writer.format("parquet")
+        writer = writer.format(self.format)
         return writer.toTable(self.table) if self.table else writer.start(self.path)
 
 

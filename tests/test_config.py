@@ -43,6 +43,7 @@ def test_metrics_options(config):
     options = read_options(lenient, "metrics")
     assert options["failOnDataLoss"] == "false" and options["subscribe"] == "a,b"
     assert "maxOffsetsPerTrigger" not in options
+    assert options["maxRecordsPerPartition"] == "1000000"
 
 
 def test_no_login_without_secret():

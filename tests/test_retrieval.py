@@ -1,9 +1,10 @@
 """Nearest rows against brute force, on both ways of bringing queries and rows together."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
+from hostpulse.operators import retrieve
 from hostpulse.operators.retrieve import nearest
 
 DIMS = 8
@@ -74,6 +75,27 @@ def test_no_queries_no_rows(spark):
     assert nearest(rows, none, 3, DIMS, id_cols=["vec_id"]).collect() == []
 
 
+def test_many_groups_of_rows(monkeypatch):
+    """Merging over many small groups gives what one large group gives."""
+    random = np.random.default_rng(3)
+    units = random.normal(size=(5, DIMS))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    rows = pa.table(
+        {
+            "id": list(range(1000)),
+            "v": pa.array((np.round(random.normal(size=(1000, DIMS)) * 2) / 2).tolist()),
+        }
+    )
+    found = []
+    for size in (1, 8 * DIMS * 7, 1 << 20):
+        monkeypatch.setattr(retrieve, "SCORED_BYTES", size)
+        best = retrieve._Best(units, 9, ["id"], "v", 2)
+        for start in range(0, 1000, 13):
+            best.add(rows.slice(start, 13))
+        found.append([b.to_pydict() for b in best.results(pa.array(range(5)), "q")])
+    assert found[0] == found[1] == found[2]
+
+
 def test_text_ids_and_two_id_columns(spark):
     rows = spark.createDataFrame(
         [("b", 1, [1.0] * DIMS), ("a", 2, [1.0] * DIMS), ("a", 1, [1.0] * DIMS)],

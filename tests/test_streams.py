@@ -14,6 +14,7 @@ from hostpulse.config import Config, Target
 from hostpulse.functions.embedding import HashingEncoder
 from hostpulse.operators import route
 from hostpulse.plans import tables
+from hostpulse.schemas import ENVELOPE
 from hostpulse.session import shared_dir
 from hostpulse.sinks.files import write_envelopes
 from hostpulse.sources import read_files, stream_envelopes
@@ -96,6 +97,20 @@ def test_streams_have_checkpoints_of_their_own(spark, envelopes, config, tmp_pat
     assert spark.read.parquet(f"{tmp_path}/l").count() > 0
 
 
+def test_folder_formats(spark, envelopes, config, tmp_path):
+    """Partitioned Parquet, and envelopes that go through as JSON lines and are read again."""
+    write_envelopes(envelopes, config.base_path)
+    static = read_files(spark, config.base_path)
+    finish(start_metrics(spark, config, Sink(path=f"{tmp_path}/m", partition_by=("topic",))))
+    assert Path(f"{tmp_path}/m/topic=system_data").exists()
+    stored = spark.read.parquet(f"{tmp_path}/m")
+    expected = route.metrics(static)
+    assert bag(stored.select(expected.columns)) == bag(expected)
+    raw = spark.readStream.schema(ENVELOPE).json(config.base_path)
+    drain(raw, Sink(path=f"{tmp_path}/copy", format="json"), f"{tmp_path}/cp")
+    assert bag(read_files(spark, f"{tmp_path}/copy")) == bag(static)
+
+
 def test_table_by_name(spark, envelopes, config):
     spark.sql("CREATE DATABASE IF NOT EXISTS monitoring")
     write_envelopes(envelopes, config.base_path)

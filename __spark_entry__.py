@@ -6,11 +6,17 @@ the code under test.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hostpulse.plans.queries import QUERIES, stream_logs
+# The driver may load this file by its path alone.
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from hostpulse.plans.queries import QUERIES, stream_logs  # noqa: E402
 
 
 def entry(spark: SparkSession) -> DataFrame:

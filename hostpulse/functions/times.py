@@ -22,9 +22,18 @@ def to_wall_time(time: Column, zone: str = "Europe/Berlin") -> Column:
     return F.from_utc_timestamp(time, zone)
 
 
+# First second of the year 1 and of the year 10000: what lies outside is no time of a sample.
+FIRST_SECOND = -62135596800.0
+END_SECOND = 253402300800.0
+
+
 def epoch_micros(seconds: Column) -> Column:
-    """Epoch seconds as a double to whole microseconds."""
-    return F.round(seconds * F.lit(1e6)).try_cast("bigint")
+    """Epoch seconds as a double to whole microseconds, null for what cannot be a time.
+
+    A stray value would otherwise overflow the arithmetic on times and end the whole job.
+    """
+    plausible = (seconds >= FIRST_SECOND) & (seconds < END_SECOND)
+    return F.when(plausible, F.round(seconds * F.lit(1e6)).cast("bigint"))
 
 
 def payload_instant(seconds: Column) -> Column:

@@ -23,8 +23,11 @@ def _millionths(value: Column) -> Column:
 
 
 def _mean(value: str) -> Column:
+    """Mean of the finite values. Only where stray values overflow the whole sum is it added up in
+    floating point instead."""
     parts = _millionths(F.col(value))
-    return F.sum(parts) / F.count(parts) / F.lit(float(MILLIONTHS))
+    mean = F.coalesce(F.try_sum(parts) / F.count(parts), F.avg(parts))
+    return mean / F.lit(float(MILLIONTHS))
 
 
 def metrics_by_window(rows: DataFrame, width: str = "5 seconds", time: str = "at") -> DataFrame:
@@ -68,83 +71,91 @@ def streamed(rows: DataFrame, delay: str, time: str = "at") -> DataFrame:
 
 
 def percentiles(
-    rows: DataFrame, by: list[str], value: str, points: Sequence[str], bucket: int = 1_000_000
+    rows: DataFrame, by: list[str], value: str, points: Sequence[str], bits: int = 21
 ) -> DataFrame:
     """Exact percentiles of a whole-number column, as columns `p<point>`, plus n, min, max and mean.
 
     Spark's `percentile` holds all values of a group in one task. Here equal values are counted
-    first. Counts per bucket then say which bucket holds each wanted rank, and only the at most
-    `bucket` distinct values of that one are put in order. `points` are decimal texts, so that a rank
-    such as 95 % of 2000 is not moved by binary fractions. The value at rank ceil(point * n) is
-    taken, without interpolation.
+    first, then the counts are added up in buckets of 2^bits values and again of 2^(2 * bits). From
+    the coarsest level down, running sums show which bucket holds each wanted rank, and only that one
+    is looked into. Whatever the values are, no running sum is over more than some 2^22 rows.
+
+    `points` are decimal texts, so that a rank such as 95 % of 2000 is not moved by binary fractions.
+    The value at rank ceil(point * n) is taken, without interpolation.
     """
-    counted = (
-        rows.groupBy(*by, value)
+    fine = (
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*by, F.col(value).alias("_at"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col(value) / bucket))
-        # The join below asks for this on its side; asked here, both uses of the counts are the same
-        # plan and the input is read once.
-        .where(F.col("_bucket").isNotNull() & F.col(value).isNotNull())
+        .withColumn("_in", F.shiftright("_at", bits))
     )
-    in_order = Window.partitionBy(*by).orderBy("_bucket")
-    group = Window.partitionBy(*by)
-    buckets = (
-        counted.groupBy(*by, "_bucket")
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.min(value).alias("_min"),
-            F.max(value).alias("_max"),
-            F.sum(F.col(value).cast("decimal(38,0)") * F.col("_n")).alias("_sum"),
-        )
-        .withColumn("_upto", F.sum("_n").over(in_order))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .withColumn("n", F.sum("_n").over(group))
-        .withColumn("min", F.min("_min").over(group))
-        .withColumn("max", F.max("_max").over(group))
-        .withColumn("_total", F.sum("_sum").over(group))
+    middle = _coarser(fine, by).withColumn("_in", F.shiftright("_at", bits))
+    coarse = _coarser(middle, by).withColumn("_in", F.lit(0))
+    totals = fine.groupBy(*by).agg(
+        F.sum("_n").alias("n"),
+        F.min("_at").alias("min"),
+        F.max("_at").alias("max"),
+        F.sum(F.col("_at").cast("decimal(38,0)") * F.col("_n")).alias("_total"),
     )
     ranks = [
         F.struct(
             F.lit(point).alias("point"),
-            F.greatest(
-                F.ceil(F.col("n") * F.lit(Decimal(point)).cast("decimal(9,8)")), F.lit(1)
-            )
+            F.greatest(F.ceil(F.col("n") * F.lit(Decimal(point)).cast("decimal(9,8)")), F.lit(1))
             .cast("bigint")
             .alias("rank"),
         )
         for point in points
     ]
-    wanted = (
-        buckets.withColumn("_r", F.explode(F.array(*ranks)))
-        .where((F.col("_r.rank") > F.col("_before")) & (F.col("_r.rank") <= F.col("_upto")))
-        .select(
-            *[F.col(name).alias(f"_by_{name}") for name in by],
-            F.col("_bucket").alias("_in"),
-            "n",
-            "min",
-            "max",
-            (F.col("_total").cast("double") / F.col("n")).alias("mean"),
-            F.col("_r.point").alias("_point"),
-            (F.col("_r.rank") - F.col("_before")).alias("_rank"),
-        )
-    )
-    same = [F.col(name).eqNullSafe(F.col(f"_by_{name}")) for name in by]
-    joined = counted.join(wanted, reduce(and_, same, F.col("_bucket") == F.col("_in"))).select(
-        *by, "n", "min", "max", "mean", "_point", "_rank", F.col(value).alias("_value"), "_n"
-    )
-    inside = Window.partitionBy(*by, "_point").orderBy("_value")
-    found = joined.withColumn("_upto", F.sum("_n").over(inside)).where(
-        (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))
+    wanted = totals.select(
+        *by,
+        "n",
+        "min",
+        "max",
+        (F.col("_total").cast("double") / F.col("n")).alias("mean"),
+        F.lit(0).alias("at"),
+        F.inline(F.array(*ranks)).alias("point", "rank"),
     )
+    found = wanted
+    for level in (coarse, middle, fine):
+        found = _descend(level, found, by)
     return found.groupBy(*by).agg(
         *[F.first(name).alias(name) for name in ("n", "min", "max", "mean")],
         *[
-            F.max(F.when(F.col("_point") == point, F.col("_value"))).alias(column_of(point))
+            F.max(F.when(F.col("point") == point, F.col("at"))).alias(column_of(point))
             for point in points
         ],
     )
 
 
+def _coarser(level: DataFrame, by: list[str]) -> DataFrame:
+    return level.groupBy(*by, F.col("_in").alias("_at")).agg(F.sum("_n").alias("_n"))
+
+
+def _descend(level: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """For each wanted rank the entry `at` of the level that holds it, and the rank within that.
+
+    Only the entries inside the bucket found before are considered. The null-safe comparison keeps
+    the optimizer from adding a filter to this use of the level, which would then be another plan
+    than its other uses and read the input again.
+    """
+    carried = [name for name in wanted.columns if name not in by]
+    target = wanted.select(*[F.col(name).alias(f"_by_{name}") for name in by], *carried)
+    same = [F.col(name).eqNullSafe(F.col(f"_by_{name}")) for name in by]
+    same.append(F.col("_in").eqNullSafe(F.col("at")))
+    entries = level.join(target, reduce(and_, same))
+    running = F.sum("_n").over(Window.partitionBy(*by, "point").orderBy("_at"))
+    return (
+        entries.withColumn("_upto", running)
+        .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("_n")))
+        .select(
+            *by,
+            *[name for name in carried if name not in ("rank", "at")],
+            (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"),
+            F.col("_at").alias("at"),
+        )
+    )
+
+
 def column_of(point: str) -> str:
     """`0.5` -> `p50`, `0.999` -> `p99_9`."""
     percent = (Decimal(point) * 100).normalize()

@@ -130,5 +130,9 @@ def test_time_text_keeps_microseconds(spark):
 
 
 def test_odd_seconds_give_null_times(spark):
-    rows = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "s double")
-    assert [row[0] for row in rows.select(times.epoch_micros(F.col("s"))).collect()] == [None] * 3
+    odd = [float("nan"), float("inf"), -float("inf"), 1e300, 9.2e12, -9.2e12, None]
+    rows = spark.createDataFrame([(value,) for value in odd], "s double")
+    assert [row[0] for row in rows.select(times.epoch_micros(F.col("s"))).collect()] == [None] * 7
+    now = F.lit("2024-01-01").cast("timestamp")
+    lags = rows.select(times.lag_micros(now, F.col("s"))).collect()
+    assert [row[0] for row in lags] == [None] * 7

@@ -23,16 +23,19 @@ def expected(values):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
-        st.tuples(st.sampled_from(["a", "b", None]), st.integers(-5000, 5000) | st.none()),
+        st.tuples(
+            st.sampled_from(["a", "b", None]),
+            st.integers(-5000, 5000) | st.integers(-(2**63), 2**63 - 1) | st.none(),
+        ),
         min_size=1,
         max_size=120,
     ),
-    st.sampled_from([1, 7, 1_000_000]),
+    st.sampled_from([1, 4, 21]),
 )
-def test_percentiles_equal_sorting(spark, rows, bucket):
+def test_percentiles_equal_sorting(spark, rows, bits):
     frame = spark.createDataFrame(rows, "g string, v bigint")
     got = {
-        row["g"]: row for row in percentiles(frame, ["g"], "v", POINTS, bucket=bucket).collect()
+        row["g"]: row for row in percentiles(frame, ["g"], "v", POINTS, bits=bits).collect()
     }
     groups = {}
     for name, value in rows:
@@ -43,7 +46,7 @@ def test_percentiles_equal_sorting(spark, rows, bucket):
         row = got[name]
         assert [row[column_of(point)] for point in POINTS] == expected(values)
         assert (row["n"], row["min"], row["max"]) == (len(values), min(values), max(values))
-        assert math.isclose(row["mean"], sum(values) / len(values), abs_tol=1e-9)
+        assert math.isclose(row["mean"], sum(values) / len(values), rel_tol=1e-12, abs_tol=1e-9)
 
 
 def test_one_value_holds_most_rows(spark):
@@ -52,7 +55,7 @@ def test_one_value_holds_most_rows(spark):
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(12345)).alias("v"),
     )
     values = [i if i % 3 == 0 else 12345 for i in range(30000)]
-    row = percentiles(frame, ["g"], "v", POINTS, bucket=1000).first()
+    row = percentiles(frame, ["g"], "v", POINTS, bits=5).first()
     assert [row[column_of(point)] for point in POINTS] == expected(values)
 
 
@@ -61,7 +64,7 @@ def test_input_of_percentiles_is_read_once(spark, small):
     result = percentiles(frame, ["event_type"], "v", ("0.5",))
     result.collect()
     final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 3
 
 
 @pytest.mark.parametrize(
@@ -92,6 +95,17 @@ def test_windows(spark):
     assert got[at(5)]["n"] == 2 and got[at(5)]["avg_cpu"] is None
 
 
+def test_stray_figures_do_not_end_the_job(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(start, value, 1, 50.0) for value in (9e12, 9e12, 9e12, 1e300, float("inf"))],
+        "at timestamp, cpu_percent double, available_memory bigint, percent_memory double",
+    )
+    row = metrics_by_window(rows).first()
+    assert math.isclose(row["avg_cpu"], 9e12) and row["avg_memory"] == 50.0
+    assert row["n"] == 5 and row["max_cpu"] == float("inf")
+
+
 def test_log_counts(spark):
     start = dt.datetime(2024, 1, 1)
     raw = [(start + dt.timedelta(seconds=i // 3), "ab"[i % 2]) for i in range(60)]

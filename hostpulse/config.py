@@ -76,10 +76,14 @@ class Config:
     fail_on_data_loss: bool = True
     logs: StreamLimits = LOGS_LIMITS
     metrics: StreamLimits = METRICS_LIMITS
-    # Zone the broker time is shifted to; None keeps it in UTC.
+    # Zone that broker times from Kafka are shifted to; None keeps them in UTC. Files hold local time.
     broker_zone: str | None = "Europe/Berlin"
     clean: Literal["full", "prefix"] = "full"
 
+    @property
+    def zone(self) -> str | None:
+        return self.broker_zone if self.mode == "kafka" else None
+
     @property
     def base_path(self) -> str:
         return f"{self.volume_root}/{self.environment}/default/streaming_data"

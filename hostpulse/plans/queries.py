@@ -221,7 +221,7 @@ def _file_run(spark: SparkSession, folder: str) -> Config:
         write_envelopes(tables.file_envelopes(_events(spark, folder)), config.base_path)
         _written[key] = config.volume_root
     _utc(spark)
-    return Config(mode="files", volume_root=_written[key], broker_zone=None)
+    return Config(mode="files", volume_root=_written[key])
 
 
 def _stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:

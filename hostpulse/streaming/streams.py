@@ -3,7 +3,7 @@
 import logging
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +29,8 @@ class Sink:
     format: str = "parquet"
     table: str | None = None
     batch: Callable[[DataFrame, int], None] | None = None
+    # For other formats, such as the options of the Kafka sink with its password.
+    options: dict[str, str] = field(default_factory=dict, repr=False)
     partition_by: tuple[str, ...] = ()
 
     def start(self, writer: DataStreamWriter) -> StreamingQuery:
@@ -36,19 +38,19 @@ class Sink:
             return writer.foreachBatch(self.batch).start()
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer = writer.format(self.format)
+        writer = writer.format(self.format).options(**self.options)
         return writer.toTable(self.table) if self.table else writer.start(self.path)
 
 
 def logs_frame(spark: SparkSession, config: Config, open_encoder=HashingEncoder) -> DataFrame:
     envelopes = stream_envelopes(spark, config, "logs")
-    rows = route.logs(envelopes, config.clean, config.broker_zone, audit="logs_input")
+    rows = route.logs(envelopes, config.clean, config.zone, audit="logs_input")
     return route.enriched(rows, open_encoder)
 
 
 def metrics_frame(spark: SparkSession, config: Config) -> DataFrame:
     envelopes = stream_envelopes(spark, config, "metrics")
-    return route.metrics(envelopes, config.broker_zone, audit="metrics_input")
+    return route.metrics(envelopes, config.zone, audit="metrics_input")
 
 
 def metric_windows_frame(

@@ -84,6 +84,15 @@ def test_checkpoints_and_environments_are_apart():
     assert path.startswith("/Volumes/main/default/streaming_data/_checkpoints/")
 
 
+def test_only_broker_times_are_shifted():
+    assert Config().zone == "Europe/Berlin"
+    assert Config(mode="files").zone is None and Config(broker_zone=None).zone is None
+
+
+def test_sink_does_not_print_its_options():
+    assert SECRET not in repr(streams.Sink(format="kafka", options={"password": SECRET}))
+
+
 def test_target_name():
     assert Target().table("enriched_logs") == "workspace.default.enriched_logs"
     assert Target("", "s").table("parsed_metrics") == "s.parsed_metrics"

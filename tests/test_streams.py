@@ -10,6 +10,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from hostpulse.__main__ import main
 from hostpulse.config import Config, Target
 from hostpulse.functions.embedding import HashingEncoder
 from hostpulse.operators import route
@@ -29,7 +30,7 @@ def envelopes(spark, small):
 
 @pytest.fixture
 def config(tmp_path):
-    return Config(mode="files", volume_root=str(tmp_path), broker_zone=None)
+    return Config(mode="files", volume_root=str(tmp_path))
 
 
 def bag(rows):
@@ -122,6 +123,16 @@ def test_table_by_name(spark, envelopes, config):
     assert bag(spark.table(name)) == bag(expected)
 
 
+def test_command_line_run(spark, envelopes, config, tmp_path):
+    write_envelopes(envelopes, config.base_path)
+    out = f"{tmp_path}/out"
+    main(
+        ["--streams", "metrics", "--mode", "files", "--volume-root", str(tmp_path), "--output", out]
+    )
+    expected = route.metrics(read_files(spark, config.base_path))
+    assert bag(spark.read.parquet(f"{out}/parsed_metrics")) == bag(expected)
+
+
 def test_waiting_is_bounded(spark, envelopes, config, tmp_path):
     write_envelopes(envelopes, config.base_path)
     query = start_logs(spark, config, Sink(path=f"{tmp_path}/l"))

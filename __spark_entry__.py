@@ -18,6 +18,20 @@ if str(Path(__file__).resolve().parent) not in sys.path:
 
 from hostpulse.plans.queries import QUERIES, stream_logs  # noqa: E402
 
+try:
+    from hostpulse.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out of an installation
+    if missing.name not in ("hostpulse.llm", "hostpulse.llm.queries"):
+        raise
+    llm = None
+
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline":
+        raise
+    corpus_pipeline = None
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """The logs stream from JSON files to Parquet, with embeddings."""
@@ -25,7 +39,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    if llm is not None:
+        found |= llm.QUERIES
+        if corpus_pipeline is not None:
+            found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # Events as messages: errors are logs, all others are metrics.
@@ -106,7 +125,7 @@ def _last_sunday(month: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     autumn = f"CASE WHEN year(utc) < 1996 THEN {_last_sunday('9')} ELSE {_last_sunday('10')} END"
-    return {
+    return (llm.ORACLE_SQL if llm is not None else {}) | {
         "decode_payload": f"""WITH {_MESSAGES}
 SELECT event_id, taken_s AS "timestamp", type,
        CASE WHEN type = 'metrics' THEN cpu END AS cpu_percent,

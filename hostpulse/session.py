@@ -27,7 +27,7 @@ def session(name: str = "hostpulse", **extra: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new path under `spark.checkpoint.dir`, the folder that every executor can reach.
+    """A new path under `spark.checkpoint.dir`, the folder that every executor can reach, gone when the driver ends.
 
     Only a local session without that setting gets a temporary folder. On a cluster such a folder
     would be on one machine and its data would be gone with it, so there the setting is required.
@@ -39,4 +39,18 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="hostpulse-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _remove_at_end(spark, path)
+    return path
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """The file system drops the folder when the driver ends; until then results may still be read from it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Drops a folder of `shared_dir` as soon as its caller needs it no longer."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

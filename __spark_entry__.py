@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,13 @@ if str(Path(__file__).resolve().parent) not in sys.path:
 
 from hostpulse.plans.queries import QUERIES, stream_logs  # noqa: E402
 
-try:
-    from hostpulse.llm import queries as llm
-except ModuleNotFoundError as missing:  # the subpackage may be left out of an installation
-    if missing.name not in ("hostpulse.llm", "hostpulse.llm.queries"):
-        raise
-    llm = None
+# The subpackage and the pipeline may be left out of an installation.
+llm = corpus_pipeline = None
+if find_spec("hostpulse.llm") and find_spec("hostpulse.llm.queries"):
+    from hostpulse.llm import queries as llm  # noqa: E402
 
-try:
-    import corpus_pipeline
-except ModuleNotFoundError as missing:
-    if missing.name != "corpus_pipeline":
-        raise
-    corpus_pipeline = None
+    if find_spec("corpus_pipeline"):
+        import corpus_pipeline  # noqa: E402
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 from hostpulse.llm import common
 from hostpulse.llm.bpe import _Sent
 
-DEPTH = 5
+DEPTH = 7
 COMMON_GRAMS = 1 << 20
 COMMON_WORDS = 200_000
 WORD_BYTES = 64
+#: A gram, the context and the byte after it, is kept as one 64-bit number.
+assert DEPTH <= 7
 #: The end of a text as a word of its own; no word holds this byte.
 END = b"\n"
 #: Distinct words that a task counts before it passes them on.
@@ -122,7 +124,7 @@ def _log_estimate(zeros: Column, ones: Column) -> Column:
 def _decisions(rows: DataFrame) -> DataFrame:
     """The eight decisions of each gram: `node`, which is the context and the bits already known, and the `bit`."""
     byte = F.col("gram").bitwiseAND(255)
-    context = F.shiftright("gram", 8)
+    context = F.shiftrightunsigned("gram", 8)
     step = F.explode(
         F.transform(
             F.sequence(F.lit(0), F.lit(7)),
@@ -141,9 +143,9 @@ def _above(node: Column, depth: int) -> Column:
     return node.bitwiseAND((1 << (8 * depth)) - 1)
 
 
-def gram_scores(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+def gram_scores(counts: DataFrame) -> DataFrame:
     """`gram` and `score`, the log10 probability of its last byte after the others. `counts`: gram, n."""
-    steps = _decisions(counts)
+    steps, depth = _decisions(counts), DEPTH
     level = steps.groupBy("node").agg(
         F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
         F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),

@@ -236,18 +236,15 @@ def dedup(
     The two counts are `n_lines` and `n_removed`; columns of `docs` with these names give way to them.
     """
     gone = removals(docs, edits, least, id_col, text_col)
-    k1, k2 = common.row_key(id_col, text_col)
     keep = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
-    packed = docs.select(k1, k2, F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
+    others = F.struct(F.lit(0).alias("none"), *(F.col(name) for name in keep if name != text_col))
+    packed = docs.select(*common.row_key(id_col, text_col), others.alias("row"), F.col(text_col).alias("text"))
     joined = packed.join(gone, ["k1", "k2"], "left")
     lines = F.split("text", "\n", -1)
-    left = F.array_join(
-        F.filter(lines, lambda line, at: ~F.array_contains("numbers", at)), "\n"
-    )
+    left = F.array_join(F.filter(lines, lambda line, at: ~F.array_contains("numbers", at)), "\n")
     text = F.when(F.col("numbers").isNull(), F.col("text")).otherwise(left)
-    columns = [text.alias(name) if name == text_col else F.col(f"row.`{name}`").alias(name) for name in keep]
     return joined.select(
-        *columns,
+        *(text.alias(name) if name == text_col else F.col(f"row.`{name}`").alias(name) for name in keep),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("numbers"), F.lit(0)).cast("long").alias("n_removed"),
+        F.greatest(F.coalesce(F.size("numbers"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.llm import common, links
@@ -31,6 +31,9 @@ SLOTS = 1 << 14
 RANGES = 16
 CACHED_WORDS = 300_000
 
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("unknown"), F.col("k1"), F.col("k2"))
+
 
 class Shingler:
     """Sets of n-grams as sorted distinct hashes; remembers the hashes of words, within `CACHED_WORDS`."""
@@ -112,14 +115,8 @@ def _profiles(docs: DataFrame, counts, text_col: str, width: int, percent: int)
     return docs.mapInArrow(run, schema)
 
 
-def similar(
-    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """The id, `n_shingles` and `component_id` of each row.
-
-    Two documents are linked if 100 * intersection >= percent * union of their sets of `width`-word n-grams; a
-    component's id is the smallest id in it.
-    """
+def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The profiles of all rows, and for each distinct set its component's smallest id and first row (`head`)."""
     rows = docs.select(*common.row_key(id_col, text_col), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = _Sent(docs.sparkSession, frequencies(rows, "text", width))
     profiles = common.stored(_profiles(rows, counts, "text", width, percent), "profiles")
@@ -129,10 +126,10 @@ def similar(
         .groupBy("s1", "s2")
         .agg(
             F.min("id").alias("low"),
-            F.min(F.struct("k1", "k2")).alias("row"),
+            F.min(_place()).alias("row"),
             *(F.any_value(c).alias(c) for c in ("n", "prefix", "ranges")),
         )
-        .select("s1", "s2", "low", "row.k1", "row.k2", "n", "prefix", "ranges")
+        .select("s1", "s2", "low", "row", "row.k1", "row.k2", "n", "prefix", "ranges")
         .withColumn("node", F.monotonically_increasing_id())
     )
     items = common.stored(items, "items")  # fixes the numbers
@@ -189,11 +186,41 @@ def similar(
         return checked.distinct()
 
     parts = links.linked(members, fits, verify, gather)
-    named = items.join(parts, "node", "left").select("s1", "s2", "low", F.coalesce("component", "node").alias("part"))
-    lowest = named.groupBy("part").agg(F.min("low").alias("component_id"))
-    classes = named.join(lowest, "part").select("s1", "s2", "component_id")
+    named = items.join(parts, "node", "left").select(
+        "s1", "s2", "low", "row", F.coalesce("component", "node").alias("part")
+    )
+    lowest = named.groupBy("part").agg(F.min("low").alias("component_id"), F.min("row").alias("head"))
+    return profiles, named.join(lowest, "part").select("s1", "s2", "component_id", "head")
+
+
+def similar(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The id, `n_shingles` and `component_id` of each row.
+
+    Two documents are linked if 100 * intersection >= percent * union of their sets of `width`-word n-grams; a
+    component's id is the smallest id in it.
+    """
+    profiles, classes = _classes(docs, width, percent, id_col, text_col)
     return profiles.select("id", "n", "s1", "s2").join(classes, ["s1", "s2"], "left").select(
         F.col("id").alias(id_col),
         F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
+
+
+def dedup(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest id, rows without one last.
+
+    Rows that agree in id and text are copies too, and one of them stays; so does every row without words.
+    """
+    profiles, classes = _classes(docs, width, percent, id_col, text_col)
+    heads = profiles.join(classes, ["s1", "s2"], "left").where((F.col("n") == 0) | (_place() == F.col("head")))
+    others = F.struct(F.lit(0).alias("none"), *(F.col(name) for name in docs.columns if name != text_col))
+    packed = docs.select(*common.row_key(id_col, text_col), others.alias("row"), F.col(text_col).alias("text"))
+    left = packed.join(heads.select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return left.select(
+        *(F.col("text").alias(n) if n == text_col else F.col(f"row.`{n}`").alias(n) for n in docs.columns)
+    )

@@ -86,7 +86,8 @@ def linked(
         .select("key", F.col("largest.part").alias("major"))
     )
     mixed = stored(mixed, "mixed")
-    rest = placed.join(mixed, "key")
+    # Written, so that the join below deals its rows out anew and a frequent bucket can be split among tasks.
+    rest = stored(placed.join(mixed, "key"), "mixed-members")
     x = rest.where("part <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in (*columns, "part")))
     y = rest.select("key", "major", *(F.col(c).alias(f"y_{c}") for c in (*columns, "part")))
     apart = (

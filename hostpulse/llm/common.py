@@ -7,23 +7,43 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostpulse.session import shared_dir
+from hostpulse.session import remove_dir, shared_dir
 
 #: Text that a task handles at a time, so that working arrays stay bounded whatever the size of an Arrow batch.
 SLICE_BYTES = 4 << 20
 
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+#: Lets Spark drop the shuffle files of a query when it has ended; what `stored` writes is read from its files alone.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: computed once, and safe when an executor is lost."""
-    path = shared_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = shared_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    found = spark.read.schema(rows.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def release(*tables: DataFrame) -> None:
+    """Drops the files of tables made by `stored` that nothing reads any more."""
+    for rows in tables:
+        remove_dir(rows.sparkSession, rows._stored_at)
 
 
 def row_key(id_col: str, text_col: str) -> list[Column]:
@@ -63,6 +83,27 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [text or b"" for text in values.cast(pa.large_binary()).to_pylist()]
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered as long as there are at most `limit` of them."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.limit:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def differing(x: Column, y: Column, classes: int) -> Column:
+    """Sum of the differences of two arrays of counts."""
+    return sum((F.abs(F.get(x, F.lit(k)) - F.get(y, F.lit(k))) for k in range(classes)), F.lit(0))
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit integers that spreads every input bit."""
     values = values.astype(np.uint64)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostpulse.llm.common import stored
+from hostpulse.llm.common import release, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -51,33 +51,43 @@ def components(edges: DataFrame) -> DataFrame:
 
 def linked(
     members: DataFrame,
-    fits: Callable[[str, str], Column],
+    first: Callable[[Column], Column],
+    fits: Callable[[Column, Column], Column],
+    profile: Callable[[DataFrame], DataFrame],
+    close: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
-    on_active: Callable[[DataFrame], None],
 ) -> DataFrame:
     """Components of the items in the buckets.
 
-    `members`: `key` (the bucket), `node`, `n`, `pos` and `role` (pairs need a member of role 0). `fits(x, y)` is a cheap
-    condition on two members, given as column prefixes. `on_active` receives the nodes that share a bucket with another,
-    before `verify` is called on pairs `a` < `b`, to return those that are linked.
+    `members`: `key` (the bucket), `node` and `info`, one number that says what a comparison needs to know of the
+    member. Those with the smallest `first(info)` come first as pivots. A pair is compared if `fits(x, y)` holds for its
+    infos and `close(x, y)` for what `profile` gives, as column `about`, for each of the nodes that share a bucket with another.
+    `verify` gets pairs `a` < `b` and returns those that are linked; no pair is verified twice.
     """
-    columns = ("node", "n", "pos", "role")
-    order = Window.partitionBy("key").orderBy("role", F.xxhash64("node", F.pmod("key", F.lit(4))), "node")
-    first = F.first(F.struct(*columns)).over(order)
-    stars = members.withColumn("p", first).where((F.col("p.node") != F.col("node")) & (F.col("p.role") == 0))
-    stars = stars.select("key", *columns, *(F.col(f"p.{c}").alias(f"p_{c}") for c in columns))
-    stars = stored(stars, "stars")
-    pivots = stars.select("key", *(F.col(f"p_{c}").alias(c) for c in columns))
-    everyone = stored(stars.select("key", *columns).union(pivots).distinct(), "members")
-    on_active(everyone.select("node").distinct())
-
-    near = stars.select(*(F.col(c).alias(f"x_{c}") for c in columns), *(F.col(f"p_{c}").alias(f"y_{c}") for c in columns))
-    tried = stored(_pairs(near.where(fits("x", "y"))), "pairs")
+    order = Window.partitionBy("key").orderBy(
+        first(F.col("info")), F.xxhash64("node", F.pmod("key", F.lit(4))), "node"
+    )
+    pivot = F.first(F.struct("node", "info")).over(order)
+    stars = members.withColumn("p", pivot).where(F.col("p.node") != F.col("node"))
+    stars = stored(stars.select("key", "node", "info", F.col("p.node").alias("p_node"), F.col("p.info").alias("p_info")), "stars")
+    pivots = stars.select("key", F.col("p_node").alias("node"), F.col("p_info").alias("info"))
+    everyone = stored(stars.select("key", "node", "info").union(pivots).distinct(), "members")
+    about = profile(everyone.select("node").distinct())
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(about.toDF("a", "x"), "a").join(about.toDF("b", "y"), "b")
+        return both.where(close(F.col("x"), F.col("y"))).select("a", "b")
+
+    near = stars.where(fits(F.col("info"), F.col("p_info")))
+    near = _pairs(near.select(F.col("node").alias("x_node"), F.col("p_node").alias("y_node")))
+    tried = stored(promising(near), "pairs")
+    release(stars)
     found = stored(verify(tried), "links")
     parts = components(found)
 
     placed = everyone.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    placed = stored(placed.select("key", *columns, "part"), "placed")
+    placed = stored(placed.select("key", "node", "info", "part"), "placed")
+    release(everyone)
     shares = placed.groupBy("key", "part").agg(F.count("*").alias("size"))
     mixed = (
         shares.groupBy("key")
@@ -87,14 +97,16 @@ def linked(
     )
     mixed = stored(mixed, "mixed")
     # Written, so that the join below deals its rows out anew and a frequent bucket can be split among tasks.
-    rest = stored(placed.join(mixed, "key"), "mixed-members")
-    x = rest.where("part <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in (*columns, "part")))
-    y = rest.select("key", "major", *(F.col(c).alias(f"y_{c}") for c in (*columns, "part")))
+    rest = stored(placed.join(mixed, "key").join(about, "node"), "mixed-members")
+    release(placed)
+    columns = ("node", "info", "part", "about")
+    x = rest.where("part <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in columns))
+    y = rest.select("key", "major", *(F.col(c).alias(f"y_{c}") for c in columns))
     apart = (
         (F.col("x_part") != F.col("y_part"))
         & ((F.col("y_part") == F.col("major")) | (F.col("x_node") < F.col("y_node")))
-        & (F.least("x_role", "y_role") == 0)
-        & fits("x", "y")
+        & fits(F.col("x_info"), F.col("y_info"))
+        & close(F.col("x_about"), F.col("y_about"))
     )
     both = x.join(y, "key").where(apart)
     more = stored(verify(stored(_pairs(both).join(tried, ["a", "b"], "left_anti"), "pairs")), "links")

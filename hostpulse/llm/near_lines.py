@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.llm import common, links
@@ -42,14 +42,14 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-def keys(line: str, edits: int) -> tuple[list[int], list[int]]:
-    """Hashes of the line's own segments, and of the substrings with which it probes lines no longer than itself."""
+def keys(line: str, edits: int) -> list[int]:
+    """Hashes of the line's own segments, then of the other substrings with which it probes lines no longer than itself."""
+    n, data = len(line), line.encode("utf-32-le", "surrogatepass")
 
-    def key(length: int, number: int, text: str) -> int:
-        return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), length * 31 + number) - (1 << 63)
+    def key(length: int, number: int, start: int, size: int) -> int:
+        return xxhash.xxh3_64_intdigest(data[4 * start : 4 * (start + size)], length * 31 + number) - (1 << 63)
 
-    n = len(line)
-    own = [key(n, i, line[start : start + size]) for i, (start, size) in enumerate(segments(n, edits))]
+    own = [key(n, i, start, size) for i, (start, size) in enumerate(segments(n, edits))]
     probes = set()
     for length in range(max(0, n - edits), n + 1):
         shift = n - length
@@ -57,8 +57,8 @@ def keys(line: str, edits: int) -> tuple[list[int], list[int]]:
             # Of the edits, at most i lie before segment i and at most edits - i behind it, if it is the first that agrees.
             low = max(0, start - i, start + shift - (edits - i))
             high = min(n - size, start + i, start + shift + (edits - i))
-            probes.update(key(length, i, line[at : at + size]) for at in range(low, high + 1))
-    return own, sorted(probes - set(own))
+            probes.update(key(length, i, at, size) for at in range(low, high + 1))
+    return own + sorted(probes.difference(own))
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -114,34 +114,28 @@ def _banded(a: str, b: str, edits: int) -> bool:
 
 
 def _occurrences(rows: DataFrame, edits: int, least: int) -> DataFrame:
-    """Each line of at least `least` letters: where it stands, its digest, length, keys and letter counts."""
+    """Each line of at least `least` letters: where it stands, its digest and its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch, "text"):
-                out: list[tuple] = []
-                columns = (part.column(name).to_pylist() for name in ("k1", "k2", "known"))
-                for k1, k2, known, text in zip(*columns, common.texts_of(part)):
+                owners, numbers, digests, flat, ends = [], [], [], [], [0]
+                for owner, text in enumerate(common.texts_of(part)):
                     for number, line in enumerate(text.split("\n")):
-                        if len(line) < least:
-                            continue
-                        raw = line.encode()
-                        digest = xxhash.xxh3_128_digest(raw)
-                        own, probes = keys(line, edits)
-                        counts = np.bincount(np.frombuffer(line.encode("utf-32-le"), np.uint32) % RANGES, minlength=RANGES)
-                        a, b = np.frombuffer(digest, np.int64).tolist()
-                        out.append((k1, k2, known, number, a, b, len(line), own, probes, counts.tolist()))
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-                kinds += [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                data = list(zip(*out)) if out else [[]] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds)], names)
-
-    names = ["k1", "k2", "known", "number", "l1", "l2", "n", "own", "probes", "ranges"]
-    schema = (
-        "k1 long, k2 long, known boolean, number int, l1 long, l2 long, n int, own array<long>, "
-        "probes array<long>, ranges array<int>"
+                        if len(line) >= least:
+                            owners.append(owner), numbers.append(number)
+                            digests.append(xxhash.xxh3_128_digest(line.encode()))
+                            flat += keys(line, edits)
+                            ends.append(len(flat))
+                both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                columns = [part.column(name).take(pa.array(owners, pa.int64())) for name in ("k1", "k2", "known")]
+                columns += [pa.array(numbers, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])]
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "known", "number", "l1", "l2", "keys"])
+
+    return rows.mapInArrow(
+        run, "k1 long, k2 long, known boolean, number int, l1 long, l2 long, keys array<long>"
     )
-    return rows.mapInArrow(run, schema)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -157,55 +151,52 @@ def removals(
     rows = _rows(docs, id_col, text_col)
     found = common.stored(_occurrences(rows, edits, least), "lines")
     place = F.struct("known", "k1", "k2", "number")
-    items = (
+    whole = (
         found.groupBy("l1", "l2")
-        .agg(
-            F.min(place).alias("first"),
-            F.count("*").alias("times"),
-            *(F.any_value(c).alias(c) for c in ("n", "own", "probes", "ranges")),
-        )
+        .agg(F.min(place).alias("first"), F.count("*").alias("times"), F.any_value("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    items = common.stored(items, "distinct-lines")  # fixes the numbers
-    tagged = F.concat(
-        F.transform("own", lambda k: F.struct(k.alias("key"), F.lit(0).alias("role"))),
-        F.transform("probes", lambda k: F.struct(k.alias("key"), F.lit(1).alias("role"))),
-    )
-    members = items.select(F.explode(tagged).alias("e"), "node", "n").select(
-        "e.key", "node", "n", F.lit(0).alias("pos"), "e.role"
+    whole = common.stored(whole, "lines-with-keys")  # fixes the numbers
+    items = common.stored(whole.drop("keys"), "distinct-lines")
+    places = common.stored(found.drop("keys"), "places")
+    common.release(found)
+    # A member's info: 0 for a line's own segments, which others probe, and 1 for what it probes with.
+    members = whole.select(F.posexplode("keys").alias("pos", "key"), "node").select(
+        "key", "node", (F.col("pos") > edits).cast("long").alias("info")
     )
 
-    def fits(x: str, y: str):
-        return F.abs(F.col(f"{x}_n") - F.col(f"{y}_n")) <= edits
-
     lines: list[DataFrame] = []
 
-    def gather(active: DataFrame) -> None:
-        """The texts of the lines that share a bucket."""
+    def profile(active: DataFrame) -> DataFrame:
+        """Counts of the letters by class of the lines that share a bucket; their texts are kept for `verify`."""
+        common.release(whole)
         wanted = items.join(active, "node").groupBy("first.k1", "first.k2").agg(
             F.collect_list(F.struct("first.number", "node")).alias("wanted")
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                nodes, texts = [], []
+                nodes, texts, counts = [], [], []
                 for text, wanted in zip(common.texts_of(batch), batch.column("wanted").to_pylist()):
                     split = text.split("\n")
                     for entry in wanted:
-                        nodes.append(entry["node"]), texts.append(split[entry["number"]])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(texts, pa.string())], ["node", "line"])
+                        line = split[entry["number"]]
+                        letters = np.frombuffer(line.encode("utf-32-le"), np.uint32) % RANGES
+                        nodes.append(entry["node"]), texts.append(line)
+                        counts.append(np.bincount(letters, minlength=RANGES).tolist())
+                data = [pa.array(nodes, pa.int64()), pa.array(texts, pa.string()), pa.array(counts, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(data, ["node", "line", "ranges"])
 
         picked = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("text", "wanted")
-        lines.append(common.stored(picked.mapInArrow(run, "node long, line string"), "texts"))
+        lines.append(common.stored(picked.mapInArrow(run, "node long, line string, ranges array<int>"), "texts"))
+        return lines[0].select("node", F.col("ranges").alias("about"))
+
+    def close(x: Column, y: Column) -> Column:
+        return common.differing(x, y, RANGES) <= 2 * edits
 
     def verify(pairs: DataFrame) -> DataFrame:
-        small = items.select("node", "ranges")
-        known = pairs.join(small.toDF("a", "a_ranges"), "a").join(small.toDF("b", "b_ranges"), "b")
-        differ = F.aggregate(
-            F.zip_with("a_ranges", "b_ranges", lambda p, q: F.abs(p - q)), F.lit(0), lambda total, v: total + v
-        )
-        left = known.where(differ <= 2 * edits).select("a", "b")
-        whole = left.join(lines[0].toDF("a", "x"), "a").join(lines[0].toDF("b", "y"), "b")
+        texts = lines[0].select("node", "line")
+        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -213,9 +204,12 @@ def removals(
                 mask = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
 
-        return whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+        return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+    def fits(x: Column, y: Column) -> Column:
+        return F.least(x, y) == 0
 
-    parts = links.linked(members, fits, verify, gather)
+    parts = links.linked(members, lambda info: info, fits, profile, close, verify)
     small = items.select("l1", "l2", "first", "times", "node")
     named = small.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     heads = named.where("component IS NOT NULL").groupBy("part").agg(F.min("first").alias("head"))
@@ -224,7 +218,7 @@ def removals(
         .join(heads, "part", "left")
         .select("l1", "l2", F.coalesce("head", "first").alias("head"))
     )
-    gone = found.select("k1", "k2", "known", "number", "l1", "l2").join(decided, ["l1", "l2"]).where(place != F.col("head"))
+    gone = places.join(decided, ["l1", "l2"]).where(place != F.col("head"))
     return gone.groupBy("k1", "k2").agg(F.collect_set("number").alias("numbers"))
 
 

@@ -18,7 +18,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,17 +34,11 @@ class Hasher:
     """Fingerprints of texts; remembers the hashes of words, within `CACHED_WORDS`."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.known = common.WordHashes(CACHED_WORDS)
 
     def _hashes(self, text: bytes) -> np.ndarray:
         """One 64-bit hash for each term occurrence."""
-        words = text.split()
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words) - known.keys():
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        codes = self.known.of(text.split())
         run = min(RUN, len(codes))
         if not run:
             return codes

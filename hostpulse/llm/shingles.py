@@ -26,7 +26,9 @@ from hostpulse.llm import common, links
 from hostpulse.llm.bpe import _Sent
 
 #: Slots of the frequency table, which is sent to every task.
-SLOTS = 1 << 14
+SLOT_BITS = 14
+SLOTS = 1 << SLOT_BITS
+_BELOW = np.uint64((1 << (64 - SLOT_BITS)) - 1)
 #: Ranges of the suffix filter.
 RANGES = 16
 CACHED_WORDS = 300_000
@@ -36,41 +38,55 @@ def _place() -> Column:
 
 
 class Shingler:
-    """Sets of n-grams as sorted distinct hashes; remembers the hashes of words, within `CACHED_WORDS`."""
-
-    def __init__(self, width: int):
-        self.width = width
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        for word in set(words) - known.keys():
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        run = min(self.width, len(codes))
-        total = np.full(len(codes) - run + 1, run, np.uint64)
-        for k in range(run):
-            total = common.mixed(total * np.uint64(0x9E3779B97F4A7C15) + codes[k : len(codes) - run + 1 + k])
-        return np.unique(total)
+    """Sets of n-grams as sorted distinct hashes.
+
+    The highest bits of a hash are its slot in the frequency table; with `ranks`, the slot gives way to its rank, rare first. So
+    sorted hashes are in rare-first order, and no two n-grams change places in different texts.
+    """
+
+    def __init__(self, width: int, ranks: np.ndarray | None = None):
+        self.width, self.ranks = width, ranks
+        self.known = common.WordHashes(CACHED_WORDS)
+
+    def grams(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all n-grams of all texts, and where those of each text begin and end."""
+        words, ends = [], [0]
+        for text in texts:
+            words += text.lower().split()
+            ends.append(len(words))
+        codes = np.r_[self.known.of(words), np.zeros(self.width, np.uint64)]
+        total = np.zeros(len(words), np.uint64)
+        sizes = np.diff(ends)
+        # Texts shorter than an n-gram end it at their last word.
+        runs = np.repeat(np.minimum(sizes, self.width), sizes)
+        for k in range(self.width):
+            following = common.mixed(total * np.uint64(0x9E3779B97F4A7C15) + codes[k : len(words) + k])
+            total = np.where(k < runs, following, total)
+        total = common.mixed(total + runs.astype(np.uint64))
+        if self.ranks is not None:
+            total = self.ranks[_slot(total)] << np.uint64(64 - SLOT_BITS) | total & _BELOW
+        counts = np.where(sizes > 0, np.maximum(sizes - self.width + 1, 1), 0)
+        starts = np.asarray(ends[:-1])
+        return total, np.stack([starts, starts + counts], axis=1)
+
+    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        total, places = self.grams(texts)
+        return [np.unique(total[start:end]) for start, end in places.tolist()]
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(50)).astype(np.int64)
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def frequencies(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
-    """Documents' n-grams in each slot, over all documents."""
+def ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
+    """Ranks of the slots by how many n-grams of all documents fall into them; each n-gram counts once for a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(width), np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for text in common.bytes_of(batch, text_col):
-                counts += np.bincount(_slot(shingler(text)), minlength=SLOTS)
+            for part in common.slices(batch, text_col):
+                for found in shingler.sets(common.bytes_of(part, text_col)):
+                    np.add.at(counts, _slot(found), 1)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
 
@@ -78,35 +94,37 @@ def frequencies(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     table = np.zeros(SLOTS, np.int64)
     for row in rows.collect():  # at most SLOTS rows
         table[row.slot] = row.n
-    return table
+    order = np.empty(SLOTS, np.uint64)
+    order[np.argsort(table, kind="stable")] = np.arange(SLOTS, dtype=np.uint64)
+    return order
 
 
-def _profiles(docs: DataFrame, counts, text_col: str, width: int, percent: int) -> DataFrame:
+def _profiles(docs: DataFrame, order, text_col: str, width: int, percent: int) -> DataFrame:
     """For each row its key, id, set size, set hash, prefix in rare-first order and counts by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(width), counts.value
+        shingler = Shingler(width, order.value)
         for batch in batches:
             for part in common.slices(batch, text_col):
-                sizes, low, high, prefixes, ranges = [], [], [], [], []
-                for text in common.bytes_of(part, text_col):
-                    found = shingler(text)
-                    n = len(found)
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                    order = np.lexsort((found, table[_slot(found)]))
-                    keep = n - (percent * n + 99) // 100 + 1 if n else 0
-                    sizes.append(n), low.append(digest[0]), high.append(digest[1])
-                    prefixes.append(found[order[:keep]].view(np.int64))
-                    ranges.append(np.bincount((found & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES))
-                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+                found = shingler.sets(common.bytes_of(part, text_col))
+                sizes = np.array([len(s) for s in found], np.int64)
+                digests = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found)
+                digests = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                keep = np.where(sizes > 0, sizes - (percent * sizes + 99) // 100 + 1, 0)
+                prefixes = np.concatenate([s[:k] for s, k in zip(found, keep.tolist())]).view(np.int64)
+                owner = np.repeat(np.arange(len(found)), sizes)
+                classes = (np.concatenate(found) & np.uint64(RANGES - 1)).astype(np.int64)
+                counts = np.bincount(owner * RANGES + classes, minlength=RANGES * len(found)).astype(np.int32)
+                ends = np.cumsum(np.r_[0, keep]).astype(np.int32)
+                steps = np.arange(0, RANGES * len(found) + 1, RANGES, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(name) for name in ("k1", "k2", "id")),
                         pa.array(sizes, pa.int32()),
-                        pa.array(low, pa.int64()),
-                        pa.array(high, pa.int64()),
-                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes) if prefixes else [], pa.int64())),
-                        pa.array([list(map(int, r)) for r in ranges], pa.list_(pa.int32())),
+                        pa.array(digests[:, 0]),
+                        pa.array(digests[:, 1]),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(prefixes)),
+                        pa.ListArray.from_arrays(pa.array(steps), pa.array(counts)),
                     ],
                     ["k1", "k2", "id", "n", "s1", "s2", "prefix", "ranges"],
                 )
@@ -118,11 +136,11 @@ def _profiles(docs: DataFrame, counts, text_col: str, width: int, percent: int)
 def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The profiles of all rows, and for each distinct set its component's smallest id and first row (`head`)."""
     rows = docs.select(*common.row_key(id_col, text_col), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counts = _Sent(docs.sparkSession, frequencies(rows, "text", width))
-    profiles = common.stored(_profiles(rows, counts, "text", width, percent), "profiles")
+    order = _Sent(docs.sparkSession, ranks(rows, "text", width))
+    full = common.stored(_profiles(rows, order, "text", width, percent), "profiles-with-prefixes")
     # One item for each distinct set.
     items = (
-        profiles.where("n > 0")
+        full.where("n > 0")
         .groupBy("s1", "s2")
         .agg(
             F.min("id").alias("low"),
@@ -132,60 +150,64 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         .select("s1", "s2", "low", "row", "row.k1", "row.k2", "n", "prefix", "ranges")
         .withColumn("node", F.monotonically_increasing_id())
     )
-    items = common.stored(items, "items")  # fixes the numbers
-    members = items.select(F.posexplode("prefix").alias("pos", "key"), "node", "n", F.lit(0).alias("role"))
+    whole = common.stored(items, "items-with-prefixes")  # fixes the numbers
+    items = common.stored(whole.drop("prefix"), "items")
+    profiles = common.stored(full.drop("prefix", "ranges"), "profiles")
+    common.release(full)
+    # A member's info: the size of its set, and the place of the bucket's n-gram in it.
+    members = whole.select(F.posexplode("prefix").alias("pos", "key"), "node", "n").select(
+        "key", "node", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("info")
+    )
 
-    def need(a: str, b: str):
+    def need(a: Column, b: Column) -> Column:
         """Least intersection: 100 i >= p (a + b - i)."""
-        return F.ceil(F.lit(percent) * (F.col(a) + F.col(b)) / F.lit(100 + percent) - F.lit(1e-9))
+        return F.floor((percent * (a + b) + (99 + percent)) / F.lit(100 + percent))
+
+    def fits(x: Column, y: Column) -> Column:
+        nx, ny = F.shiftright(x, 32), F.shiftright(y, 32)
+        rest = F.least(nx - x.bitwiseAND(0xFFFFFFFF), ny - y.bitwiseAND(0xFFFFFFFF))
+        return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (rest >= need(nx, ny))
 
-    def fits(x: str, y: str):
-        nx, ny = F.col(f"{x}_n"), F.col(f"{y}_n")
-        rest = F.least(nx - F.col(f"{x}_pos"), ny - F.col(f"{y}_pos"))
-        return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (rest >= need(f"{x}_n", f"{y}_n"))
+    def profile(active: DataFrame) -> DataFrame:
+        common.release(whole)
+        return common.stored(items.join(active, "node").select("node", F.struct("n", "ranges").alias("about")), "about")
 
-    sets: list[DataFrame] = []
+    def close(x: Column, y: Column) -> Column:
+        """The suffix filter: sets that differ too much in the counts of some ranges have too small an intersection."""
+        least = need(x.n, y.n)
+        return common.differing(x.ranges, y.ranges, RANGES) <= x.n + y.n - 2 * least
 
-    def gather(active: DataFrame) -> None:
-        """The whole sets of the items that share a bucket."""
-        wanted = items.join(active, "node").select("k1", "k2", "node")
+    def verify(pairs: DataFrame) -> DataFrame:
+        """Compares the whole sets, which are made for the documents in these pairs alone."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = items.join(nodes, "node").select("k1", "k2", "node", "n")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingler = Shingler(width)
             for batch in batches:
-                found = [shingler(text).tobytes() for text in common.bytes_of(batch, "text")]
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "grams"])
-
-        texts = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("node", "text")
-        sets.append(common.stored(texts.mapInArrow(run, "node long, grams binary"), "sets"))
+                found = [s.tobytes() for s in shingler.sets(common.bytes_of(batch, "text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node"), batch.column("n"), pa.array(found, pa.binary())], ["node", "n", "grams"]
+                )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        small = items.select("node", "n", "ranges")
-        known = (
-            pairs.join(small.toDF("a", "a_n", "a_ranges"), "a")
-            .join(small.toDF("b", "b_n", "b_ranges"), "b")
-            .withColumn("need", need("a_n", "b_n"))
-        )
-        differ = F.aggregate(
-            F.zip_with("a_ranges", "b_ranges", lambda p, q: F.abs(p - q)), F.lit(0), lambda total, v: total + v
-        )
-        left = known.where(differ <= F.col("a_n") + F.col("b_n") - 2 * F.col("need")).select("a", "b", "need")
-        whole = left.join(sets[0].toDF("a", "a_grams"), "a").join(sets[0].toDF("b", "b_grams"), "b")
+        texts = rows.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("node", "n", "text")
+        sets = common.stored(texts.mapInArrow(make, "node long, n int, grams binary"), "sets")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = []
-                for need, x, y in zip(*(batch.column(c).to_pylist() for c in ("need", "a_grams", "b_grams"))):
-                    both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+                for least, x, y in zip(*(batch.column(c).to_pylist() for c in ("least", "x", "y"))):
+                    both = np.frombuffer(x + y, np.uint64).copy()
                     both.sort()
-                    good.append(int((both[1:] == both[:-1]).sum()) >= need)
+                    good.append(int((both[1:] == both[:-1]).sum()) >= least)
                 mask = pa.array(good, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
 
-        checked = whole.select("a", "b", "need", "a_grams", "b_grams").mapInArrow(run, "a long, b long")
-        return checked.distinct()
+        both = pairs.join(sets.toDF("a", "a_n", "x"), "a").join(sets.toDF("b", "b_n", "y"), "b")
+        least = need(F.col("a_n"), F.col("b_n")).alias("least")
+        return both.select("a", "b", least, "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
-    parts = links.linked(members, fits, verify, gather)
+    parts = links.linked(members, lambda info: F.lit(0), fits, profile, close, verify)
     named = items.join(parts, "node", "left").select(
         "s1", "s2", "low", "row", F.coalesce("component", "node").alias("part")
     )

@@ -151,14 +151,18 @@ def spans(
     """`k1`, `k2` (see `row_key`) and `runs`: pairs of start and end bytes, unordered and overlapping, that are repeated."""
     rows = docs.select(*common.row_key(id_col, text_col), F.col(text_col).cast("binary").alias("text"))
     all_anchors = common.stored(_found(rows, length, gram), "anchors")
-    shared = all_anchors.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
+    # Written, so that the join deals its rows out anew and a frequent bucket can be split among tasks.
+    shared = common.stored(all_anchors.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first"), "shared")
     kept = common.stored(all_anchors.join(shared, "first"), "shared-anchors")
+    common.release(all_anchors)
 
     classes = kept.groupBy("first", "a", "b").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "spread")).alias("at")
     )
     classes = common.stored(classes, "classes")
-    several = classes.groupBy("first").agg(F.count("*").alias("members")).where("members > 1")
+    several = common.stored(
+        classes.groupBy("first").agg(F.count("*").alias("members")).where("members > 1"), "several"
+    )
     open_ones = classes.join(several, "first").select("first", "a", "b", "n", "members", "at.*")
     work = open_ones.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("first", "a", "b", "n", "members", "spread")).alias("work")

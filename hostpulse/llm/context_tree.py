@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from hostpulse.llm import common
 from hostpulse.llm.bpe import _Sent
 
-DEPTH = 7
+DEPTH = 6
 COMMON_GRAMS = 1 << 20
 COMMON_WORDS = 200_000
 WORD_BYTES = 64
@@ -151,8 +151,7 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
     )
     estimate = _log_estimate(F.col("zeros").cast("double"), F.col("ones").cast("double"))
-    level = level.withColumn("own", estimate).withColumn("weighted", F.col("own"))
-    levels = {depth: common.stored(level, f"level-{depth}")}
+    levels = {depth: common.stored(level.withColumn("weighted", estimate), f"level-{depth}")}
     half = F.lit(float(np.log(0.5)))
     for d in range(depth, 0, -1):
         up = levels[d].groupBy(_above(F.col("node"), d).alias("node")).agg(
@@ -160,13 +159,13 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         )
         top = F.greatest("own", "below")
         mixed = half + top + F.log1p(F.exp(F.least("own", "below") - top))
-        up = up.withColumn("own", estimate).withColumn("weighted", mixed).drop("below")
+        up = up.withColumn("own", estimate).withColumn("weighted", mixed).drop("own", "below")
         levels[d - 1] = common.stored(up, f"level-{d - 1}")
     # From the root down: what the path has given to a 1 so far, and the weight that is left for deeper nodes.
     paths = None
     for d in range(depth + 1):
         here = levels[d].withColumn("one", (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0))
-        stop = F.exp(half + F.col("own") - F.col("weighted")) if d < depth else F.lit(1.0)
+        stop = F.exp(half + estimate - F.col("weighted")) if d < depth else F.lit(1.0)
         here = here.select("node", "one", F.least(stop, F.lit(1.0)).alias("stop"))
         if paths is None:
             paths = here.select("node", (F.col("stop") * F.col("one")).alias("p"), (1 - F.col("stop")).alias("rest"))

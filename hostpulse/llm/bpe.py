@@ -5,6 +5,7 @@ binary search in the sorted pair keys, takes the lowest rank of each word and me
 left to right. Words without a known pair leave the array. Merging all places of the lowest rank together gives
 the result of one-by-one merging, since a pair that contains a merged symbol always has a higher rank.
 
+Letters that are newer than the library's Unicode tables may be cut otherwise than there; all others are cut alike.
 Null texts count as empty and give no ids. Special tokens in a text become their own id, as the library does.
 Very long texts and words are encoded whole. Repeated rows give repeated results; columns besides the id and
 the text are ignored.

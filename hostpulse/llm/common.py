@@ -15,6 +15,7 @@ from hostpulse.session import remove_dir, shared_dir
 
 #: Text that a task handles at a time, so that working arrays stay bounded whatever the size of an Arrow batch.
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 4096
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,11 +62,11 @@ def remainder(id_col: str, divisor: int) -> Column:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about `limit` bytes of text; a longer text stands alone."""
+    """Consecutive rows of about `limit` bytes of text, at most `SLICE_ROWS`; a longer text stands alone."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for row, size in enumerate(sizes.tolist()):
-        if row > start and total + size > limit:
+        if row > start and (total + size > limit or row - start == SLICE_ROWS):
             yield batch.slice(start, row - start)
             start, total = row, 0
         total += size
@@ -99,9 +100,9 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def differing(x: Column, y: Column, classes: int) -> Column:
+def differing(x: Column, y: Column) -> Column:
     """Sum of the differences of two arrays of counts."""
-    return sum((F.abs(F.get(x, F.lit(k)) - F.get(y, F.lit(k))) for k in range(classes)), F.lit(0))
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.abs(a - b)), F.lit(0), lambda total, v: total + v)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

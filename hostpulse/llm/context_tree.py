@@ -8,8 +8,8 @@ and half the product of its children's. The probability of the next decision is
 come from these products. The tree is fixed after training, so the probability of a word does not depend on its
 place, and each distinct word of the corpus is scored once.
 
-Everything is counted over all training documents, in joins and aggregations keyed by context. Tasks are sent the `COMMON_GRAMS` most
-frequent contexts with their scores and the `COMMON_WORDS` most frequent words of at most `WORD_BYTES` bytes with theirs; what these don't
+Everything is counted over all training documents, in joins and aggregations keyed by context. Tasks are sent the scores of the `COMMON_GRAMS`
+contexts and bytes that most distinct words hold, and the `COMMON_WORDS` most frequent words of at most `WORD_BYTES` bytes with theirs; what these don't
 cover goes through joins, so scores do not depend on either number.
 
 Null texts count as empty: their only token is the end. Words are lower-cased in A-Z. Repeated rows count as often as they
@@ -42,6 +42,13 @@ END = b"\n"
 HELD_WORDS = 400_000
 
 
+class _Places(dict):
+    """Where a word stands in a list, -1 for words that are not in it."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -99,9 +106,11 @@ def _gram_counts(words: DataFrame) -> DataFrame:
             distinct, place = np.unique(number, return_inverse=True)
             sums = np.zeros(len(distinct), np.int64)
             np.add.at(sums, place, times)
-            yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(sums)], ["gram", "n"])
+            columns = [pa.array(distinct), pa.array(sums), pa.array(np.bincount(place, minlength=len(distinct)))]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "n", "places"])
 
-    return words.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    made = words.mapInArrow(run, "gram long, n long, places long")
+    return made.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("places").alias("places"))
 
 
 def _log_gamma(x: Column) -> Column:
@@ -168,25 +177,33 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         stop = F.exp(half + estimate - F.col("weighted")) if d < depth else F.lit(1.0)
         here = here.select("node", "one", F.least(stop, F.lit(1.0)).alias("stop"))
         if paths is None:
-            paths = here.select("node", (F.col("stop") * F.col("one")).alias("p"), (1 - F.col("stop")).alias("rest"))
+            here = here.select("node", (F.col("stop") * F.col("one")).alias("p"), (1 - F.col("stop")).alias("rest"))
+            paths = common.stored(here, "path-0")
         else:
             over = paths.select(F.col("node").alias("up"), F.col("p").alias("p0"), F.col("rest").alias("rest0"))
-            paths = here.withColumn("up", _above(F.col("node"), d)).join(over, "up").select(
+            here = here.withColumn("up", _above(F.col("node"), d)).join(over, "up").select(
                 "node",
                 (F.col("p0") + F.col("rest0") * F.col("stop") * F.col("one")).alias("p"),
                 (F.col("rest0") * (1 - F.col("stop"))).alias("rest"),
             )
-    scored = steps.join(paths.select("node", "p"), "node")
-    return scored.groupBy("gram").agg(
+            below = common.stored(here, f"path-{d}")
+            common.release(paths)
+            paths = below
+        common.release(levels[d])
+    scored = steps.select("gram", "node", "bit").join(paths.select("node", "p"), "node")
+    scored = scored.groupBy("gram").agg(
         F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("score")
     )
+    scored = common.stored(scored, "gram-scores")
+    common.release(paths)
+    return scored
 
 
 def word_scores(words: DataFrame, counts: DataFrame, scores: DataFrame, common_grams: int = COMMON_GRAMS) -> DataFrame:
     """`word`, `n` and `score`, the log10 probability of the word: the sum over its bytes."""
     spark = words.sparkSession
     both = common.stored(counts.join(scores, "gram"), "grams")
-    frequent = both.orderBy(F.desc("n"), "gram").limit(common_grams).select("gram", "score").toArrow()
+    frequent = both.orderBy(F.desc("places"), "gram").limit(common_grams).select("gram", "score").toArrow()
     order = np.argsort(frequent.column("gram").to_numpy())
     sent = _Sent(spark, (frequent.column("gram").to_numpy()[order], frequent.column("score").to_numpy()[order]))
 
@@ -249,62 +266,64 @@ def score(
         .toArrow()
     )
     sent = _Sent(
-        spark, dict(zip(table.column("word").to_pylist(), zip(table.column("n").to_pylist(), table.column("score").to_pylist())))
+        spark,
+        (table.column("word").to_pylist(), table.column("n").to_numpy(), table.column("score").to_numpy()),
     )
-    names = ["id", "held", "n_tokens", "n_known", "base", "score", "n_coded", "rare", "times"]
+    names = ["id", "held", "n_tokens", "n_known", "base", "score", "n_coded", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {word: (n, float(np.log10(n + 0.1)) - norm, s) for word, (n, s) in sent.value.items()}
+        listed, n, scores = sent.value
+        place = _Places(zip(listed, range(len(listed))))
+        bases = np.log10(n + 0.1) - norm
         for batch in batches:
             for part in common.slices(batch, "text"):
-                tokens, familiar, bases, scores, coded, rare, times, stops = [], [], [], [], [], [], [], [0]
+                words, ends = [], [0]
                 for text in common.bytes_of(part, "text"):
-                    split = words_of(text)
-                    seen = Counter(split)
-                    seen[END] = 1
-                    total, base, own = 0, 0.0, 0.0
-                    for word, m in seen.items():
-                        entry = known.get(word)
-                        if entry is None:
-                            rare.append(word), times.append(m)
-                            continue
-                        n, b, s = entry
-                        total += m if n else 0
-                        base += m * b
-                        own += m * s
-                    tokens.append(len(split) + 1), familiar.append(total), bases.append(base), scores.append(own)
-                    coded.append(sum(map(len, split)) + len(split) + 1)
-                    stops.append(len(rare))
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(v, k))
-                    for v, k in ((rare, pa.binary()), (times, pa.int64()))
-                ]
-                numbers = [pa.array(v, pa.int64()) for v in (tokens, familiar)]
-                floats = [pa.array(v, pa.float64()) for v in (bases, scores)]
+                    words += words_of(text)
+                    words.append(END)
+                    ends.append(len(words))
+                sizes = np.diff(ends)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                found = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                hit = found >= 0
+                whose, which = owner[hit], found[hit]
+                sums = [np.bincount(whose, v[which], len(sizes)) for v in (n > 0, bases, scores)]
+                letters = np.fromiter(map(len, words), np.int64, len(words))
+                coded = np.bincount(owner, letters, len(sizes)).astype(np.int64) + sizes - 1
+                rare = pa.array([words[k] for k in np.flatnonzero(~hit).tolist()], pa.binary())
+                stops = np.cumsum(np.r_[0, np.bincount(owner[~hit], minlength=len(sizes))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("held"), *numbers, *floats, pa.array(coded, pa.int64()), *lists], names
+                    [
+                        part.column("id"),
+                        part.column("held"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(sums[0].astype(np.int64)),
+                        *map(pa.array, sums[1:]),
+                        pa.array(coded),
+                        pa.ListArray.from_arrays(pa.array(stops), rare),
+                    ],
+                    names,
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = (
         f"id {kind}, held boolean, n_tokens long, n_known long, base double, score double, n_coded long, "
-        "rare array<binary>, times array<long>"
+        "rare array<binary>"
     )
     # The row numbers tie the rare words to their rows; they are fixed by being written.
     found = rows.select("id", "held", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     found = common.stored(found, "scores")
     rest = (
-        found.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-        .select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("m"))
+        found.select("row", F.explode("rare").alias("word"))
         .join(scored.withColumnRenamed("score", "s"), "word")
         .groupBy("row")
         .agg(
-            F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("m") * (F.log10(F.col("n") + 0.1) - norm)).alias("more_base"),
-            F.sum(F.col("m") * F.col("s")).alias("more_score"),
+            F.sum((F.col("n") > 0).cast("long")).alias("more_known"),
+            F.sum(F.log10(F.col("n") + 0.1) - norm).alias("more_base"),
+            F.sum("s").alias("more_score"),
         )
     )
-    whole = found.drop("rare", "times").join(rest, "row", "left")
+    whole = found.drop("rare").join(rest, "row", "left")
     final = F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return whole.select(
         F.col("id").alias(id_col),

@@ -64,9 +64,8 @@ def linked(
     infos and `close(x, y)` for what `profile` gives, as column `about`, for each of the nodes that share a bucket with another.
     `verify` gets pairs `a` < `b` and returns those that are linked; no pair is verified twice.
     """
-    order = Window.partitionBy("key").orderBy(
-        first(F.col("info")), F.xxhash64("node", F.pmod("key", F.lit(4))), "node"
-    )
+    # One order for all buckets: items that share many buckets then meet the same few pivots in all of them.
+    order = Window.partitionBy("key").orderBy(first(F.col("info")), F.xxhash64("node"), "node")
     pivot = F.first(F.struct("node", "info")).over(order)
     stars = members.withColumn("p", pivot).where(F.col("p.node") != F.col("node"))
     stars = stored(stars.select("key", "node", "info", F.col("p.node").alias("p_node"), F.col("p.info").alias("p_info")), "stars")

@@ -192,7 +192,7 @@ def removals(
         return lines[0].select("node", F.col("ranges").alias("about"))
 
     def close(x: Column, y: Column) -> Column:
-        return common.differing(x, y, RANGES) <= 2 * edits
+        return common.differing(x, y) <= 2 * edits
 
     def verify(pairs: DataFrame) -> DataFrame:
         texts = lines[0].select("node", "line")

@@ -3,7 +3,7 @@
 A set is ordered rare-first: by the counts of all n-grams of the corpus in `SLOTS` hashed slots, then by hash. Any
 common order is right; this one keeps frequent n-grams out of the prefixes. Similar sets share an n-gram of their
 prefixes, so these are the buckets. Lengths and positions rule out pairs within a bucket, the suffix filter
-rules out pairs by the counts of their n-grams in ranges of the hash, and each pair left is verified once on the
+rules out pairs by the counts of their n-grams in ranges of the hash, a parity bitmap more of them, and each pair left is verified once on the
 whole sets. Documents with equal sets are one item throughout.
 
 N-grams are compared by 64-bit hashes of 64-bit word hashes. A text with fewer words than the n-gram has its whole sequence as the only element; a text
@@ -29,8 +29,9 @@ from hostpulse.llm.bpe import _Sent
 SLOT_BITS = 14
 SLOTS = 1 << SLOT_BITS
 _BELOW = np.uint64((1 << (64 - SLOT_BITS)) - 1)
-#: Ranges of the suffix filter.
+#: Ranges of the suffix filter, and bits of the parity filter (32 words of 64).
 RANGES = 16
+PARITY_WORDS = 32
 CACHED_WORDS = 300_000
 
 def _place() -> Column:
@@ -115,6 +116,11 @@ def _profiles(docs: DataFrame, order, text_col: str, width: int, percent: int) -
                 owner = np.repeat(np.arange(len(found)), sizes)
                 classes = (np.concatenate(found) & np.uint64(RANGES - 1)).astype(np.int64)
                 counts = np.bincount(owner * RANGES + classes, minlength=RANGES * len(found)).astype(np.int32)
+                # Bit k: whether an odd number of the set's n-grams have k as their lowest bits.
+                bits = np.zeros((len(found), PARITY_WORDS * 64), np.uint8)
+                lowest = (np.concatenate(found) & np.uint64(PARITY_WORDS * 64 - 1)).astype(np.int64)
+                np.bitwise_xor.at(bits.reshape(-1), owner * PARITY_WORDS * 64 + lowest, 1)
+                parity = np.packbits(bits, axis=1).reshape(-1).view(np.int64)
                 ends = np.cumsum(np.r_[0, keep]).astype(np.int32)
                 steps = np.arange(0, RANGES * len(found) + 1, RANGES, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -125,11 +131,12 @@ def _profiles(docs: DataFrame, order, text_col: str, width: int, percent: int) -
                         pa.array(digests[:, 1]),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(prefixes)),
                         pa.ListArray.from_arrays(pa.array(steps), pa.array(counts)),
+                        pa.ListArray.from_arrays(pa.array(steps // RANGES * PARITY_WORDS), pa.array(parity)),
                     ],
-                    ["k1", "k2", "id", "n", "s1", "s2", "prefix", "ranges"],
+                    ["k1", "k2", "id", "n", "s1", "s2", "prefix", "ranges", "parity"],
                 )
 
-    schema = "k1 long, k2 long, id long, n int, s1 long, s2 long, prefix array<long>, ranges array<int>"
+    schema = "k1 long, k2 long, id long, n int, s1 long, s2 long, prefix array<long>, ranges array<int>, parity array<long>"
     return docs.mapInArrow(run, schema)
 
 
@@ -145,14 +152,14 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         .agg(
             F.min("id").alias("low"),
             F.min(_place()).alias("row"),
-            *(F.any_value(c).alias(c) for c in ("n", "prefix", "ranges")),
+            *(F.any_value(c).alias(c) for c in ("n", "prefix", "ranges", "parity")),
         )
-        .select("s1", "s2", "low", "row", "row.k1", "row.k2", "n", "prefix", "ranges")
+        .select("s1", "s2", "low", "row", "row.k1", "row.k2", "n", "prefix", "ranges", "parity")
         .withColumn("node", F.monotonically_increasing_id())
     )
     whole = common.stored(items, "items-with-prefixes")  # fixes the numbers
     items = common.stored(whole.drop("prefix"), "items")
-    profiles = common.stored(full.drop("prefix", "ranges"), "profiles")
+    profiles = common.stored(full.drop("prefix", "ranges", "parity"), "profiles")
     common.release(full)
     # A member's info: the size of its set, and the place of the bucket's n-gram in it.
     members = whole.select(F.posexplode("prefix").alias("pos", "key"), "node", "n").select(
@@ -170,12 +177,19 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
 
     def profile(active: DataFrame) -> DataFrame:
         common.release(whole)
-        return common.stored(items.join(active, "node").select("node", F.struct("n", "ranges").alias("about")), "about")
+        return common.stored(items.join(active, "node").select("node", F.struct("n", "ranges", "parity").alias("about")), "about")
 
     def close(x: Column, y: Column) -> Column:
-        """The suffix filter: sets that differ too much in the counts of some ranges have too small an intersection."""
-        least = need(x.n, y.n)
-        return common.differing(x.ranges, y.ranges, RANGES) <= x.n + y.n - 2 * least
+        """Whether the sets may differ in few enough n-grams.
+
+        The suffix filter adds up the differences of their counts by range; the parity filter counts the bits in which an
+        odd number of n-grams has to differ. Neither exceeds the true number.
+        """
+        most = x.n + y.n - 2 * need(x.n, y.n)
+        odd = F.aggregate(
+            F.zip_with(x.parity, y.parity, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, v: total + v
+        )
+        return (common.differing(x.ranges, y.ranges) <= most) & (odd <= most)
 
     def verify(pairs: DataFrame) -> DataFrame:
         """Compares the whole sets, which are made for the documents in these pairs alone."""

@@ -92,9 +92,9 @@ _METRICS_WINDOWS = """
 windows AS (
   SELECT time_bucket(INTERVAL 5 SECOND, ts) AS window_start,
          count(*) AS n, min(cpu) AS min_cpu, max(cpu) AS max_cpu,
-         CAST(sum(CAST(round(cpu * 1000000) AS BIGINT)) AS DOUBLE) / count(*) / 1000000.0::DOUBLE AS avg_cpu,
+         CAST(sum(CAST(cpu AS DECIMAL(28, 9))) AS DOUBLE) / count(*) AS avg_cpu,
          max(CAST(k AS DOUBLE)) AS max_memory,
-         CAST(sum(k * 1000000) AS DOUBLE) / count(*) / 1000000.0::DOUBLE AS avg_memory,
+         CAST(sum(k) AS DOUBLE) / count(*) AS avg_memory,
          min(available) AS min_available
   FROM messages WHERE type = 'metrics' GROUP BY 1
 )"""
@@ -222,10 +222,10 @@ means AS (
 ),
 scored AS (
   SELECT m.label AS query_id, e.vec_id,
-         round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), m.q), 6) AS similarity
+         round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), m.q), 12) AS similarity
   FROM embeddings e CROSS JOIN means m
 )
-SELECT query_id, vec_id, similarity,
+SELECT query_id, vec_id, round(similarity, 6) AS similarity,
        CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 10""",
         "retrieve_logs": f"""WITH {_MESSAGES}, {_LOGS},
@@ -239,12 +239,12 @@ shared AS (
   FROM found JOIN asked USING (dim) GROUP BY query_id, event_id
 ),
 scored AS (
-  SELECT q.query_id, l.event_id, round(coalesce(s.dot, 0), 6) AS similarity
+  SELECT q.query_id, l.event_id, round(coalesce(s.dot, 0), 12) AS similarity
   FROM (SELECT DISTINCT query_id FROM asked) q
   CROSS JOIN (SELECT DISTINCT event_id FROM found) l
   LEFT JOIN shared s ON s.query_id = q.query_id AND s.event_id = l.event_id
 )
-SELECT query_id, event_id, similarity,
+SELECT query_id, event_id, round(similarity, 6) AS similarity,
        CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, event_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 10""",
         "envelope_files": f"""WITH {_MESSAGES}

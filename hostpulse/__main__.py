@@ -81,8 +81,7 @@ def main(arguments: list[str] | None = None) -> None:
         queries.append(start(spark, config, sink_for(given, config, table, spark)))
     with streams.stopping(*queries):
         try:
-            for query in queries:
-                streams.wait(query, given.wait)
+            streams.wait_all(queries, given.wait)
         except KeyboardInterrupt:
             print("stopped", file=sys.stderr)
 

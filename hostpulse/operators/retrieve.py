@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 
 # Query vectors go to every task as long as they take no more than this.
 MAX_QUERY_BYTES = 32 << 20
+# More than rounding can move a similarity of unit vectors.
+MARGIN = 1e-9
+# Decimals that rows rank by: all that a sum of products in double precision can be trusted in.
+RANK_DIGITS = 12
 # Rows are scored in groups of about this size: each group costs a merge per query.
 SCORED_BYTES = 16 << 20
 
@@ -58,20 +62,24 @@ class _Best:
         # A million similarities at a time, whatever the number of queries.
         step = max(1, 1_000_000 // len(units))
         for start in range(0, len(self.queries), step):
-            scores = np.round(self.queries[start : start + step] @ units.T, self.digits) + 0.0
+            scores = self.queries[start : start + step] @ units.T
             scores[np.isnan(scores)] = -np.inf
             top = scores.max(axis=1)
-            promising = (top >= self.floor[start : start + step]) & (top > -np.inf)
+            promising = (top >= self.floor[start : start + step] - MARGIN) & (top > -np.inf)
             for offset in np.flatnonzero(promising).tolist():
-                self._offer(start + offset, scores[offset], ties)
+                self._offer(start + offset, scores[offset], units, ties)
 
-    def _offer(self, query: int, scores: np.ndarray, ties: pa.Table) -> None:
-        # Scores equal to the floor stay in, because the tie columns decide among them.
-        chosen = np.flatnonzero((scores >= self.floor[query]) & (scores > -np.inf))
+    def _offer(self, query: int, scores: np.ndarray, units: np.ndarray, ties: pa.Table) -> None:
+        # The last bits of a matrix product depend on its shape. So it only picks candidates, with a margin, and
+        # their similarity is added up again in the order of the dimensions.
+        chosen = np.flatnonzero((scores >= self.floor[query] - MARGIN) & (scores > -np.inf))
         if len(chosen) > 4 * self.k:
             good = scores[chosen]
-            chosen = chosen[good >= np.partition(good, -self.k)[-self.k]]
-        new = ties.take(pa.array(chosen)).append_column("similarity", pa.array(scores[chosen]))
+            chosen = chosen[good >= np.partition(good, -self.k)[-self.k] - MARGIN]
+        exact = np.zeros(len(chosen))
+        for number, weight in enumerate(self.queries[query]):
+            exact += weight * units[chosen, number]
+        new = ties.take(pa.array(chosen)).append_column("similarity", pa.array(np.round(exact, RANK_DIGITS) + 0.0))
         old = self.rows[query]
         both = new if old is None else pa.concat_tables([old, new])
         best = both.take(pc.sort_indices(both, sort_keys=self.order)[: self.k])
@@ -104,9 +112,10 @@ def nearest(
 ) -> DataFrame:
     """`query_id`, `id_cols`, `similarity` and `rank` of the k best rows of `vectors` per query.
 
-    Similarity is rounded to `digits` before ranking; equal ones rank by `id_cols`, which have to
-    name a row. The result then does not depend on how the rows are spread. Vectors of another
-    length, of length zero or with nulls have no similarity and no rank.
+    Rows rank by their similarity to `RANK_DIGITS` decimals, beyond which lie only errors of
+    summation; equal ones rank by `id_cols`, which have to name a row; only the output is rounded to `digits`. So the result does
+    not depend on how the rows are spread. Vectors of another length, of length zero or with nulls
+    have no similarity and no rank.
     """
     usable = queries.where(F.size(query_vector) == dims).select(query_id, query_vector)
     rows = vectors.where(F.size(vector) == dims).select(*id_cols, vector)
@@ -127,7 +136,8 @@ def nearest(
             rows, usable, schema, k, dims, id_cols, vector, query_id, query_vector, digits, most
         )
     order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), *id_cols)
-    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("similarity", F.round("similarity", digits) + F.lit(0.0))
 
 
 def _one_pass(rows, head, schema, k, dims, id_cols, vector, query_id, digits) -> DataFrame:

@@ -14,20 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.times import lag_micros
 
-MILLIONTHS = 1_000_000
-
-
-def _millionths(value: Column) -> Column:
-    """Whole millionths: their sum does not depend on the order in which tasks deliver it."""
-    return F.round(value * MILLIONTHS).try_cast("bigint")
+#: Values that this type holds as they are get added up exactly, in whatever order tasks deliver them.
+EXACT = "decimal(28,9)"
 
 
 def _mean(value: str) -> Column:
-    """Mean of the finite values. Only where stray values overflow the whole sum is it added up in
-    floating point instead."""
-    parts = _millionths(F.col(value))
-    mean = F.coalesce(F.try_sum(parts) / F.count(parts), F.avg(parts))
-    return mean / F.lit(float(MILLIONTHS))
+    """Mean of all values. Where a group has one that `EXACT` cannot hold, the whole group is averaged in floating point."""
+    held = F.col(value).try_cast(EXACT)
+    misfits = F.count_if(F.col(value).isNotNull() & ~F.coalesce(held.cast("double") == F.col(value), F.lit(False)))
+    exact = F.try_sum(held).cast("double") / F.count(F.col(value))
+    return F.when(misfits == 0, F.coalesce(exact, F.avg(value))).otherwise(F.avg(value))
 
 
 def metrics_by_window(rows: DataFrame, width: str = "5 seconds", time: str = "at") -> DataFrame:

@@ -206,22 +206,12 @@ def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
     return retrieve.nearest(found, questions, NEIGHBOURS, DIMS, id_cols=["event_id"])
 
 
-# Folder with the events of a table as JSON envelopes, by application and table folder.
-_written: dict[tuple[str, str], str] = {}
-
-
 def _file_run(spark: SparkSession, folder: str) -> Config:
-    """A configuration whose source folder holds all events as JSON envelopes.
-
-    The streams of one application share the files, as the two streams of a deployment do.
-    """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _written:
-        config = Config(mode="files", volume_root=shared_dir(spark, "envelopes"))
-        write_envelopes(tables.file_envelopes(_events(spark, folder)), config.base_path)
-        _written[key] = config.volume_root
+    """A configuration whose source folder holds all events as JSON envelopes, written anew for each run."""
+    config = Config(mode="files", volume_root=shared_dir(spark, "envelopes"))
+    write_envelopes(tables.file_envelopes(_events(spark, folder)), config.base_path)
     _utc(spark)
-    return Config(mode="files", volume_root=_written[key])
+    return config
 
 
 def _stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:

@@ -25,11 +25,13 @@ def records(
     value: str = "value",
     topics: dict[str, str] = TOPIC_OF,
 ) -> DataFrame:
-    """Rows for the Kafka sink, which sends each one to the topic in its `topic` column."""
-    topic = topic_for(F.col(kind), topics)
-    return messages.select(topic.alias("topic"), F.col(value).alias("value")).where(
-        F.col("topic").isNotNull()
-    )
+    """Rows for the Kafka sink, which sends each one to the topic in its `topic` column.
+
+    A row whose type has no topic fails the job: filter such rows out, or give their type a topic.
+    """
+    missing = F.raise_error(F.concat(F.lit("no topic for type "), F.coalesce(F.col(kind), F.lit("null"))))
+    topic = F.coalesce(topic_for(F.col(kind), topics), missing)
+    return messages.select(topic.alias("topic"), F.col(value).alias("value"))
 
 
 def publish(messages: DataFrame, namespace: str, connection: Secret | None) -> None:

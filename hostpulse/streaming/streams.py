@@ -1,6 +1,7 @@
 """The logs and the metrics stream. Each has its own scan and checkpoint, so each restarts alone."""
 
 import logging
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -123,6 +124,21 @@ def wait(query: StreamingQuery, seconds: float | None = 10) -> bool:
     return ended
 
 
+def wait_all(queries: list[StreamingQuery], seconds: float | None = None) -> bool:
+    """True once all queries have ended, False after `seconds`. Raises as soon as any of them has failed."""
+    end = None if seconds is None else time.monotonic() + seconds
+    while True:
+        active = [query for query in queries if query.isActive]
+        for query in queries:
+            if query not in active:
+                query.awaitTermination()  # raises if it failed
+        if not active:
+            return True
+        if end is not None and time.monotonic() >= end:
+            return False
+        active[0].awaitTermination(min(1.0, max(0.1, end - time.monotonic())) if end is not None else 1.0)
+
+
 @contextmanager
 def stopping(*queries: StreamingQuery) -> Iterator[None]:
     """Stops the queries on the way out, whatever happened inside."""

@@ -114,3 +114,12 @@ def test_tasks_pass_on_only_the_best(spark, vectors, queries):
     assert "MapInArrow" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_near_ties_rank_by_similarity(spark):
+    """Similarities that agree in six digits, the best with the largest id."""
+    rows = [(k, [1.0, 1e-4 * (7 - k)]) for k in range(1, 7)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, query_vector array<double>")
+    found = nearest(vectors, queries, 3, 2, id_cols=["vec_id"]).orderBy("rank").collect()
+    assert [row["vec_id"] for row in found] == [6, 5, 4]

@@ -221,3 +221,14 @@ def test_workers_need_no_installed_package(tmp_path, small):
         [sys.executable, "-c", code, str(root), small], cwd=tmp_path, capture_output=True, timeout=240
     )
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_any_failed_stream_is_noticed(spark, tmp_path):
+    """The first stream goes on for ever; the second fails at once."""
+    rates = spark.readStream.format("rate").load()
+    steady = rates.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    bad = rates.selectExpr("raise_error('broken') AS x").writeStream.format("noop")
+    broken = bad.option("checkpointLocation", str(tmp_path / "b")).start()
+    with streams.stopping(steady, broken):
+        with pytest.raises(Exception, match="broken"):
+            streams.wait_all([steady, broken], 60)

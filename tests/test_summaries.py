@@ -92,7 +92,7 @@ def test_windows(spark):
     first = got[at(0)]
     assert (first["n"], first["min_cpu"], first["max_cpu"], first["avg_cpu"]) == (2, 1.5, 2.5, 2.0)
     assert (first["max_memory"], first["avg_memory"], first["min_available"]) == (50.0, 50.0, 5)
-    assert got[at(5)]["n"] == 2 and got[at(5)]["avg_cpu"] is None
+    assert got[at(5)]["n"] == 2 and math.isnan(got[at(5)]["avg_cpu"])
 
 
 def test_stray_figures_do_not_end_the_job(spark):
@@ -102,7 +102,7 @@ def test_stray_figures_do_not_end_the_job(spark):
         "at timestamp, cpu_percent double, available_memory bigint, percent_memory double",
     )
     row = metrics_by_window(rows).first()
-    assert math.isclose(row["avg_cpu"], 9e12) and row["avg_memory"] == 50.0
+    assert row["avg_cpu"] == math.inf and row["avg_memory"] == 50.0
     assert row["n"] == 5 and row["max_cpu"] == float("inf")
 
 
@@ -113,3 +113,14 @@ def test_log_counts(spark):
     got = {(r["window_start"], r["category"]): r["n"] for r in logs_by_window(rows).collect()}
     floor = lambda t: t - dt.timedelta(seconds=t.second % 5)
     assert got == Counter((floor(t), c) for t, c in raw)
+
+
+@pytest.mark.parametrize("values", [(1e13, 3e13, 1.0), (1e-7, 1e-7), (1e-15, 3e-15), (0.1, 0.2, 0.3), (1e300, 1.0)])
+def test_mean_leaves_no_row_out(spark, values):
+    start = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame(
+        [(start, value, 1, 50.0) for value in values],
+        "at timestamp, cpu_percent double, available_memory bigint, percent_memory double",
+    )
+    row = metrics_by_window(rows).first()
+    assert row["n"] == len(values) and math.isclose(row["avg_cpu"], math.fsum(values) / len(values))

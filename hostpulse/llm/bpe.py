@@ -18,6 +18,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,21 @@ from pyspark.sql import DataFrame
 
 from hostpulse.llm import common
 
-#: Words whose ids a worker remembers; beyond it, it forgets all and goes on.
-CACHED_WORDS = 250_000
+#: Words, and pieces of words, whose ids a worker remembers, some 200 MB each; beyond it, it forgets the later half. The
+#: earlier half holds the frequent ones, which come up first.
+CACHED_WORDS = 1_000_000
 _NONE = np.int64(1) << 60
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile(r"[^\S\x1c-\x1f]+")
 
 
+def _trim(known: dict) -> None:
+    if len(known) > CACHED_WORDS:
+        early = list(islice(known.items(), CACHED_WORDS // 2))
+        known.clear()
+        known.update(early)
+
+
 class Vocabulary:
     """The tables of a tokenizer file, read on the driver and sent with the job; its size is that of the file."""
 
@@ -76,14 +85,14 @@ class Encoder:
         self.pieces = regex.compile(vocabulary.pattern)
         self.special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")")
         self.known: dict[str, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._words(text) for text in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list({word for words in parts for word in words if word not in self.known})
-        self._learn(new)
+        _trim(self.known)
+        new = set().union(*parts).difference(self.known)
+        self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, words)) for words in parts]
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -101,23 +110,27 @@ class Encoder:
         return _split(text)
 
     def _learn(self, words: list[str]) -> None:
-        pieces: dict[bytes, int] = {}
-        made = []
+        _trim(self.known_pieces)
+        ids, made, new = self.known_pieces, [], set()
         for word in words:
             if word in self.v.special:
-                made.append(None)
+                self.known[word] = np.array([self.v.special[word]], "<u4").tobytes()
                 continue
-            plain = word if word.isascii() else unicodedata.normalize("NFC", word)
+            plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
             # The library lowers letter by letter, without the special form of a final sigma.
-            plain = plain.replace("Σ", "σ").lower()
-            found = [piece.encode() for piece in self.pieces.findall(plain)]
-            made.append([pieces.setdefault(piece, len(pieces)) for piece in found])
-        ids = self.merge(list(pieces))
-        for word, numbers in zip(words, made):
-            if numbers is None:
-                self.known[word] = np.array([self.v.special[word]], "<u4").tobytes()
+            plain = plain.lower()
+            if plain.isalpha():  # all letters, so the pattern takes it whole
+                found = [plain]
+            elif plain[-1] in ".,!" and plain[:-1].isalpha():
+                found = [plain[:-1], plain[-1]]
             else:
-                self.known[word] = b"".join([ids[n] for n in numbers])
+                found = self.pieces.findall(plain)
+            made.append((word, found))
+            new.update([piece for piece in found if piece not in ids])
+        order = list(new)
+        ids.update(zip(order, self.merge([piece.encode() for piece in order])))
+        for word, found in made:
+            self.known[word] = ids[found[0]] if len(found) == 1 else b"".join([ids[piece] for piece in found])
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, all words together in rounds."""
@@ -131,12 +144,20 @@ class Encoder:
         symbols[ends - 1] = v.final[flat[ends - 1]]
         owner = np.repeat(np.arange(len(words)), lengths)
         done_owner, done_symbols = [], []
+
+        def look_up(places: np.ndarray) -> None:
+            """Ranks of the pairs that begin at these places; none at the end of a word."""
+            rank[places] = _NONE
+            places = places[places < len(symbols) - 1]
+            places = places[owner[places] == owner[places + 1]]
+            pair = symbols[places] * v.size + symbols[places + 1]
+            found = np.minimum(np.searchsorted(v.keys, pair), len(v.keys) - 1)
+            same = v.keys[found] == pair
+            rank[places[same]] = v.ranks[found[same]]
+
+        rank = np.empty(len(symbols), np.int64)
+        look_up(np.arange(len(symbols)))
         while len(symbols):
-            rank = np.full(len(symbols), _NONE)
-            pair = symbols[:-1] * v.size + symbols[1:]
-            place = np.minimum(np.searchsorted(v.keys, pair), len(v.keys) - 1)
-            same = (v.keys[place] == pair) & (owner[:-1] == owner[1:])
-            rank[:-1][same] = v.ranks[place[same]]
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.r_[starts, len(symbols)]))
             ended = best == _NONE
@@ -151,7 +172,11 @@ class Encoder:
             symbols[hits] = v.merged[rank[hits]]
             keep = ~ended
             keep[hits + 1] = False
-            symbols, owner = symbols[keep], owner[keep]
+            place = np.cumsum(keep) - 1
+            symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
+            # Only pairs with a new symbol have another rank.
+            new = place[hits]
+            look_up(np.concatenate([new, new[new > 0] - 1]))
         owner, symbols = np.concatenate(done_owner), np.concatenate(done_symbols).astype("<u4")
         order = np.argsort(owner, kind="stable")
         counts = np.bincount(owner, minlength=len(words))

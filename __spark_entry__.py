@@ -86,7 +86,7 @@ logs AS (
 )"""
 
 _METRICS_COLUMNS = """'system_data' AS topic, taken_s AS "timestamp", cpu AS cpu_percent,
-       17179869184 AS total_memory, available AS available_memory, CAST(k AS DOUBLE) AS percent_memory"""
+       24000000000 AS total_memory, available AS available_memory, CAST(k AS DOUBLE) AS percent_memory"""
 
 _METRICS_WINDOWS = """
 windows AS (
@@ -124,7 +124,7 @@ def oracle_sql() -> dict[str, str]:
         "decode_payload": f"""WITH {_MESSAGES}
 SELECT event_id, taken_s AS "timestamp", type,
        CASE WHEN type = 'metrics' THEN cpu END AS cpu_percent,
-       CASE WHEN type = 'metrics' THEN 17179869184 END AS total_memory,
+       CASE WHEN type = 'metrics' THEN 24000000000 END AS total_memory,
        CASE WHEN type = 'metrics' THEN available END AS available_memory,
        CASE WHEN type = 'metrics' THEN CAST(k AS DOUBLE) END AS percent_memory,
        CASE WHEN type = 'metrics' THEN k * 1000 END AS read_bytes,
@@ -259,5 +259,25 @@ FROM logs JOIN vectors USING (event_id)""",
 SELECT broker AS eventhub_timestamp, {_METRICS_COLUMNS}
 FROM messages WHERE type = 'metrics'""",
         "stream_metrics_5s": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} {_CLOSED.format('metrics')}",
+        "stream_metrics_5s_small_batches": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} SELECT * FROM windows",
+        "retrieve_stored_logs": f"""WITH {_MESSAGES}, {_LOGS},
+questions AS (
+  SELECT event_type AS query_id, 'user ' || max(user_id) AS text FROM events GROUP BY event_type
+),
+{_VECTORS.format(name="found", keys="event_id", text="log_raw", source="logs")},
+{_VECTORS.format(name="asked", keys="query_id", text="text", source="questions")},
+shared AS (
+  SELECT query_id, event_id, sum(found.weight * asked.weight) AS dot
+  FROM found JOIN asked USING (dim) GROUP BY query_id, event_id
+),
+scored AS (
+  SELECT q.query_id, l.event_id, round(coalesce(s.dot, 0), 12) AS similarity
+  FROM (SELECT DISTINCT query_id FROM asked) q
+  CROSS JOIN (SELECT DISTINCT event_id FROM found) l
+  LEFT JOIN shared s ON s.query_id = q.query_id AND s.event_id = l.event_id
+)
+SELECT query_id, "timestamp", log_raw, round(similarity, 6) AS similarity,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, "timestamp", log_raw) AS INTEGER) AS rank
+FROM scored JOIN logs USING (event_id) QUALIFY rank <= 10""",
         "stream_log_counts_5s": f"WITH {_MESSAGES}, {_LOG_WINDOWS} {_CLOSED.format('log')}",
     }

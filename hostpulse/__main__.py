@@ -1,6 +1,7 @@
 """Runs the streams: `python -m hostpulse --streams logs metrics --mode files --volume-root DIR`."""
 
 import argparse
+import importlib
 import os
 import sys
 from dataclasses import replace
@@ -30,6 +31,15 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument("--volume-root", default=defaults.volume_root)
     parser.add_argument("--namespace", default=defaults.namespace)
     parser.add_argument("--topics", default=defaults.topics)
+    parser.add_argument("--input", help="scanned folder in file mode; default: made of root and environment")
+    parser.add_argument("--clean", choices=["full", "prefix"], default=defaults.clean)
+    parser.add_argument("--broker-zone", default=defaults.broker_zone, help="empty: broker times stay in UTC")
+    parser.add_argument("--tolerate-data-loss", action="store_true", help="go on if offsets are gone")
+    parser.add_argument("--backlog", action="store_true", help="batches as wide as the cluster")
+    parser.add_argument("--windows", choices=["parts", "closed"], default=defaults.windows)
+    parser.add_argument("--window-delay", default=defaults.window_delay)
+    parser.add_argument("--clock-ahead", default=defaults.clock_ahead)
+    parser.add_argument("--encoder", metavar="MODULE:NAME", help="function that opens the encoder of a task")
     parser.add_argument("--catalog", default=defaults.target.catalog)
     parser.add_argument("--schema", default=defaults.target.schema)
     parser.add_argument("--output", help="folder for Parquet output; default: tables")
@@ -38,7 +48,7 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument(
         "--run-name", default="run", help="change it for the database after deleting a checkpoint"
     )
-    parser.add_argument("--wait", type=float, help="seconds to wait; default: until the streams end")
+    parser.add_argument("--wait", type=float, help="seconds to run; default: until the streams end")
     given = parser.parse_args(arguments)
     config = replace(
         defaults,
@@ -48,8 +58,23 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
         namespace=given.namespace,
         topics=given.topics,
         target=Target(given.catalog, given.schema),
+        input_path=given.input,
+        clean=given.clean,
+        broker_zone=given.broker_zone or None,
+        fail_on_data_loss=not given.tolerate_data_loss,
+        windows=given.windows,
+        window_delay=given.window_delay,
+        clock_ahead=given.clock_ahead,
     )
-    return given, config
+    return given, config.for_backlog() if given.backlog else config
+
+
+def encoder_for(given: argparse.Namespace) -> dict:
+    """The encoder of the logs stream, if one is named."""
+    if not given.encoder:
+        return {}
+    module, _, name = given.encoder.partition(":")
+    return {"open_encoder": getattr(importlib.import_module(module), name)}
 
 
 def sink_for(
@@ -78,7 +103,8 @@ def main(arguments: list[str] | None = None) -> None:
     queries = []
     for name in given.streams:
         start, table = STREAMS[name]
-        queries.append(start(spark, config, sink_for(given, config, table, spark)))
+        more = encoder_for(given) if name == "logs" else {}
+        queries.append(start(spark, config, sink_for(given, config, table, spark), **more))
     with streams.stopping(*queries):
         try:
             streams.wait_all(queries, given.wait)

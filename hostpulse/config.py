@@ -26,8 +26,10 @@ class Secret:
         return cls(lambda: os.environ[name])
 
 
-def event_hubs_servers(namespace: str) -> str:
+def event_hubs_servers(namespace: str | None) -> str:
     """Bootstrap address of the Kafka endpoint of an Event Hubs namespace."""
+    if not namespace:
+        raise ValueError("Kafka mode needs the name of a namespace")
     return f"{namespace}.servicebus.windows.net:9093"
 
 
@@ -68,7 +70,8 @@ class Config:
     # `dev` or `main`: keeps test and production folders apart.
     environment: str = "dev"
     volume_root: str = "/Volumes"
-    namespace: str = "real-time-metrics"
+    # Has no default: names are global, and the login is sent there.
+    namespace: str | None = None
     # One topic or a comma-separated list.
     topics: str = "system_data"
     target: Target = field(default_factory=Target)
@@ -79,6 +82,14 @@ class Config:
     # Zone that broker times from Kafka are shifted to; None keeps them in UTC. Files hold local time.
     broker_zone: str | None = "Europe/Berlin"
     clean: Literal["full", "prefix"] = "full"
+    # `parts`: figures of each batch are written and added up on reading, so no row is late.
+    # `closed`: each window is written once, `window_delay` after the newest time; later rows are lost.
+    windows: Literal["parts", "closed"] = "parts"
+    window_delay: str = "10 seconds"
+    # A sample time this far after the broker's is a wrong clock and must not close windows.
+    clock_ahead: str = "10 minutes"
+    # The scanned folder in file mode, if it is not the one made of root and environment.
+    input_path: str | None = None
 
     @property
     def zone(self) -> str | None:
@@ -86,7 +97,7 @@ class Config:
 
     @property
     def base_path(self) -> str:
-        return f"{self.volume_root}/{self.environment}/default/streaming_data"
+        return self.input_path or f"{self.volume_root}/{self.environment}/default/streaming_data"
 
     def checkpoint(self, stream: str) -> str:
         """One checkpoint per source mode and stream: file and Kafka offsets cannot be mixed.
@@ -102,9 +113,9 @@ class Config:
         """For a large backlog: batches as wide as the cluster, where the usual limits would cut it
         into a great many small ones.
 
-        A limit in bytes bounds what a failed batch has to repeat. A stream with a watermark must do
-        without it: input that is not in the order of time would be late in the batches after the
-        first.
+        A limit in bytes bounds what a failed batch has to repeat. Windows that are
+        `closed` must do without it: input that is not in the order of time would be late in the
+        batches after the first.
         """
         wide = {
             "max_offsets": None,

@@ -37,11 +37,12 @@ class HashingEncoder:
         return bucket if digest[4] % 2 == 0 else bucket + self.dims
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        vectors = np.zeros((len(texts), self.dims))
-        for row, text in enumerate(texts):
-            slots = [self._slot(word) for word in text.encode().split()]
-            counts = np.bincount(np.array(slots, dtype=np.int64), minlength=2 * self.dims)
-            vectors[row] = counts[: self.dims] - counts[self.dims :]
+        words = [text.encode().split() for text in texts]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        slots = np.fromiter((self._slot(word) for text in words for word in text), np.int64, sizes.sum())
+        cells = np.repeat(np.arange(len(words)), sizes) * 2 * self.dims + slots
+        counts = np.bincount(cells, minlength=2 * self.dims * len(words)).reshape(-1, 2, self.dims)
+        vectors = (counts[:, 0] - counts[:, 1]).astype(np.float64)
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         return np.divide(vectors, norms, out=vectors, where=norms > 0)
 
@@ -53,9 +54,15 @@ class PredictEncoder:
         self._client = client
         self._endpoint = endpoint
 
-    def __call__(self, texts: list[str]) -> list[list[float]]:
-        response = self._client.predict(endpoint=self._endpoint, inputs={"input": texts})
-        return [[float(x) for x in item["embedding"]] for item in response["data"]]
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        answer = self._client.predict(endpoint=self._endpoint, inputs={"input": texts})
+        vectors = [np.asarray(entry["embedding"], dtype=np.float64) for entry in answer["data"]]
+        if not vectors:
+            return np.zeros((0, 0))
+        widths = {vector.shape for vector in vectors}
+        if len(widths) > 1:
+            raise ValueError(f"the model gave vectors of different lengths: {sorted(widths)}")
+        return np.stack(vectors)
 
 
 def encode_chunk(encode: Encoder, texts: list[str], attempts: int, wait_seconds: float):

@@ -104,21 +104,23 @@ def metrics(
     )
 
 
-def log_samples(envelopes: DataFrame) -> DataFrame:
-    """Time and category of logs, for the summaries."""
+def log_samples(envelopes: DataFrame, *also: str) -> DataFrame:
+    """Time and category of logs, for the summaries, and columns of the envelope."""
     return of_type(envelopes, LOG, fields=("timestamp", "type", "category")).select(
         payload_instant(F.col("payload.timestamp")).alias("at"),
         F.col("payload.category").alias("category"),
+        *also,
     )
 
 
-def metric_samples(envelopes: DataFrame) -> DataFrame:
-    """Time and figures of metrics, for the summaries."""
+def metric_samples(envelopes: DataFrame, *also: str) -> DataFrame:
+    """Time and figures of metrics, for the summaries, and columns of the envelope."""
     return of_type(envelopes, METRICS, fields=METRICS_FIELDS).select(
         payload_instant(F.col("payload.timestamp")).alias("at"),
         F.col("payload.cpu_percent").alias("cpu_percent"),
         F.col("payload.memory.available").alias("available_memory"),
         F.col("payload.memory.percent").alias("percent_memory"),
+        *also,
     )
 
 

@@ -18,10 +18,16 @@ from ..functions.times import lag_micros
 EXACT = "decimal(28,9)"
 
 
+def _held(value: str) -> tuple[Column, Column]:
+    """The value as `EXACT`, and how many of a group that type cannot hold."""
+    held = F.col(value).try_cast(EXACT)
+    same = F.coalesce(held.cast("double") == F.col(value), F.lit(False))
+    return held, F.count_if(F.col(value).isNotNull() & ~same)
+
+
 def _mean(value: str) -> Column:
     """Mean of all values. Where a group has one that `EXACT` cannot hold, the whole group is averaged in floating point."""
-    held = F.col(value).try_cast(EXACT)
-    misfits = F.count_if(F.col(value).isNotNull() & ~F.coalesce(held.cast("double") == F.col(value), F.lit(False)))
+    held, misfits = _held(value)
     exact = F.try_sum(held).cast("double") / F.count(F.col(value))
     return F.when(misfits == 0, F.coalesce(exact, F.avg(value))).otherwise(F.avg(value))
 
@@ -61,6 +67,65 @@ def logs_by_window(rows: DataFrame, width: str = "5 seconds", time: str = "at")
     )
 
 
+def _start(time: str, seconds: int) -> Column:
+    """Start of the window; null, unlike with `window`, for rows without a time."""
+    micros = F.unix_micros(F.col(time))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(seconds * 1_000_000))).alias("window_start")
+
+
+def _mean_parts(value: str, name: str) -> list[Column]:
+    held, misfits = _held(value)
+    return [
+        F.count(value).alias(f"{name}_count"),
+        F.try_sum(held).alias(f"{name}_exact"),
+        F.sum(value).alias(f"{name}_sum"),
+        misfits.alias(f"{name}_misfits"),
+    ]
+
+
+def _mean_of_parts(name: str) -> Column:
+    """The same mean as `_mean`: a part that has values but no exact sum makes it a floating one."""
+    count, exact, total, misfits = (F.col(f"{name}_{part}") for part in ("count", "exact", "sum", "misfits"))
+    inexact = F.count_if((misfits > 0) | ((count > 0) & exact.isNull()))
+    plain = F.try_divide(F.sum(total), F.sum(count))
+    added = F.try_divide(F.try_sum(exact).cast("double"), F.sum(count))
+    return F.when(inexact == 0, F.coalesce(added, plain)).otherwise(plain)
+
+
+def metric_parts(rows: DataFrame, seconds: int = 5, time: str = "at") -> DataFrame:
+    """What a batch adds to `merged_metrics`. Rows without a time are kept, under a window of null."""
+    return rows.groupBy(_start(time, seconds)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("cpu_percent").alias("min_cpu"),
+        F.max("cpu_percent").alias("max_cpu"),
+        *_mean_parts("cpu_percent", "cpu"),
+        F.max("percent_memory").alias("max_memory"),
+        *_mean_parts("percent_memory", "memory"),
+        F.min("available_memory").alias("min_available"),
+    )
+
+
+def log_parts(rows: DataFrame, seconds: int = 5, time: str = "at") -> DataFrame:
+    return rows.groupBy(_start(time, seconds), "category").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_metrics(parts: DataFrame) -> DataFrame:
+    """The columns of `metrics_by_window` from the parts of any number of batches, in any order."""
+    return parts.groupBy("window_start").agg(
+        F.sum("n").alias("n"),
+        F.min("min_cpu").alias("min_cpu"),
+        F.max("max_cpu").alias("max_cpu"),
+        _mean_of_parts("cpu").alias("avg_cpu"),
+        F.max("max_memory").alias("max_memory"),
+        _mean_of_parts("memory").alias("avg_memory"),
+        F.min("min_available").alias("min_available"),
+    )
+
+
+def merged_logs(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "category").agg(F.sum("n").alias("n"))
+
+
 def streamed(rows: DataFrame, delay: str, time: str = "at") -> DataFrame:
     """Rows with a watermark: windows close `delay` after the newest time seen, later rows are lost."""
     return rows.withWatermark(time, delay)

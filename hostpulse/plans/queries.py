@@ -20,6 +20,7 @@ NEIGHBOURS = 10
 DIMS = 64
 WINDOW_DELAY = "1 hour"
 BATCH_BYTES = 1 << 40
+SMALL_FILES = 40
 
 
 def _utc(spark: SparkSession) -> None:
@@ -182,28 +183,21 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     return retrieve.nearest(vectors, queries, NEIGHBOURS, DIMS, id_cols=["vec_id"])
 
 
-def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """The logs nearest to a question in words, which is embedded like the logs.
+def _questions(spark: SparkSession, folder: str) -> DataFrame:
+    """One question per event type: the user with the highest number among its events."""
+    users = _events(spark, folder).groupBy("event_type").agg(F.max("user_id").alias("user"))
+    words = F.concat(F.lit("user "), F.col("user").cast("string"))
+    return users.select(F.col("event_type").alias("query_id"), embedding.embed(words).alias("query_vector"))
+
 
-    One question per event type: the user with the highest number among its events.
-    """
+def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The logs nearest to a question in words, which is embedded like the logs."""
     rows = _envelopes(spark, folder)
     found = route.of_type(rows, LOG, fields=route.LOG_FIELDS).select(
         F.col("offset").alias("event_id"),
         embedding.embed(text.strip_noise(F.col("payload.log_raw"))).alias("embedding"),
     )
-    questions = (
-        _events(spark, folder)
-        .groupBy("event_type")
-        .agg(F.max("user_id").alias("user"))
-        .select(
-            F.col("event_type").alias("query_id"),
-            embedding.embed(F.concat(F.lit("user "), F.col("user").cast("string"))).alias(
-                "query_vector"
-            ),
-        )
-    )
-    return retrieve.nearest(found, questions, NEIGHBOURS, DIMS, id_cols=["event_id"])
+    return retrieve.nearest(found, _questions(spark, folder), NEIGHBOURS, DIMS, id_cols=["event_id"])
 
 
 def _file_run(spark: SparkSession, folder: str) -> Config:
@@ -260,6 +254,32 @@ def stream_log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
     return _zone_free_windows(_stored(spark, windows, "stream-log-counts-5s"))
 
 
+def stream_metrics_5s_small_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows of files in no order of time, taken in the small batches of the usual limits."""
+    config = Config(mode="files", volume_root=shared_dir(spark, "small-batches"))
+    events = tables.file_envelopes(_events(spark, folder)).repartition(SMALL_FILES)
+    write_envelopes(events, config.base_path, rows_per_file=1_000_000)
+    out = shared_dir(spark, "stream-metrics-5s-parts")
+    query = streams.start_metric_windows(spark, config, streams.Sink(path=out), streams.DRAIN)
+    with streams.stopping(query):
+        streams.wait(query, None)
+    return _zone_free_windows(summaries.merged_metrics(spark.read.parquet(out)))
+
+
+def retrieve_stored_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest logs by the vectors that the logs stream has stored; time and text name a log."""
+    config = _file_run(spark, folder).for_backlog(BATCH_BYTES)
+    found = _stored(spark, streams.logs_frame(spark, config), "stored-logs")
+    return retrieve.nearest(
+        found,
+        _questions(spark, folder),
+        NEIGHBOURS,
+        DIMS,
+        id_cols=["timestamp", "log_raw"],
+        vector="embedding_vector",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -285,5 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_metrics,
         stream_metrics_5s,
         stream_log_counts_5s,
+        stream_metrics_5s_small_batches,
+        retrieve_stored_logs,
     )
 }

@@ -8,7 +8,7 @@ from ..operators.collect import envelope
 from ..schemas import LOG, METRICS
 from ..sources.files import normalise_files
 
-MEMORY_TOTAL = 17179869184
+MEMORY_TOTAL = 24000000000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

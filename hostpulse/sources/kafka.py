@@ -8,7 +8,7 @@ from ..config import Config, Secret, StreamName, event_hubs_servers
 LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 
-def connection_options(namespace: str, connection: Secret | None) -> dict[str, str]:
+def connection_options(namespace: str | None, connection: Secret | None) -> dict[str, str]:
     """Broker address and, with a secret, SASL PLAIN over TLS. Shared by source and sink."""
     options = {"kafka.bootstrap.servers": event_hubs_servers(namespace)}
     if connection is not None:

@@ -14,12 +14,12 @@ SECRET = 'Endpoint=sb://x/;Key="a\\b"'
 
 @pytest.fixture
 def config():
-    return Config(connection=Secret(lambda: SECRET))
+    return Config(namespace="example-space", connection=Secret(lambda: SECRET))
 
 
 def test_logs_options(config):
     options = read_options(config, "logs")
-    assert options["kafka.bootstrap.servers"] == "real-time-metrics.servicebus.windows.net:9093"
+    assert options["kafka.bootstrap.servers"] == "example-space.servicebus.windows.net:9093"
     assert options["subscribe"] == "system_data"
     assert options["startingOffsets"] == "latest"
     assert options["maxOffsetsPerTrigger"] == "100"
@@ -39,7 +39,7 @@ def test_metrics_options(config):
     assert options["startingOffsets"] == "earliest"
     assert options["maxOffsetsPerTrigger"] == "10000"
     assert "kafka.request.timeout.ms" not in options
-    lenient = Config(topics="a,b", fail_on_data_loss=False).for_backlog()
+    lenient = Config(namespace="example-space", topics="a,b", fail_on_data_loss=False).for_backlog()
     options = read_options(lenient, "metrics")
     assert options["failOnDataLoss"] == "false" and options["subscribe"] == "a,b"
     assert "maxOffsetsPerTrigger" not in options
@@ -103,7 +103,9 @@ def test_parameters_from_environment():
         {"HOSTPULSE_MODE": "files", "HOSTPULSE_TOPICS": "t", "HOSTPULSE_SCHEMA": "s"}
     )
     assert (config.mode, config.topics, config.target.schema) == ("files", "t", "s")
-    assert config.namespace == "real-time-metrics" and config.connection is None
+    assert config.namespace is None and config.connection is None
+    with pytest.raises(ValueError, match="namespace"):
+        connection_options(config.namespace, None)
 
 
 def test_command_line():

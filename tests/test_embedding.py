@@ -82,7 +82,7 @@ def test_endpoint_client():
             assert endpoint == "model"
             return {"data": [{"embedding": [len(text), 1]} for text in inputs["input"]]}
 
-    assert PredictEncoder(Client(), "model")(["ab", ""]) == [[2.0, 1.0], [0.0, 1.0]]
+    assert PredictEncoder(Client(), "model")(["ab", ""]).tolist() == [[2.0, 1.0], [0.0, 1.0]]
 
 
 def test_hashing_encoder():

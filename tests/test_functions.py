@@ -12,9 +12,9 @@ from hostpulse.operators import collect
 
 CLEANED = [
     (
-        '"eventMessage" : "SK[3]: flow_entry_alloc ..."',
-        '"SK[3]: flow_entry_alloc ..."',
-        "SK[3]: flow_entry_alloc ...",
+        '"eventMessage" : "disk7: 12 blocks moved"',
+        '"disk7: 12 blocks moved"',
+        "disk7: 12 blocks moved",
     ),
     ('  "eventMessage" : "a, b, \\"c\\"",', '  "a, b, \\"c\\"",', "  a b \\c\\"),
     (

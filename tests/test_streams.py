@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hostpulse.__main__ import main
 from hostpulse.config import Config, Target
 from hostpulse.functions.embedding import HashingEncoder
-from hostpulse.operators import route
+from hostpulse.operators import route, summaries
 from hostpulse.plans import tables
 from hostpulse.schemas import ENVELOPE
 from hostpulse.session import shared_dir
@@ -184,6 +184,7 @@ def test_windows_come_out_once_they_are_closed(spark, config, tmp_path):
         )
         write_envelopes(payloads.coalesce(1), config.base_path)
 
+    config = replace(config, windows="closed")
     sink = Sink(path=f"{tmp_path}/w")
     run = lambda: finish(streams.start_metric_windows(spark, config, sink, streams.DRAIN))
     counts = lambda: {
@@ -232,3 +233,58 @@ def test_any_failed_stream_is_noticed(spark, tmp_path):
     with streams.stopping(steady, broken):
         with pytest.raises(Exception, match="broken"):
             streams.wait_all([steady, broken], 60)
+
+
+def _samples(spark, config, times):
+    """Metrics messages as files: sample time in seconds, broker time equal to it unless given."""
+    rows = spark.createDataFrame(times, "s double, cpu double, broker string")
+    body = F.struct(F.col("s").alias("timestamp"), F.lit("metrics").alias("type"), F.col("cpu").alias("cpu_percent"))
+    rows = rows.select(
+        F.to_json(body).alias("value"),
+        *[F.lit(None).cast("string").alias(name) for name in ("key", "topic", "offset")],
+        F.lit(0).alias("partition"),
+        F.col("broker").alias("timestamp"),
+    )
+    write_envelopes(rows.repartition(25), config.base_path)
+
+
+@pytest.mark.parametrize("windows", ["parts", "closed"])
+def test_one_wrong_clock_costs_no_other_row(spark, config, tmp_path, windows):
+    start, broker = 1704067200.0, "2024-01-01T00:10:00Z"
+    times = [(start + i, 1.0, broker) for i in range(500)]
+    config = replace(config, windows=windows, window_delay="10 minutes")
+    _samples(spark, config, times + [(start + 366 * 86400.0, 1.0, broker), (None, 1.0, broker)])
+    sink = Sink(path=f"{tmp_path}/w")
+    query = finish(streams.start_metric_windows(spark, config, sink, streams.DRAIN))
+    if windows == "parts":
+        found = summaries.merged_metrics(spark.read.parquet(sink.path))
+        counts = {row["window_start"]: row["n"] for row in found.collect()}
+        assert sum(counts.values()) == 502 and counts[None] == 1 and len(counts) == 102
+    else:
+        seen = [p.observedMetrics["metrics_5s_input"] for p in query.recentProgress if p.observedMetrics]
+        assert sum(row["ahead"] for row in seen) == 1 and sum(row["timeless"] for row in seen) == 1
+        late = [(start + i, 1.0, broker) for i in range(500, 1500)]
+        _samples(spark, config, late)
+        finish(streams.start_metric_windows(spark, config, sink, streams.DRAIN))
+        found = spark.read.parquet(sink.path).where(F.col("window_start") < F.timestamp_seconds(F.lit(start + 500)))
+        assert found.agg(F.sum("n")).first()[0] == 500
+
+
+def test_parts_add_up_to_the_windows(spark, config, tmp_path):
+    """Values that no decimal holds, nulls and a repeated run; into a folder and a table."""
+    start = 1704067200.0
+    values = [1e13, 3e13, 1.0, 1e-7, 1e-7, 0.1, 0.2, None]
+    _samples(spark, config, [(start + 5 * (i // 8), values[i % 8] if i // 8 else 0.1, None) for i in range(80)])
+    whole = bag(summaries.metrics_by_window(route.metric_samples(read_files(spark, config.base_path))))
+    sink = Sink(path=f"{tmp_path}/w")
+    for _ in range(2):
+        finish(streams.start_metric_windows(spark, config, sink, streams.DRAIN))
+        assert bag(summaries.merged_metrics(spark.read.parquet(sink.path))) == whole
+    spark.sql("CREATE DATABASE IF NOT EXISTS monitoring")
+    name = "spark_catalog.monitoring.metrics_parts"
+    write = streams.parts_sink(summaries.metric_parts, Sink(table=name)).batch
+    rows = route.metric_samples(read_files(spark, config.base_path))
+    for batch in (0, 1, 1):
+        write(rows, batch)
+    assert spark.table(name).agg(F.sum("n")).first()[0] == 160
+    spark.sql(f"DROP TABLE {name}")

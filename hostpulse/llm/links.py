@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from hostpulse.llm.common import release, stored
 
 
+#: Pairs for each member outside its bucket's largest component up to which further pivots are not worth a round.
+PAIRS_A_MEMBER = 4
+
+
 def components(edges: DataFrame) -> DataFrame:
     """`node` and `component`, the smallest node that edges `a`, `b` connect it with, for the nodes of the edges.
 
@@ -56,6 +60,7 @@ def linked(
     profile: Callable[[DataFrame], DataFrame],
     close: Callable[[Column, Column], Column],
     verify: Callable[[DataFrame], DataFrame],
+    rounds: int = 0,
 ) -> DataFrame:
     """Components of the items in the buckets.
 
@@ -63,6 +68,8 @@ def linked(
     member. Those with the smallest `first(info)` come first as pivots. A pair is compared if `fits(x, y)` holds for its
     infos and `close(x, y)` for what `profile` gives, as column `about`, for each of the nodes that share a bucket with another.
     `verify` gets pairs `a` < `b` and returns those that are linked; no pair is verified twice.
+    With `rounds`, members outside their bucket's largest component meet further pivots, one a round and all of that
+    component, before the rest is compared; only the work depends on it. Rounds end early where they no longer help.
     """
     # One order for all buckets: items that share many buckets then meet the same few pivots in all of them.
     order = Window.partitionBy("key").orderBy(first(F.col("info")), F.xxhash64("node"), "node")
@@ -84,17 +91,27 @@ def linked(
     found = stored(verify(tried), "links")
     parts = components(found)
 
-    placed = everyone.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    placed = stored(placed.select("key", "node", "info", "part"), "placed")
+    placed, mixed = _placed(everyone, parts)
     release(everyone)
-    shares = placed.groupBy("key", "part").agg(F.count("*").alias("size"))
-    mixed = (
-        shares.groupBy("key")
-        .agg(F.max(F.struct("size", "part")).alias("largest"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("key", F.col("largest.part").alias("major"))
-    )
-    mixed = stored(mixed, "mixed")
+    before = None
+    for turn in range(rounds):
+        outside, most = _left(mixed)
+        if most <= PAIRS_A_MEMBER * outside or (before is not None and 4 * outside > 3 * before):
+            break
+        before = outside
+        some = stored(placed.join(mixed.select("key", "major"), "key"), "mixed-members")
+        release(placed)
+        inside = some.where("part = major").groupBy("key")
+        chosen = inside.agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("turn"), "node", "info")).alias("p"))
+        near = some.where("part <> major").join(chosen, "key").where(fits(F.col("info"), F.col("p.info")))
+        near = _pairs(near.select(F.col("node").alias("x_node"), F.col("p.node").alias("y_node")))
+        fresh = stored(promising(near.join(tried, ["a", "b"], "left_anti")), "pairs")
+        tried = tried.union(fresh)
+        found = found.union(stored(verify(fresh), "links"))
+        parts = components(found)
+        placed, mixed = _placed(some.select("key", "node", "info"), parts)
+        release(some)
+    mixed = mixed.select("key", "major")
     # Written, so that the join below deals its rows out anew and a frequent bucket can be split among tasks.
     rest = stored(placed.join(mixed, "key").join(about, "node"), "mixed-members")
     release(placed)
@@ -114,6 +131,27 @@ def linked(
     return components(found.union(more))
 
 
+def _placed(rows: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with their component, and the buckets of several: `major`, the largest, and the sizes of both."""
+    placed = rows.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    placed = stored(placed.select("key", "node", "info", "part"), "placed")
+    shares = placed.groupBy("key", "part").agg(F.count("*").alias("size"))
+    mixed = (
+        shares.groupBy("key")
+        .agg(F.max(F.struct("size", "part")).alias("largest"), F.sum("size").alias("total"), F.count("*").alias("parts"))
+        .where("parts > 1")
+        .select("key", F.col("largest.part").alias("major"), F.col("largest.size").alias("inside"), "total")
+    )
+    return placed, stored(mixed, "mixed")
+
+
+def _left(mixed: DataFrame) -> tuple[int, int]:
+    """Members outside the largest components, and the pairs that comparing them with all others would take."""
+    outside = F.col("total") - F.col("inside")
+    row = mixed.agg(F.sum(outside).alias("outside"), F.sum(outside * F.col("total")).alias("pairs")).first()
+    return row.outside or 0, row.pairs or 0
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     """The distinct pairs of nodes, the smaller first."""
     return rows.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()

@@ -33,6 +33,9 @@ _BELOW = np.uint64((1 << (64 - SLOT_BITS)) - 1)
 RANGES = 16
 PARITY_WORDS = 32
 CACHED_WORDS = 300_000
+#: Pivots that a bucket may get beyond its first before pairs are compared; results do not depend on it.
+ROUNDS = 4
+
 
 def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("unknown"), F.col("k1"), F.col("k2"))
@@ -221,7 +224,7 @@ def _classes(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         least = need(F.col("a_n"), F.col("b_n")).alias("least")
         return both.select("a", "b", least, "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
-    parts = links.linked(members, lambda info: F.lit(0), fits, profile, close, verify)
+    parts = links.linked(members, lambda info: F.lit(0), fits, profile, close, verify, ROUNDS)
     named = items.join(parts, "node", "left").select(
         "s1", "s2", "low", "row", F.coalesce("component", "node").alias("part")
     )

@@ -18,6 +18,7 @@ from hostpulse.llm import (
     common,
     context_tree,
     fingerprints,
+    links,
     near_lines,
     packing,
     passages,
@@ -448,3 +449,33 @@ def test_pipeline(spark, small):
     sizes = {r.doc_id: len(r.ids) + 1 for r in bpe.encode(rows, path).collect()}
     assert {p.doc_id: p.doc_tokens for p in pieces} == sizes
     assert sum(p.length for p in pieces) == sum(sizes.values())
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 6])
+def test_pivot_rounds_change_no_component(spark, monkeypatch, rounds):
+    """Copies with two changed words each: many are linked with each other but not with the first pivot."""
+    monkeypatch.setattr(shingles, "ROUNDS", rounds)
+    monkeypatch.setattr(links, "PAIRS_A_MEMBER", 0)
+    rng = np.random.default_rng(5)
+    rows = []
+    for group in range(4):
+        base = [f"w{group}x{i}" for i in range(60)]
+        for _ in range(30):
+            words = list(base)
+            for place in rng.integers(0, 60, 2):
+                words[place] = f"new{rng.integers(1 << 30)}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(57)} for _, t in rows]
+    lowest = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(a):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both) and lowest[a] != lowest[b]:
+                    lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+                    changed = True
+    found = shingles.similar(docs, width=4, percent=85).collect()
+    assert {row["doc_id"]: row["component_id"] for row in found} == dict(enumerate(lowest))

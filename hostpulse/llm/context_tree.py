@@ -5,15 +5,20 @@ decisions, each of which has its own context tree over the bytes before it, up t
 start of the word, with blanks before it. Every node holds a Krichevsky-Trofimov estimate of the decisions seen in its context, and
 context-tree weighting mixes the estimates of all depths: a node's weighted probability is half its own estimate
 and half the product of its children's. The probability of the next decision is then a mixture over the path, whose weights
-come from these products. The tree is fixed after training, so the probability of a word does not depend on its
-place, and each distinct word of the corpus is scored once.
+come from these products. The tree is fixed after training, so what it gives a word does not depend on the word's
+place, and each distinct word of the corpus is spelled once.
+
+One longer context reaches across words: the whole word before, a text's beginning counting as the end mark. Its decision is
+whether the word follows that training documents have most often there (of equally frequent ones that with the largest hash).
+The decision's estimate is mixed with the byte tree below it by the same weighting, over the occurrences after the first,
+which names the word; if the decision says no, and in words never seen before, the bytes code the word.
 
 Everything is counted over all training documents, in joins and aggregations keyed by context. Tasks are sent the scores of the `COMMON_GRAMS`
 contexts and bytes that most distinct words hold, and the `COMMON_WORDS` most frequent words of at most `WORD_BYTES` bytes with theirs; what these don't
 cover goes through joins, so scores do not depend on either number.
 
 Null texts count as empty: their only token is the end. Words are lower-cased in A-Z. Repeated rows count as often as they
-occur; rows without an id are training rows. Columns besides the id and the text are ignored. Without training
+occur; rows whose `held_out` is null are training rows. Words are told apart by 64-bit hashes where they follow others. Columns besides the id and the text are ignored. Without training
 rows every decision is even.
 """
 
@@ -24,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +44,11 @@ WORD_BYTES = 64
 assert DEPTH <= 7
 #: The end of a text as a word of its own; no word holds this byte.
 END = b"\n"
-#: Distinct words that a task counts before it passes them on.
+#: Distinct words that a task counts before it passes them on, and words whose followers it counts at a time.
 HELD_WORDS = 400_000
+HELD_PAIRS = 2_000_000
+#: Hashes of words that a task remembers.
+CACHED_WORDS = 300_000
 
 
 class _Places(dict):
@@ -49,6 +58,17 @@ class _Places(dict):
         return -1
 
 
+class _Codes(common.WordHashes):
+    """Hashes of words as `F.xxhash64` gives them."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return super().of(words).view(np.int64)
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -233,6 +253,62 @@ def word_scores(words: DataFrame, counts: DataFrame, scores: DataFrame, common_g
     return done.union(joined.select("word", "n", (F.col("part") + F.col("more")).alias("score")))
 
 
+def _pairs(docs: DataFrame, text_col: str) -> DataFrame:
+    """Hashes of each word `prev`, that of the end before a text's first, and its follower `next`, with their number `n`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes(CACHED_WORDS)
+        end = codes.of([END])
+        words: list[bytes] = []
+
+        def table() -> pa.RecordBatch:
+            following = codes.of(words)
+            before = np.r_[end, following][:-1]
+            both = common.mixed(before) + following.view(np.uint64)
+            _, place, n = np.unique(both, return_index=True, return_counts=True)
+            words.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(before[place]), pa.array(following[place]), pa.array(n)], ["prev", "next", "n"]
+            )
+
+        for batch in batches:
+            for part in common.slices(batch, text_col):
+                for text in common.bytes_of(part, text_col):
+                    words += words_of(text)
+                    words.append(END)
+                if len(words) > HELD_PAIRS:
+                    yield table()
+        yield table()
+
+    made = docs.mapInArrow(run, "prev long, next long, n long")
+    return made.groupBy("prev", "next").agg(F.sum("n").alias("n"))
+
+
+def followers(pairs: DataFrame, scored: DataFrame, common_words: int = COMMON_WORDS) -> DataFrame:
+    """For each word of training documents, `prev`: `next`, its most frequent follower, and what the context of the
+    whole word adds to the log10 probability of the bytes if that follows (`gain`) and if another does (`loss`).
+
+    `scored`: code (the word's hash), n and score.
+    """
+    best = pairs.groupBy("prev").agg(F.sum("n").alias("total"), F.max(F.struct("n", "next")).alias("best"))
+    best = common.stored(best.select("prev", "total", "best.n", "best.next"), "best-followers")
+    # A frequent word may follow many, a rare one only as many as its occurrences.
+    scores = scored.select(F.col("code").alias("next"), "score")
+    frequent = scored.orderBy(F.desc("n"), "code").limit(common_words).select(F.col("code").alias("next"), "score")
+    frequent = common.stored(frequent, "frequent-followers")
+    known = best.join(F.broadcast(frequent), "next")
+    rest = best.join(F.broadcast(frequent.select("next")), "next", "left_anti").join(scores, "next")
+    hits = (F.col("n") - 1).cast("double")
+    misses = (F.col("total") - F.col("n")).cast("double")
+    ten = float(np.log(10.0))
+    ratio = F.greatest(_log_estimate(misses, hits) - hits * F.col("score") * ten, F.lit(-600.0))
+    share = (hits + 0.5) / (hits + misses + 1.0) / (1 + F.exp(-ratio))
+    rows = known.unionByName(rest).withColumn("p", share)
+    bytes_too = F.log1p((1 - F.col("p")) * F.exp(F.col("score") * ten) / F.col("p")) / ten
+    gain = F.log10("p") - F.col("score") + bytes_too
+    return rows.select("prev", "next", gain.alias("gain"), (F.log1p(-F.col("p")) / ten).alias("loss"))
+
+
 def score(
     docs: DataFrame,
     held_out: Column,
@@ -255,7 +331,14 @@ def score(
     )
     words = common.stored(_counted(rows.select("text", "held"), "text"), "words")
     counts = common.stored(_gram_counts(words), "gram-counts")
-    scored = common.stored(word_scores(words, counts, gram_scores(counts), common_grams), "word-scores")
+    spelled = word_scores(words, counts, gram_scores(counts), common_grams).withColumn("code", F.xxhash64("word"))
+    spelled = common.stored(spelled, "word-scores")
+    training = rows.where(~F.coalesce("held", F.lit(False))).select("text")
+    follow = followers(_pairs(training, "text"), spelled, common_words)
+    none = {"next": 0, "gain": 0.0, "loss": 0.0}
+    scored = spelled.join(follow.withColumnRenamed("prev", "code"), "code", "left").fillna(none)
+    scored = common.stored(scored, "followers")
+    common.release(spelled)
     totals = scored.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
     train, distinct = totals.n or 0, totals.v or 0
     norm = float(np.log10(train + 0.1 * (distinct + 1)))
@@ -265,14 +348,13 @@ def score(
         .limit(common_words)
         .toArrow()
     )
-    sent = _Sent(
-        spark,
-        (table.column("word").to_pylist(), table.column("n").to_numpy(), table.column("score").to_numpy()),
-    )
-    names = ["id", "held", "n_tokens", "n_known", "base", "score", "n_coded", "rare"]
+    columns = (table.column(c).to_numpy() for c in ("n", "score", "code", "next", "gain", "loss"))
+    sent = _Sent(spark, (table.column("word").to_pylist(), *columns))
+    names = ["id", "held", "n_tokens", "n_known", "base", "score", "n_coded", "rare", "after"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, n, scores = sent.value
+        listed, n, scores, codes, follower, gains, losses = sent.value
+        others = _Codes(CACHED_WORDS)
         place = _Places(zip(listed, range(len(listed))))
         bases = np.log10(n + 0.1) - norm
         for batch in batches:
@@ -288,9 +370,19 @@ def score(
                 hit = found >= 0
                 whose, which = owner[hit], found[hit]
                 sums = [np.bincount(whose, v[which], len(sizes)) for v in (n > 0, bases, scores)]
+                missed = np.flatnonzero(~hit).tolist()
+                rare = [words[k] for k in missed]
+                code = np.empty(len(words), np.int64)
+                code[hit], code[~hit] = codes[which], others.of(rare)
+                # The end is the first of the list, and stands before every text's first word.
+                before = np.r_[0, found][:-1]
+                at = np.flatnonzero(before >= 0)
+                before = before[at]
+                sums[2] += np.bincount(
+                    owner[at], np.where(code[at] == follower[before], gains[before], losses[before]), len(sizes)
+                )
                 letters = np.fromiter(map(len, words), np.int64, len(words))
                 coded = np.bincount(owner, letters, len(sizes)).astype(np.int64) + sizes - 1
-                rare = pa.array([words[k] for k in np.flatnonzero(~hit).tolist()], pa.binary())
                 stops = np.cumsum(np.r_[0, np.bincount(owner[~hit], minlength=len(sizes))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -300,7 +392,8 @@ def score(
                         pa.array(sums[0].astype(np.int64)),
                         *map(pa.array, sums[1:]),
                         pa.array(coded),
-                        pa.ListArray.from_arrays(pa.array(stops), rare),
+                        pa.ListArray.from_arrays(pa.array(stops), pa.array(rare, pa.binary())),
+                        pa.ListArray.from_arrays(pa.array(stops), pa.array(code[np.asarray(missed, np.int64) + 1])),
                     ],
                     names,
                 )
@@ -308,22 +401,23 @@ def score(
     kind = rows.schema["id"].dataType.simpleString()
     schema = (
         f"id {kind}, held boolean, n_tokens long, n_known long, base double, score double, n_coded long, "
-        "rare array<binary>"
+        "rare array<binary>, after array<long>"
     )
     # The row numbers tie the rare words to their rows; they are fixed by being written.
     found = rows.select("id", "held", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     found = common.stored(found, "scores")
     rest = (
-        found.select("row", F.explode("rare").alias("word"))
+        found.select("row", F.explode(F.arrays_zip("rare", "after")).alias("w"))
+        .select("row", F.col("w.rare").alias("word"), F.col("w.after").alias("after"))
         .join(scored.withColumnRenamed("score", "s"), "word")
         .groupBy("row")
         .agg(
             F.sum((F.col("n") > 0).cast("long")).alias("more_known"),
             F.sum(F.log10(F.col("n") + 0.1) - norm).alias("more_base"),
-            F.sum("s").alias("more_score"),
+            F.sum(F.col("s") + F.when(F.col("after") == F.col("next"), F.col("gain")).otherwise(F.col("loss"))).alias("more_score"),
         )
     )
-    whole = found.drop("rare").join(rest, "row", "left")
+    whole = found.drop("rare", "after").join(rest, "row", "left")
     final = F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return whole.select(
         F.col("id").alias(id_col),

@@ -46,7 +46,7 @@ assert DEPTH <= 7
 END = b"\n"
 #: Distinct words that a task counts before it passes them on, and words whose followers it counts at a time.
 HELD_WORDS = 400_000
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 1_000_000
 #: Hashes of words that a task remembers.
 CACHED_WORDS = 300_000
 
@@ -259,24 +259,26 @@ def _pairs(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _Codes(CACHED_WORDS)
         end = codes.of([END])
-        words: list[bytes] = []
+        held: list[np.ndarray] = []
 
         def table() -> pa.RecordBatch:
-            following = codes.of(words)
+            following = np.concatenate([end[:0], *held])
             before = np.r_[end, following][:-1]
             both = common.mixed(before) + following.view(np.uint64)
             _, place, n = np.unique(both, return_index=True, return_counts=True)
-            words.clear()
+            held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(before[place]), pa.array(following[place]), pa.array(n)], ["prev", "next", "n"]
             )
 
         for batch in batches:
             for part in common.slices(batch, text_col):
+                words: list[bytes] = []
                 for text in common.bytes_of(part, text_col):
                     words += words_of(text)
                     words.append(END)
-                if len(words) > HELD_PAIRS:
+                held.append(codes.of(words))
+                if sum(map(len, held)) > HELD_PAIRS:
                     yield table()
         yield table()
 

@@ -250,7 +250,10 @@ def word_scores(words: DataFrame, counts: DataFrame, scores: DataFrame, common_g
     )
     joined = parts.where(F.size("rest") > 0).select("word", "n", "part").join(rare, "word")
     done = parts.where(F.size("rest") == 0).select("word", "n", F.col("part").alias("score"))
-    return done.union(joined.select("word", "n", (F.col("part") + F.col("more")).alias("score")))
+    done = done.union(joined.select("word", "n", (F.col("part") + F.col("more")).alias("score")))
+    done = common.stored(done, "word-scores")
+    common.release(both, parts)
+    return done
 
 
 def _pairs(docs: DataFrame, text_col: str) -> DataFrame:
@@ -333,14 +336,16 @@ def score(
     )
     words = common.stored(_counted(rows.select("text", "held"), "text"), "words")
     counts = common.stored(_gram_counts(words), "gram-counts")
-    spelled = word_scores(words, counts, gram_scores(counts), common_grams).withColumn("code", F.xxhash64("word"))
-    spelled = common.stored(spelled, "word-scores")
+    bytewise = gram_scores(counts)
+    listed = word_scores(words, counts, bytewise, common_grams)
+    common.release(words, counts, bytewise)
+    spelled = listed.withColumn("code", F.xxhash64("word"))
     training = rows.where(~F.coalesce("held", F.lit(False))).select("text")
     follow = followers(_pairs(training, "text"), spelled, common_words)
     none = {"next": 0, "gain": 0.0, "loss": 0.0}
     scored = spelled.join(follow.withColumnRenamed("prev", "code"), "code", "left").fillna(none)
     scored = common.stored(scored, "followers")
-    common.release(spelled)
+    common.release(listed)
     totals = scored.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
     train, distinct = totals.n or 0, totals.v or 0
     norm = float(np.log10(train + 0.1 * (distinct + 1)))

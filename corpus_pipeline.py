@@ -44,7 +44,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that nearly repeat an earlier line of any document."""
-    rows = near_lines.dedup(docs.select("doc_id", "text", _others(docs)))
+    rows = near_lines.dedup(docs.select("doc_id", "text", _others(docs)), short=True)
     rows = rows.select(*("text" if name == "text" else f"others.`{name}`" for name in docs.columns), "n_removed")
     return _changed(rows, "n_removed", docs.columns)
 

@@ -7,8 +7,10 @@ dropped, and the rest is verified with banded bit-parallel edit distance. Lines
 others, form a component.
 
 A line is removed if an earlier one, in the order of id, text and line number, is in its component: exact repeats are components of their
-own. Lines of fewer than `LEAST` letters stay as they are and are compared with nothing. Letters are code
-points. Null texts count as empty, stay null, and lose nothing. Rows that agree in id and text are one document, treated alike. Columns
+own. Lines of fewer than `LEAST` letters are not compared for edits: their segments would be shorter than ten letters and two edits a
+large part of them. With `short`, as the query and the pipeline have it, those of them that hold a word still go
+if an earlier line equals them; without, they stay as they are. Lines without a word and of fewer than `LEAST` letters always stay.
+Letters are code points. Null texts count as empty, stay null, and lose nothing. Rows that agree in id and text are one document, treated alike. Columns
 besides the id and the text are kept by `dedup` and never looked at. An empty table gives an empty result.
 """
 
@@ -28,6 +30,8 @@ EDITS = 2
 LEAST = 30
 #: Classes of letters that are counted before verification.
 RANGES = 16
+#: What stands between words, besides the line's end.
+BLANKS = " \t\x0b\f\r"
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -113,8 +117,10 @@ def _banded(a: str, b: str, edits: int) -> bool:
     return distance <= edits
 
 
-def _occurrences(rows: DataFrame, edits: int, least: int) -> DataFrame:
-    """Each line of at least `least` letters: where it stands, its digest and its keys."""
+def _occurrences(rows: DataFrame, edits: int, least: int, short: bool) -> DataFrame:
+    """Each line of at least `least` letters: where it stands, its digest and its keys; with `short` also lines with a
+    word below that, without keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,10 +128,12 @@ def _occurrences(rows: DataFrame, edits: int, least: int) -> DataFrame:
                 owners, numbers, digests, flat, ends = [], [], [], [], [0]
                 for owner, text in enumerate(common.texts_of(part)):
                     for number, line in enumerate(text.split("\n")):
-                        if len(line) >= least:
+                        long = len(line) >= least
+                        if long or (short and line.strip(BLANKS)):
                             owners.append(owner), numbers.append(number)
                             digests.append(xxhash.xxh3_128_digest(line.encode()))
-                            flat += keys(line, edits)
+                            if long:
+                                flat += keys(line, edits)
                             ends.append(len(flat))
                 both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 columns = [part.column(name).take(pa.array(owners, pa.int64())) for name in ("k1", "k2", "known")]
@@ -145,15 +153,22 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def removals(
-    docs: DataFrame, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    edits: int = EDITS,
+    least: int = LEAST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    short: bool = False,
 ) -> DataFrame:
     """The numbers of the lines to remove, for each document that loses any: `k1`, `k2` (see `row_key`), `numbers`."""
     rows = _rows(docs, id_col, text_col)
-    found = common.stored(_occurrences(rows, edits, least), "lines")
+    found = common.stored(_occurrences(rows, edits, least, short), "lines")
     place = F.struct("known", "k1", "k2", "number")
     whole = (
         found.groupBy("l1", "l2")
         .agg(F.min(place).alias("first"), F.count("*").alias("times"), F.any_value("keys").alias("keys"))
+        # A short line that stands once is neither repeated nor compared.
+        .where((F.col("times") > 1) | (F.size("keys") > 0))
         .withColumn("node", F.monotonically_increasing_id())
     )
     whole = common.stored(whole, "lines-with-keys")  # fixes the numbers
@@ -223,13 +238,18 @@ def removals(
 
 
 def dedup(
-    docs: DataFrame, edits: int = EDITS, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    edits: int = EDITS,
+    least: int = LEAST,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    short: bool = False,
 ) -> DataFrame:
     """The rows with all their columns; `text_col` without the removed lines, and how many lines there were and went.
 
     The two counts are `n_lines` and `n_removed`; columns of `docs` with these names give way to them.
     """
-    gone = removals(docs, edits, least, id_col, text_col)
+    gone = removals(docs, edits, least, id_col, text_col, short)
     keep = [name for name in docs.columns if name not in ("n_lines", "n_removed")]
     others = F.struct(F.lit(0).alias("none"), *(F.col(name) for name in keep if name != text_col))
     packed = docs.select(*common.row_key(id_col, text_col), others.alias("row"), F.col(text_col).alias("text"))

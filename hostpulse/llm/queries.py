@@ -74,7 +74,7 @@ def op5_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_lines(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without lines that nearly repeat an earlier one."""
-    rows = near_lines.dedup(documents(spark, folder).select("doc_id", "text"))
+    rows = near_lines.dedup(documents(spark, folder).select("doc_id", "text"), short=True)
     return rows.select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )

@@ -442,6 +442,22 @@ def test_fingerprints(spark, docs):
     assert {tuple(r) for r in fingerprints.near(frame).collect()} == expected and expected
 
 
+def test_short_lines_repeated_exactly_go(spark, tmp_path):
+    """Equal short lines go from the query and the pipeline; those a letter apart, blank ones and ones that stand once stay."""
+    notice = "Licensed under CC BY-NC 4.0."
+    texts = ["All rights reserved.\n\n \n" + notice, "All rights reserved\n\n \nonce", notice + "\nx\nx", None, "All rights reserved."]
+    left = ["All rights reserved.\n\n \n" + notice, "All rights reserved\n\n \nonce", "x", "", ""]
+    frame = table(spark, texts)
+    found = {r.doc_id: r for r in near_lines.dedup(frame, short=True).collect()}
+    assert [found[k].text for k in range(5)] == left[:3] + [None, ""]
+    assert [(found[k].n_lines, found[k].n_removed) for k in range(5)] == [(4, 0), (4, 0), (3, 2), (0, 0), (1, 1)]
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.QUERIES["op6_lines"](spark, str(tmp_path)).collect()}
+    assert [rows[k].kept_sha256 for k in range(5)] == [hashlib.sha256(text.encode()).hexdigest() for text in left]
+    kept = dict(corpus_pipeline.STAGES)["line dedup"](spark, frame.select("doc_id", "text"), "")
+    assert {r.doc_id: r.text for r in kept.collect()} == {0: left[0], 1: left[1], 2: "x", 3: None}
+
+
 @pytest.mark.parametrize("limit", [urls.BROADCAST_RULES, 0])
 def test_urls(spark, limit):
     rules = [*queries.RULES, ("a.example", "", "block"), ("a.example", "/x", "allow")]

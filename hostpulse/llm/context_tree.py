@@ -13,6 +13,10 @@ whether the word follows that training documents have most often there (of equal
 The decision's estimate is mixed with the byte tree below it by the same weighting, over the occurrences after the first,
 which names the word; if the decision says no, and in words never seen before, the bytes code the word.
 
+That is `score`. `score_running`, the query's method, codes the running text instead: contexts reach back over blanks into the words before, and
+before a text's beginning stand end marks. Every place of the training text counts, so the order of words matters wherever
+it falls within `DEPTH` bytes, and no follower is singled out. Tasks are sent the scores of the most frequent grams, up to `SENT_GRAMS`.
+
 Everything is counted over all training documents, in joins and aggregations keyed by context. Tasks are sent the scores of the `COMMON_GRAMS`
 contexts and bytes that most distinct words hold, and the `COMMON_WORDS` most frequent words of at most `WORD_BYTES` bytes with theirs; what these don't
 cover goes through joins, so scores do not depend on either number.
@@ -49,6 +53,16 @@ HELD_WORDS = 400_000
 HELD_PAIRS = 1_000_000
 #: Hashes of words that a task remembers.
 CACHED_WORDS = 300_000
+#: Grams of running text whose scores are sent to tasks, at most.
+SENT_GRAMS = 1 << 21
+#: Bytes of running text, and distinct grams, that a task handles at a time; shares in which it passes the grams on.
+PIECE = 1 << 20
+HELD_GRAMS = 3 << 20
+SHARES = 1024
+#: Bytes of context from which subtrees are worked out whole.
+CUT = 3
+#: Texts that are numbered by one byte.
+GROUP = 256
 
 
 class _Places(dict):
@@ -172,15 +186,16 @@ def _above(node: Column, depth: int) -> Column:
     return node.bitwiseAND((1 << (8 * depth)) - 1)
 
 
-def gram_scores(counts: DataFrame) -> DataFrame:
-    """`gram` and `score`, the log10 probability of its last byte after the others. `counts`: gram, n."""
-    steps, depth = _decisions(counts), DEPTH
-    level = steps.groupBy("node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
-    )
-    estimate = _log_estimate(F.col("zeros").cast("double"), F.col("ones").cast("double"))
-    levels = {depth: common.stored(level.withColumn("weighted", estimate), f"level-{depth}")}
+def _estimate() -> Column:
+    return _log_estimate(F.col("zeros").cast("double"), F.col("ones").cast("double"))
+
+
+def _paths(level: DataFrame, depth: int) -> DataFrame:
+    """`node`, `p` and `rest` of the nodes of one depth: what the path down to them gives to a 1, and the weight left below.
+
+    `level`, made by `stored` and released: node, zeros, ones and weighted.
+    """
+    estimate, levels = _estimate(), {depth: level}
     half = F.lit(float(np.log(0.5)))
     for d in range(depth, 0, -1):
         up = levels[d].groupBy(_above(F.col("node"), d).alias("node")).agg(
@@ -194,7 +209,7 @@ def gram_scores(counts: DataFrame) -> DataFrame:
     paths = None
     for d in range(depth + 1):
         here = levels[d].withColumn("one", (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0))
-        stop = F.exp(half + estimate - F.col("weighted")) if d < depth else F.lit(1.0)
+        stop = F.exp(half + estimate - F.col("weighted")) if d < DEPTH else F.lit(1.0)
         here = here.select("node", "one", F.least(stop, F.lit(1.0)).alias("stop"))
         if paths is None:
             here = here.select("node", (F.col("stop") * F.col("one")).alias("p"), (1 - F.col("stop")).alias("rest"))
@@ -210,6 +225,17 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             common.release(paths)
             paths = below
         common.release(levels[d])
+    return paths
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """`gram` and `score`, the log10 probability of its last byte after the others. `counts`: gram, n."""
+    steps, depth = _decisions(counts), DEPTH
+    level = steps.groupBy("node").agg(
+        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("ones"),
+    )
+    paths = _paths(common.stored(level.withColumn("weighted", _estimate()), f"level-{depth}"), depth)
     scored = steps.select("gram", "node", "bit").join(paths.select("node", "p"), "node")
     scored = scored.groupBy("gram").agg(
         F.sum(F.log10(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("score")
@@ -437,3 +463,318 @@ def score(
         "n_coded",
         (-final / F.log10(F.lit(2.0)) / F.col("n_coded")).alias("bits_per_byte"),
     )
+
+
+def running_grams(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As `grams`, for the running text of at most `GROUP` texts of words and ends: each number and which text it belongs to."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + DEPTH
+    data = np.frombuffer(b"".join(DEPTH * END + text for text in texts), np.uint8)
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint8), sizes)
+    coded = np.ones(len(data), bool)
+    coded[((np.cumsum(sizes) - sizes)[:, None] + np.arange(DEPTH)).ravel()] = False
+    for low in range(DEPTH, len(data), PIECE):
+        high = min(len(data), low + PIECE)
+        number = np.zeros(high - low, np.int64)
+        for k in range(DEPTH + 1):
+            number <<= 8
+            number |= data[low - DEPTH + k : high - DEPTH + k]
+        mine = coded[low:high]
+        yield number[mine], owner[low:high][mine]
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sums of their counts."""
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[starts], np.add.reduceat(count, starts) if len(key) else count
+
+
+def _running_counts(rows: DataFrame) -> DataFrame:
+    """Each gram of the running text: `n`, how often training documents have it, and `places`, how often all have it.
+
+    Tasks add up what they have and pass it on in `SHARES` shares by the gram's hash, a row for each.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+        def table() -> pa.RecordBatch:
+            key, count = _added(keys, counts)
+            share = (common.mixed(key >> 1) % np.uint64(SHARES)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            stops = np.cumsum(np.bincount(share, minlength=SHARES))[:-1]
+            parts = [[x.tobytes() for x in np.split(values[order], stops)] for values in (key, count)]
+            some = [k for k in range(SHARES) if parts[0][k]]
+            columns = [pa.array(some, pa.int32()), *(pa.array([part[k] for k in some], pa.binary()) for part in parts)]
+            return pa.RecordBatch.from_arrays(columns, ["share", "keys", "counts"])
+
+        for batch in batches:
+            for part in common.slices(batch, "text", PIECE):
+                aside = part.column("held").to_pylist()
+                texts = [b" ".join([*words_of(text), END]) for text in common.bytes_of(part)]
+                for start in range(0, len(texts), GROUP):
+                    flags = np.array([bool(x) for x in aside[start : start + GROUP]], np.int64)
+                    for number, owner in running_grams(texts[start : start + GROUP]):
+                        key, n = np.unique(number << 1 | flags[owner], return_counts=True)
+                        keys.append(key), counts.append(n)
+                        held += len(key)
+                        if held > HELD_GRAMS:
+                            key, n = _added(keys, counts)
+                            keys[:], counts[:], held = [key], [n], len(key)
+                            if 5 * held > 4 * HELD_GRAMS:
+                                yield table()
+                                keys[:], counts[:], held = [key[:0]], [n[:0]], 0
+        yield table()
+        keys.clear(), counts.clear()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, held, most = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0, HELD_GRAMS
+        for batch in batches:
+            for key, n in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+                keys.append(np.frombuffer(key, np.int64)), counts.append(np.frombuffer(n, np.int64))
+                held += len(keys[-1])
+                if held > most:
+                    key, n = _added(keys, counts)
+                    keys[:], counts[:], held = [key], [n], len(key)
+                    most = max(HELD_GRAMS, 2 * held)
+        key, n = _added(keys, counts)
+        keys.clear(), counts.clear()
+        gram, places = _added([key >> 1], [n])
+        _, training = _added([key >> 1], [np.where(key & 1, 0, n)])
+        for start in range(0, len(gram), HELD_WORDS):
+            own = slice(start, start + HELD_WORDS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram[own]), pa.array(training[own]), pa.array(places[own])], ["gram", "n", "places"]
+            )
+        del key, n, gram, places, training
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = rows.mapInArrow(count, "share int, keys binary, counts binary").repartition(parts, "share")
+    return shares.mapInArrow(add, "gram long, n long, places long")
+
+
+def _log_gammas(x: np.ndarray) -> np.ndarray:
+    """As `_log_gamma`."""
+    y, factors = x + 8, x.copy()
+    for k in range(1, 8):
+        factors *= x + k
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(factors)
+
+
+class _Subtrees:
+    """The nodes from `CUT` bytes of context down, of grams that hold all that end in the same `CUT` bytes of context."""
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray):
+        steps = np.arange(8)[:, None]
+        byte = gram & 255
+        self.bits = (byte >> (7 - steps)) & 1
+        node = (gram >> 8 << 8) | ((byte + 256) >> (8 - steps))
+        self.nodes, at = np.unique(node.ravel(), return_inverse=True)
+        self.leaves = at.reshape(node.shape)
+        ones = np.bincount(at.ravel(), (self.bits * n).ravel(), len(self.nodes))
+        zeros = np.bincount(at.ravel(), ((1 - self.bits) * n).ravel(), len(self.nodes))
+        #: From the deepest up: the estimate of a 1, the share that stops here, and the place in the next level.
+        self.levels: list[tuple] = []
+        half, weighted = np.log(0.5), None
+        for depth in range(DEPTH, CUT - 1, -1):
+            own = _log_gammas(zeros + 0.5) + _log_gammas(ones + 0.5) - _log_gammas(zeros + ones + 1) - np.log(np.pi)
+            weighted = own if weighted is None else half + np.logaddexp(own, weighted)
+            stop = np.ones(len(own)) if depth == DEPTH else np.minimum(1, np.exp(half + own - weighted))
+            if depth == CUT:
+                self.zeros, self.ones, self.weighted = zeros, ones, weighted
+                break
+            one = (ones + 0.5) / (zeros + ones + 1)
+            self.nodes, up = np.unique(self.nodes & ((1 << (8 * depth)) - 1), return_inverse=True)
+            self.levels.append((one, stop, up))
+            zeros, ones, weighted = (np.bincount(up, x, len(self.nodes)) for x in (zeros, ones, weighted))
+
+    def scores(self, p: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """Of each gram, by `p` and `rest` of `nodes`."""
+        for one, stop, up in reversed(self.levels):
+            p, rest = p[up] + rest[up] * stop * one, rest[up] * (1 - stop)
+        p = p[self.leaves]
+        return np.log10(np.where(self.bits == 1, p, 1 - p)).sum(axis=0)
+
+
+def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of about `PIECE` / 32 rows or more at a time, in the order of `suffix`, that divide none."""
+    held: list[dict[str, np.ndarray]] = []
+    for batch in batches:
+        held.append({name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names})
+        if sum(len(part["suffix"]) for part in held) >= PIECE // 32:
+            rows = {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+            end = int(np.searchsorted(rows["suffix"], rows["suffix"][-1]))
+            if end:
+                yield {name: values[:end] for name, values in rows.items()}
+            held = [{name: values[end:] for name, values in rows.items()}]
+    if held and sum(len(part["suffix"]) for part in held):
+        yield {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+
+
+def running_scores(counts: DataFrame) -> DataFrame:
+    """`gram`, `places` and `score`, as by `gram_scores`, of `counts`: gram, n, places.
+
+    Nodes of at least `CUT` bytes of context are worked out in arrays, for all grams at once whose contexts end in the same
+    `CUT` bytes; those above are few, and joined.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    suffix = F.shiftrightunsigned("gram", 8).bitwiseAND((1 << (8 * CUT)) - 1).alias("suffix")
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _subtree_rows(batches):
+            tree = _Subtrees(rows["gram"], rows["n"])
+            columns = (tree.nodes, tree.zeros.astype(np.int64), tree.ones.astype(np.int64), tree.weighted)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["node", "zeros", "ones", "weighted"])
+            del rows, tree, columns
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _subtree_rows(batches):
+            below = rows["known"] == 0
+            gram, node = rows["gram"][below], rows["gram"][~below]
+            tree = _Subtrees(gram, rows["n"][below])
+            order = np.argsort(node)
+            order = order[np.searchsorted(node[order], tree.nodes)]
+            columns = gram, rows["places"][below], tree.scores(rows["p"][~below][order], rows["rest"][~below][order])
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["gram", "places", "score"])
+            del rows, tree, columns
+
+    own = counts.select(suffix, "gram", "n").repartition(parts, "suffix").sortWithinPartitions("suffix")
+    level = own.mapInArrow(top, "node long, zeros long, ones long, weighted double")
+    paths = _paths(common.stored(level, f"level-{CUT}"), CUT)
+    none, zero = F.lit(0).cast("long"), F.lit(0.0)
+    grams_too = counts.select(suffix, F.lit(0).alias("known"), "gram", "n", "places", zero.alias("p"), zero.alias("rest"))
+    above = paths.select(
+        F.shiftrightunsigned("node", 8).alias("suffix"),
+        F.lit(1).alias("known"),
+        F.col("node").alias("gram"),
+        none.alias("n"),
+        none.alias("places"),
+        "p",
+        "rest",
+    )
+    both = grams_too.unionByName(above).repartition(parts, "suffix").sortWithinPartitions("suffix")
+    scored = common.stored(both.mapInArrow(score, "gram long, places long, score double"), "grams")
+    common.release(paths)
+    return scored
+
+
+def _frequent(grams: DataFrame, most: int) -> DataFrame:
+    """The grams of most places, at most so many of them; those of about equally many places go together."""
+    class_of = F.floor(16 * F.log2("places"))
+    sizes = {r["class"]: r["count"] for r in grams.groupBy(class_of.alias("class")).count().collect()}
+    lowest, total = max(sizes, default=0) + 1, 0
+    for number in sorted(sizes, reverse=True):
+        total += sizes[number]
+        if total > most:
+            break
+        lowest = number
+    return grams.where(class_of >= lowest)
+
+
+def score_running(
+    docs: DataFrame,
+    held_out: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    common_words: int = COMMON_WORDS,
+    sent_grams: int = SENT_GRAMS,
+) -> DataFrame:
+    """As `score`, with the same columns, by contexts of the running text."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held"), F.col(text_col).alias("text"))
+    listed = common.stored(_counted(rows.select("text", "held"), "text"), "words")
+    counts = common.stored(_running_counts(rows.select("text", "held")), "gram-counts")
+    both = running_scores(counts)
+    common.release(counts)
+    frequent = _frequent(both, sent_grams).select("gram", "score").toArrow()
+    order = np.argsort(frequent.column("gram").to_numpy())
+    sent = _Sent(spark, (frequent.column("gram").to_numpy()[order], frequent.column("score").to_numpy()[order]))
+    del frequent, order
+    totals = listed.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
+    train, distinct = totals.n or 0, totals.v or 0
+    norm = float(np.log10(train + 0.1 * (distinct + 1)))
+    table = listed.where(F.length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(common_words).toArrow()
+    known_words = _Sent(spark, (table.column("word").to_pylist(), table.column("n").to_numpy()))
+    names = ["id", "held", "n_tokens", "n_known", "base", "score", "n_coded", "words", "grams", "times"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, values = sent.value
+        spelled, n = known_words.value
+        place = _Places(zip(spelled, range(len(spelled))))
+        bases = np.log10(n + 0.1) - norm
+
+        def lists(owner: np.ndarray, rows: int) -> pa.Array:
+            return pa.array(np.cumsum(np.r_[0, np.bincount(owner, minlength=rows)]).astype(np.int32))
+
+        for batch in batches:
+            for part in common.slices(batch, "text", PIECE):
+                own = [[*words_of(text), END] for text in common.bytes_of(part)]
+                texts = [b" ".join(words) for words in own]
+                sizes = np.fromiter(map(len, own), np.int64, len(own))
+                words = [word for some in own for word in some]
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                found = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                hit = found >= 0
+                sums = [np.bincount(owner[hit], v[found[hit]], len(sizes)) for v in (n > 0, bases)]
+                rare = [words[k] for k in np.flatnonzero(~hit).tolist()]
+                total = np.zeros(len(sizes))
+                missed = [np.zeros((3, 0), np.int64)]
+                for start in range(0, len(texts), GROUP):
+                    for number, which in running_grams(texts[start : start + GROUP]):
+                        # Sorted, so that the search goes through the table in order.
+                        key, times = np.unique(number.view(np.uint64) << np.uint64(8) | which, return_counts=True)
+                        gram, whose = (key >> np.uint64(8)).view(np.int64), start + (key & np.uint64(255)).view(np.int64)
+                        at = np.minimum(np.searchsorted(known, gram), max(0, len(known) - 1))
+                        there = known[at] == gram if len(known) else np.zeros(len(gram), bool)
+                        if there.any():
+                            total += np.bincount(whose[there], values[at[there]] * times[there], len(sizes))
+                        missed.append(np.stack([whose[~there], gram[~there], times[~there]]))
+                others = np.concatenate(missed, axis=1)
+                others = others[:, np.argsort(others[0], kind="stable")]
+                stops = lists(others[0], len(sizes))
+                columns = [pa.array(sizes), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(total)]
+                columns += [
+                    pa.array(np.fromiter(map(len, texts), np.int64, len(texts))),
+                    pa.ListArray.from_arrays(lists(owner[~hit], len(sizes)), pa.array(rare, pa.binary())),
+                    *(pa.ListArray.from_arrays(stops, pa.array(values)) for values in others[1:]),
+                ]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("held"), *columns], names)
+
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = (
+        f"id {kind}, held boolean, n_tokens long, n_known long, base double, score double, n_coded long, "
+        "words array<binary>, grams array<long>, times array<long>"
+    )
+    # The row numbers tie the rare words and grams to their rows; they are fixed by being written.
+    found = common.stored(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scores")
+    words = (
+        found.select("row", F.explode("words").alias("word"))
+        .join(listed, "word")
+        .groupBy("row")
+        .agg(
+            F.sum((F.col("n") > 0).cast("long")).alias("more_known"),
+            F.sum(F.log10(F.col("n") + 0.1) - norm).alias("more_base"),
+        )
+    )
+    grams_left = (
+        found.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g"))
+        .select("row", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
+        .join(both.withColumnRenamed("score", "s"), "gram")
+        .groupBy("row")
+        .agg(F.sum(F.col("s") * F.col("times")).alias("more_score"))
+    )
+    whole = found.drop("words", "grams", "times").join(words, "row", "left").join(grams_left, "row", "left")
+    final = F.col("score") + F.coalesce("more_score", F.lit(0.0))
+    return whole.select(
+        F.col("id").alias(id_col),
+        F.col("held").alias("held_out"),
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(train).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        final.alias("score"),
+        "n_coded",
+        (-final / F.log10(F.lit(2.0)) / F.col("n_coded")).alias("bits_per_byte"),
+    )

@@ -64,7 +64,7 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Log probability of every document, learnt from nine tenths of the ids."""
-    return context_tree.score(documents(spark, folder), remainder("doc_id", 10) == 0)
+    return context_tree.score_running(documents(spark, folder), remainder("doc_id", 10) == 0)
 
 
 def op5_passages(spark: SparkSession, folder: str) -> DataFrame:

@@ -317,6 +317,81 @@ def test_context_tree_equals_recursion(spark):
             assert np.isclose(r.base_score, base) and np.isclose(r.score, expected(own))
 
 
+def running_probability(training, text, depth=context_tree.DEPTH):
+    """By the definition: the probability of a text after training texts, with contexts across blanks."""
+    from math import exp, lgamma, log, log10
+
+    seen, below = collections.Counter(), collections.defaultdict(set)
+
+    def places(text):
+        whole = context_tree.END * depth + b" ".join([*text.encode().lower().split(), context_tree.END])
+        for k in range(depth, len(whole)):
+            for bit in range(8):
+                prefix = 1 << bit | whole[k] >> (8 - bit)
+                yield [(whole[k - d : k], prefix) for d in range(depth + 1)], whole[k] >> (7 - bit) & 1
+
+    for number, other in enumerate([*training, text]):
+        for path, bit in places(other):
+            for d, node in enumerate(path):
+                seen[(*node, bit)] += number < len(training)
+                if d:
+                    below[path[d - 1]].add(node)
+
+    def own(node):
+        a, b = seen[(*node, 0)], seen[(*node, 1)]
+        return lgamma(a + 0.5) + lgamma(b + 0.5) - lgamma(a + b + 1) - log(3.141592653589793)
+
+    def weighted(node):
+        if len(node[0]) == depth:
+            return own(node)
+        return log(0.5) + np.logaddexp(own(node), sum(weighted(child) for child in below[node]))
+
+    total = 0.0
+    for path, bit in places(text):
+        left, p = 1.0, 0.0
+        for d, node in enumerate(path):
+            a, b = seen[(*node, 0)], seen[(*node, 1)]
+            stop = exp(log(0.5) + own(node) - weighted(node)) if d < depth else 1.0
+            p += left * stop * (b + 0.5) / (a + b + 1)
+            left *= 1 - stop
+        total += log10(p if bit else 1 - p)
+    return total
+
+
+@pytest.mark.parametrize("limits", [{}, {"common_words": 2, "sent_grams": 12}])
+def test_running_context_tree_equals_recursion(spark, limits):
+    texts = ["The cat. the CAT sat", "the cat. sat the cat.", "a cat sat down", "", "the cat sat", "sat cat the", None, "Émile zebra"]
+    held = [4, 5, 6, 7]
+    training = [text for k, text in enumerate(texts) if k not in held]
+    counts = collections.Counter(w for t in training for w in [*t.encode().lower().split(), context_tree.END])
+    train, distinct = sum(counts.values()), len(counts)
+    found = context_tree.score_running(table(spark, texts), F.col("doc_id").isin(held), **limits)
+    assert found.columns == context_tree.score(table(spark, []), F.lit(False)).columns
+    found = {r.doc_id: r for r in found.collect()}
+    for k, text in enumerate(texts):
+        own = [*(text or "").encode().lower().split(), context_tree.END]
+        r = found[k]
+        assert (r.held_out, r.train_tokens, r.n_coded) == (k in held, train, len(b" ".join(own)))
+        assert (r.n_tokens, r.n_known) == (len(own), sum(counts[w] > 0 for w in own))
+        assert np.isclose(r.base_score, sum(np.log10((counts[w] + 0.1) / (train + 0.1 * (distinct + 1))) for w in own))
+        assert np.isclose(r.score, running_probability(training, text or ""))
+
+
+def test_context_tree_query_sees_the_order_of_words(spark, tmp_path):
+    """Five followers of equal number after "of": those seen there score higher than in an order never seen."""
+    names = ["ash", "elm", "fir", "oak", "yew"]
+    training = [f"leaf of {name}" for name in names] * 4
+    texts = [training.pop() if k % 7 and training else "" for k in range(40)]
+    ids = [k for k in range(500) if zlib.crc32(str(k).encode()) % 10]
+    held = [k for k in range(500) if not zlib.crc32(str(k).encode()) % 10]
+    tests = [order for name in names for order in (f"leaf of {name}", f"{name} of leaf")]
+    frame = table(spark, texts + tests, ids[: len(texts)] + held[: len(tests)])
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.score for r in queries.QUERIES["op4_context_tree"](spark, str(tmp_path)).collect()}
+    scores = [found[k] for k in held[: len(tests)]]
+    assert all(seen > shuffled + 1 for seen, shuffled in zip(scores[::2], scores[1::2]))
+
+
 @pytest.mark.parametrize("limits", [{}, {"group": 1}])
 def test_passages_equal_brute_force(spark, docs, limits):
     texts = [t.encode() for t in corpus()]

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from hostpulse.llm import (
     bpe,
+    centroids,
     context_tree,
+    divergence,
     fingerprints,
     near_lines,
     packing,
@@ -101,6 +103,16 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"), rules)
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the word counts of the sources of each language lie apart, and the words that stand out."""
+    return divergence.audit(documents(spark, folder))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """The cluster of every usable vector after three rounds with 16 centroids."""
+    return centroids.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"), k=16, rounds=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -114,11 +126,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_simhash,
         op10_urls,
+        op12_divergence,
+        op13_centroids,
     )
 }
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
 
+
+def _clusters_sql(k: int, rounds: int, dims: int, scale: int) -> str:
+    """The rounds one after the other, with all distances."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS line, vec_id,
+         list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS cluster, v AS c
+  FROM kept QUALIFY cluster < {k}
+)""",
+    ]
+    for turn in range(rounds + 1):
+        parts.append(f"""a{turn} AS MATERIALIZED (
+  SELECT line, vec_id, v, cluster,
+         list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+  FROM kept CROSS JOIN c{turn}
+  QUALIFY row_number() OVER (PARTITION BY line ORDER BY distance, cluster) = 1
+)""")
+        if turn < rounds:
+            parts.append(f"""c{turn + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.c, c.c) AS c
+  FROM c{turn} c LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS c
+    FROM (SELECT cluster, dim, sum(x) AS s, count(*) AS n
+          FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM a{turn}) GROUP BY cluster, dim)
+    GROUP BY cluster) m ON m.cluster = c.cluster
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op7_ngram_join": r"""WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(
@@ -168,4 +221,47 @@ fits AS (
   GROUP BY line
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (line)""",
+    "op12_divergence": r"""WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+words AS (
+  SELECT d, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+),
+counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT d) AS docs FROM words GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM cells GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT c.lang, c.source, c.term, c.n, CAST(1 + (1000000000 * (c.n + 2)) // (t.total + 2 * s.v) AS BIGINT) AS p
+  FROM cells c JOIN totals t ON c.lang = t.lang AND c.source = t.source JOIN sizes s ON c.lang = s.lang
+),
+q AS (
+  SELECT k.lang, k.term, CAST(1 + (1000000000 * (k.n + 2)) // (s.total + 2 * s.v) AS BIGINT) AS q
+  FROM kept k JOIN sizes s ON k.lang = s.lang
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT)
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 10""",
+    "op13_centroids": _clusters_sql(k=16, rounds=3, dims=64, scale=64),
 }

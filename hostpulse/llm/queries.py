@@ -16,6 +16,7 @@ from hostpulse.llm import (
     near_lines,
     packing,
     passages,
+    pii,
     quality,
     shingles,
     toxicity,
@@ -103,6 +104,12 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"), rules)
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document, by patterns and by a network that learns from what they find."""
+    docs = documents(spark, folder)
+    return pii.find(docs, pii.train(docs))
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """How far the word counts of the sources of each language lie apart, and the words that stand out."""
     return divergence.audit(documents(spark, folder))
@@ -126,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_simhash,
         op10_urls,
+        op11_pii,
         op12_divergence,
         op13_centroids,
     )

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hostpulse.llm.common import SLICE_BYTES, bytes_of, release, stored
@@ -31,6 +31,8 @@ LEAST_DOCS = 10
 #: Terms that a block has on average, and groups that a tile has at most.
 BLOCK = 1800
 TILE = 32
+#: Shares that a language's rows are dealt out in.
+SALTS = 64
 #: Parts per unit that shares are counted in, and what is added to each count.
 UNIT = 1_000_000_000
 ADDED = 2
@@ -107,13 +109,20 @@ def counted(docs: DataFrame, lang: str = "lang", source: str = "source", text: s
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
+def _spread(large: DataFrame, by: Column, small: DataFrame) -> DataFrame:
+    """Joins on the language, which may hold a third of all rows, with `small` copied for each of `SALTS` shares of `large`."""
+    shares = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = large.withColumn("salt", F.pmod(by, F.lit(SALTS)).cast("int"))
+    return salted.join(small.withColumn("salt", shares), ["lang", "salt"]).drop("salt")
+
+
 def _numbered(counts: DataFrame, least_docs: int) -> DataFrame:
     """Kept terms: `lang`, `term`, `total` occurrences, `block` and `place` in it, `width` of the block, `v` terms of the language."""
     terms = counts.where(F.col("term").isNotNull()).groupBy("lang", "term")
     terms = terms.agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= least_docs).drop("docs")
     sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     block = F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / BLOCK).cast("bigint")).alias("block")
-    rows = terms.join(sizes, "lang").select("lang", "term", "total", "v", block)
+    rows = _spread(terms, F.xxhash64("term"), sizes).select("lang", "term", "total", "v", block)
     # A window holds one block.
     inside = Window.partitionBy("lang", "block")
     place = (F.row_number().over(inside.orderBy("term")) - 1).alias("place")
@@ -229,8 +238,7 @@ def _cells(groups: DataFrame, kept: DataFrame, own: DataFrame) -> DataFrame:
     )
     tile, facts = F.floor(F.col("number") / TILE).cast("int"), ("lang", "block", "number", "total", "width", "v")
     sources = (
-        groups.join(tiles.drop("total"), "lang")
-        .join(blocks.drop("entries"), "lang")
+        _spread(blocks.drop("entries"), F.col("block"), groups.join(tiles.drop("total"), "lang"))
         .join(lists, ["lang", "block", "source"], "left")
         .select(*facts, F.col("entries.place").alias("places"), F.col("entries.n").alias("counts"), tile.alias("tile"),
                 F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
@@ -284,7 +292,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     others = names.select("lang", F.col("source").alias("item"), F.col("number").alias("other"))
     sums = prices.where("kind = 0").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     pairs = (
-        names.join(others, "lang")
+        _spread(names, F.col("number"), others)
         .where("number <> other")
         .select("lang", "source", "item", F.least("number", "other").alias("a"), F.greatest("number", "other").alias("b"))
         .join(sums, ["lang", "a", "b"], "left")

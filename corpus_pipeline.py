@@ -55,8 +55,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts out the 400-byte strings that occur anywhere else."""
-    rows = passages.remove(docs.select("doc_id", "text", _others(docs)), keep=("others",), with_text=True)
+    """Cuts out strings of 50 words that occur anywhere else, so that no passage of more words is left in two documents."""
+    rows = passages.remove(docs.select("doc_id", "text", _others(docs)), keep=("others",), with_text=True, words=True)
     texts = F.col("kept_text").alias("text")
     rows = rows.select(*(texts if name == "text" else f"others.`{name}`" for name in docs.columns), "n_removed")
     return _changed(rows, "n_removed", docs.columns)

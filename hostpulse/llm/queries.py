@@ -71,8 +71,8 @@ def op4_context_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_passages(spark: SparkSession, folder: str) -> DataFrame:
-    """What is left of every document without the 400-byte strings that occur elsewhere."""
-    return passages.remove(documents(spark, folder))
+    """What is left of every document without the 400-byte strings that occur elsewhere, and its passages of 50 words that do."""
+    return passages.remove(documents(spark, folder), with_passages=True)
 
 
 def op6_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,0 +1,122 @@
+"""Passages by words and by bytes against brute force, long texts in pieces, and planted passages in the pipeline's stage."""
+
+import collections
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from hostpulse.llm import common, passages
+
+NAMES = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(rng, n):
+    return ["".join(rng.choices(["an", "er", "tion", "os", "é", "ß", "the"], k=rng.randint(2, 5))) for _ in range(n)]
+
+
+def corpus(seed=4):
+    """Passages of 45 to 70 words in two to five texts each, with other blanks between the words."""
+    rng = random.Random(seed)
+    texts = [words(rng, rng.randint(0, 150)) for _ in range(60)]
+    planted = {}
+    for size in range(45, 71):
+        passage = words(rng, size)
+        for owner in rng.sample(range(60), rng.randint(2, 5)):
+            at = rng.randint(0, len(texts[owner]))
+            texts[owner][at:at] = [*passage, f"end{rng.randrange(10**9)}"]
+            planted.setdefault(size, []).append(owner)
+    texts = ["".join(w + rng.choice([" ", "\n", "  ", "\t"]) for w in text) for text in texts]
+    return texts + [texts[3], "", "ab " * 300, None]
+
+
+def frame(spark, texts):
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, NAMES).repartition(3)
+
+
+def marks(texts, length):
+    """Which words of each text stand in a string of `length` words that starts anywhere else."""
+    lists = [(t or "").split() for t in texts]
+    seen = collections.Counter(tuple(w[k : k + length]) for w in lists for k in range(len(w) - length + 1))
+    out = []
+    for w in lists:
+        gone = np.zeros(len(w), bool)
+        for k in range(len(w) - length + 1):
+            gone[k : k + length] |= seen[tuple(w[k : k + length])] > 1
+        out.append(gone)
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"group": 1}, {"length": 20, "gram": 3}])
+def test_words_equal_brute_force(spark, limits):
+    texts = corpus()
+    gone = marks(texts, limits.get("length", 50))
+    rows = {r.doc_id: r for r in passages.remove(frame(spark, texts), with_text=True, words=True, **limits).collect()}
+    for number, text in enumerate(texts):
+        row, text = rows[number], text or ""
+        assert row.kept_text.split() == [w for w, g in zip(text.split(), gone[number]) if not g]
+        assert row.n_spans == int((np.diff(np.r_[False, gone[number]].astype(int)) == 1).sum())
+        assert row.n_bytes - row.n_removed == len(row.kept_text.encode())
+
+
+def test_passages_beside_bytes(spark):
+    texts = corpus()
+    gone = marks(texts, 50)
+    rows = passages.remove(frame(spark, texts), with_passages=True).collect()
+    assert {r.doc_id: r.n_passage_words for r in rows} == {i: int(g.sum()) for i, g in enumerate(gone)}
+    plain = passages.remove(frame(spark, texts)).collect()
+    assert sorted(r[:5] for r in rows) == sorted(tuple(r) for r in plain)
+
+
+@pytest.mark.parametrize("by_words", [False, True])
+def test_pieces_and_groups_change_nothing(spark, monkeypatch, by_words):
+    rng = random.Random(8)
+    long = words(rng, 3000)
+    texts = corpus() + [" ".join(long + words(rng, 100) + long[1000:1300]), " ".join(long[500:900])]
+    docs = frame(spark, texts)
+    want = sorted(map(tuple, passages.remove(docs, words=by_words).collect()))
+    monkeypatch.setattr(passages, "PIECE", 700)
+    monkeypatch.setattr(passages, "REFINED", 1)
+    assert sorted(map(tuple, passages.remove(docs, words=by_words).collect())) == want
+
+
+def test_a_long_text_needs_no_more_memory_than_a_piece():
+    """The pieces of a text together give the anchors of all its strings, each string once."""
+    rng = random.Random(2)
+    text = " ".join(words(rng, 20_000)).encode()
+    owner, place, back, more = passages.anchors([text])
+    strings = {(p, s) for p, k, m in zip(place.tolist(), back.tolist(), more.tolist()) for s in range(p - k, p - k + m + 1)}
+    found = []
+    old, passages.PIECE = passages.PIECE, 5000
+    try:
+        for group in passages._pieces([text], 1, 400):
+            assert sum(len(piece) for *_, piece in group) <= 5400
+            o, p, k, m = passages.anchors([piece for *_, piece in group])
+            starts = np.array([start for _, start, _ in group])[o]
+            for at, start, count in zip((p + starts).tolist(), (p - k + starts).tolist(), m.tolist()):
+                found += [(at, s) for s in range(start, start + count + 1)]
+    finally:
+        passages.PIECE = old
+    assert len(found) == len(strings) and set(found) == strings
+
+
+def test_stage_leaves_no_planted_passage_of_more_than_fifty_words(spark):
+    texts = corpus()
+    docs = frame(spark, texts)
+    kept = dict(corpus_pipeline.STAGES)["repeated passages"](spark, docs, "")
+    assert kept.columns == docs.columns
+    left = [r.text for r in kept.collect()]
+    assert not any(g.any() for g in marks(left, 51))
+    # Texts without repeated words stay as they are.
+    clean = [t or "" for t, g in zip(texts, marks(texts, 50)) if not g.any()]
+    assert len(clean) > 5 and not collections.Counter(clean) - collections.Counter(left)
+
+
+def test_word_hashes_of_long_texts(monkeypatch):
+    text = ("a bc  def\n" * 500).encode()
+    hashes = common.WordHashes(10)
+    whole = passages.sequence(text, hashes)
+    monkeypatch.setattr(passages, "PIECE", 64)
+    assert passages.sequence(text, hashes) == whole and len(whole) == 8 * 1500

@@ -206,7 +206,7 @@ FROM events""",
         "ingest_lag": f"""WITH {_MESSAGES}, lags AS (
   SELECT type, epoch_us(broker) - CAST(round(taken_s * 1e6) AS BIGINT) AS lag FROM messages
 )
-SELECT type, count(*) AS n, min(lag) AS "min", max(lag) AS "max",
+SELECT type, count(lag) AS n, count(*) - count(lag) AS unknown, min(lag) AS "min", max(lag) AS "max",
        CAST(sum(lag) AS DOUBLE) / count(*) AS mean,
        quantile_disc(lag, 0.5) AS p50, quantile_disc(lag, 0.95) AS p95,
        quantile_disc(lag, 0.99) AS p99

@@ -4,13 +4,17 @@ All group-bys combine on the map side first, so a window, category or value that
 rows still costs one row per task in the shuffle.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
+from fractions import Fraction
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import lag_micros
 
@@ -132,89 +136,179 @@ def streamed(rows: DataFrame, delay: str, time: str = "at") -> DataFrame:
 
 
 def percentiles(
-    rows: DataFrame, by: list[str], value: str, points: Sequence[str], bits: int = 21
+    rows: DataFrame,
+    by: list[str],
+    value: str,
+    points: Sequence[str],
+    parts: int | None = None,
+    missing: str | None = None,
 ) -> DataFrame:
     """Exact percentiles of a whole-number column, as columns `p<point>`, plus n, min, max and mean.
 
     Spark's `percentile` holds all values of a group in one task. Here equal values are counted
-    first, then the counts are added up in buckets of 2^bits values and again of 2^(2 * bits). From
-    the coarsest level down, running sums show which bucket holds each wanted rank, and only that one
-    is looked into. Whatever the values are, no running sum is over more than some 2^22 rows.
+    first, and the counts are dealt out in ranges of group and value. A group that lies within one of the `parts`
+    ranges is finished there. At most two groups of a range go beyond it: of those only the number of rows in each range is
+    added up, which shows in which range each wanted rank lies and how many rows of the group come before it.
 
     `points` are decimal texts, so that a rank such as 95 % of 2000 is not moved by binary fractions.
-    The value at rank ceil(point * n) is taken, without interpolation.
+    The value at rank ceil(point * n) is taken, without interpolation. With `missing`, a column of
+    that name counts the nulls, and groups that have nothing else stay; without, nulls are left out.
     """
-    fine = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_at"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_in", F.shiftright("_at", bits))
-    )
-    middle = _coarser(fine, by).withColumn("_in", F.shiftright("_at", bits))
-    coarse = _coarser(middle, by).withColumn("_in", F.lit(0))
-    totals = fine.groupBy(*by).agg(
-        F.sum("_n").alias("n"),
-        F.min("_at").alias("min"),
-        F.max("_at").alias("max"),
-        F.sum(F.col("_at").cast("decimal(38,0)") * F.col("_n")).alias("_total"),
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(*by, F.col(value).cast("bigint").alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    # A fixed number of ranges: both uses below have to see the same ones.
+    placed = (
+        counts.repartitionByRange(parts, *by, "_at")
+        .sortWithinPartitions(*by, "_at")
+        .withColumn("_part", F.spark_partition_id())
     )
+    keys = [placed.schema[name] for name in by]
+    part = [T.StructField("_part", T.IntegerType())]
+    figures = [T.StructField(name, T.LongType()) for name in ("_n", "_missing", "_min", "_max")]
+    figures.append(T.StructField("_total", T.DecimalType(38, 0)))
+    ends = placed.mapInArrow(_range_ends(by), T.StructType(keys + part + figures))
+    found = [T.StructField("_point", T.StringType()), T.StructField("_at", T.LongType()), T.StructField("_upto", T.LongType())]
+    inside = placed.mapInArrow(_range_ranks(by, tuple(points)), T.StructType(keys + part + found + figures))
+
+    group = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = [how(name).over(group).alias(name) for name, how in _ADDED.items()]
     ranks = [
-        F.struct(
-            F.lit(point).alias("point"),
-            F.greatest(F.ceil(F.col("n") * F.lit(Decimal(point)).cast("decimal(9,8)")), F.lit(1))
-            .cast("bigint")
-            .alias("rank"),
-        )
+        F.struct(F.lit(point).alias("point"), F.greatest(_rank(F.col("_n"), point), F.lit(1)).alias("rank"))
         for point in points
     ]
-    wanted = totals.select(
-        *by,
-        "n",
-        "min",
-        "max",
-        (F.col("_total").cast("double") / F.col("n")).alias("mean"),
-        F.lit(0).alias("at"),
-        F.inline(F.array(*ranks)).alias("point", "rank"),
+    nothing = F.array(F.struct(F.lit("").alias("point"), F.lit(0).cast("bigint").alias("rank")))
+    wanted = (
+        ends.select(*by, "_part", before.alias("_before"), F.col("_n").alias("_here"), *whole)
+        .select("*", F.inline(F.when(F.col("_n") > 0, F.array(*ranks)).otherwise(nothing)).alias("_wanted", "_rank"))
+        .withColumn("_rank", F.col("_rank") - F.col("_before"))
+        .where((F.col("_n") == 0) | F.col("_rank").between(F.lit(1), F.col("_here")))
+        .select(*[F.col(name).alias(f"_by_{name}") for name in by], F.col("_part").alias("_in"), "_wanted", "_rank",
+                *[F.col(name).alias(f"_all{name}") for name in _ADDED])
     )
-    found = wanted
-    for level in (coarse, middle, fine):
-        found = _descend(level, found, by)
-    return found.groupBy(*by).agg(
-        *[F.first(name).alias(name) for name in ("n", "min", "max", "mean")],
-        *[
-            F.max(F.when(F.col("point") == point, F.col("at"))).alias(column_of(point))
-            for point in points
-        ],
+    # Bounded: two groups of each range, with one row for each point.
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_by_{name}")) for name in by], F.col("_part") == F.col("_in"))
+    hit = F.col("_point").isNull() & (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))
+    chosen = inside.join(F.broadcast(wanted), same & hit, "left").where("_point IS NOT NULL OR _wanted IS NOT NULL")
+    either = {name: F.coalesce(F.col(f"_all{name}"), F.col(name)) for name in _ADDED}
+    point = F.coalesce("_wanted", "_point")
+    out = chosen.groupBy(*by).agg(
+        F.first(either["_n"]).alias("n"),
+        F.first(either["_min"]).alias("min"),
+        F.first(either["_max"]).alias("max"),
+        F.first(F.try_divide(either["_total"].cast("double"), either["_n"])).alias("mean"),
+        *([F.first(either["_missing"]).alias(missing)] if missing else []),
+        *[F.max(F.when(point == name, F.col("_at"))).alias(column_of(name)) for name in points],
     )
+    return out if missing else out.where("n > 0")
+
 
+#: How the figures of a group's ranges make those of the group.
+_ADDED = {"_n": F.sum, "_missing": F.sum, "_min": F.min, "_max": F.max, "_total": F.sum}
 
-def _coarser(level: DataFrame, by: list[str]) -> DataFrame:
-    return level.groupBy(*by, F.col("_in").alias("_at")).agg(F.sum("_n").alias("_n"))
 
+def _rank(n: Column, point: str) -> Column:
+    return F.ceil(n * F.lit(Decimal(point)).cast("decimal(9,8)")).cast("bigint")
 
-def _descend(level: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
-    """For each wanted rank the entry `at` of the level that holds it, and the rank within that.
 
-    Only the entries inside the bucket found before are considered. The null-safe comparison keeps
-    the optimizer from adding a filter to this use of the level, which would then be another plan
-    than its other uses and read the input again.
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple]:
+    """Key columns, values, their counts and the number of nulls of each group of a sorted range, and if it is the first or last one.
+
+    No more than one group is held, as arrays of its values in this range.
     """
-    carried = [name for name in wanted.columns if name not in by]
-    target = wanted.select(*[F.col(name).alias(f"_by_{name}") for name in by], *carried)
-    same = [F.col(name).eqNullSafe(F.col(f"_by_{name}")) for name in by]
-    same.append(F.col("_in").eqNullSafe(F.col("at")))
-    entries = level.join(target, reduce(and_, same))
-    running = F.sum("_n").over(Window.partitionBy(*by, "point").orderBy("_at"))
-    return (
-        entries.withColumn("_upto", running)
-        .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("_n")))
-        .select(
-            *by,
-            *[name for name in carried if name not in ("rank", "at")],
-            (F.col("rank") - F.col("_upto") + F.col("_n")).alias("rank"),
-            F.col("_at").alias("at"),
-        )
-    )
+
+    def finished(last: bool) -> tuple:
+        table = pa.concat_tables(held).combine_chunks()
+        at, n = table.column("_at"), table.column("_n").to_numpy()
+        known = at.is_valid().to_numpy()
+        values = at.filter(at.is_valid()).to_numpy()
+        return table.select([*by, "_part"]).slice(0, 1), values, n[known], int(n[~known].sum()), first, last
+
+    held, key, first = [], None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        turns = np.zeros(len(table) - 1, bool)
+        for name in by:
+            codes = table.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+            turns |= codes[1:] != codes[:-1]
+        edges = [0, *(np.flatnonzero(turns) + 1).tolist(), len(table)]
+        for start, end in zip(edges, edges[1:]):
+            here = tuple(table.column(name)[start] for name in by)
+            if held and here != key:
+                yield finished(False)
+                held, first = [], False
+            held.append(table.slice(start, end - start))
+            key = here
+    if held:
+        yield finished(True)
+
+
+def _figures(values: np.ndarray, n: np.ndarray, missing: int) -> dict[str, list]:
+    """Number, nulls, smallest, largest and sum of a group's values, the sum in whole numbers of any size."""
+    low = values & 0xFFFF_FFFF
+    total = (sum((values >> 32).astype(object) * n.astype(object)) << 32) + sum(low.astype(object) * n.astype(object))
+    edges = (int(values[0]), int(values[-1])) if len(values) else (None, None)
+    return dict(zip(_ADDED, ([int(n.sum())], [missing], [edges[0]], [edges[1]], [Decimal(int(total))])))
+
+
+_KINDS = {name: pa.decimal128(38) if name == "_total" else pa.int64() for name in _ADDED}
+
+
+def _repeated(key: pa.Table, count: int, columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    table = key.take(pa.array(np.zeros(count, np.int64)))
+    for name, column in columns.items():
+        table = table.append_column(name, column)
+    yield from table.combine_chunks().to_batches()
+
+
+def _range_ends(by: list[str]):
+    """Figures of the first and the last group of each range, which may go on in its neighbours."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, values, n, missing, first, last in _groups(batches, by):
+            if first or last:
+                figures = _figures(values, n, missing)
+                yield from _repeated(key, 1, {name: pa.array(v, _KINDS[name]) for name, v in figures.items()})
+
+    return run
+
+
+def _range_ranks(by: list[str], points: tuple[str, ...]):
+    """The values wanted of the groups that lie within a range; of its first and last group all values, with running counts."""
+    shares = [Fraction(point) for point in points]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, values, n, missing, first, last in _groups(batches, by):
+            upto = np.cumsum(n)
+            if first or last:
+                # The row without a value stands for rank 0, by which groups of nulls alone are found.
+                at = pa.concat_arrays([pa.array([None], pa.int64()), pa.array(values, pa.int64())])
+                count = len(at)
+                found = {
+                    "_point": pa.nulls(count, pa.string()),
+                    "_at": at,
+                    "_upto": pa.array(np.r_[0, upto].astype(np.int64)),
+                    "_n": pa.array(np.r_[1, n].astype(np.int64)),
+                }
+                more = {name: pa.nulls(count, kind) for name, kind in _KINDS.items() if name != "_n"}
+            else:
+                total = int(n.sum())
+                ranks = [max(1, -(-total * s.numerator // s.denominator)) for s in shares]
+                count = len(points) if total else 1
+                at = [int(values[np.searchsorted(upto, rank)]) for rank in ranks] if total else [None]
+                found = {
+                    "_point": pa.array(points if total else [""]),
+                    "_at": pa.array(at, pa.int64()),
+                    "_upto": pa.nulls(count, pa.int64()),
+                }
+                more = {name: pa.array(v * count, _KINDS[name]) for name, v in _figures(values, n, missing).items()}
+            columns = found | more
+            order = ["_point", "_at", "_upto", *_ADDED]
+            yield from _repeated(key, count, {name: columns[name] for name in order})
+
+    return run
 
 
 def column_of(point: str) -> str:
@@ -228,8 +322,8 @@ def ingest_lag(
     by: Sequence[str] = ("type",),
     points: Sequence[str] = ("0.5", "0.95", "0.99"),
 ) -> DataFrame:
-    """Distribution of the time, in microseconds, between taking a sample and its arrival."""
+    """Distribution of the time, in microseconds, between taking a sample and its arrival; `unknown` counts samples without one of the two."""
     rows = samples.select(
         *by, lag_micros(F.col("broker_time"), F.col("timestamp")).alias("lag_us")
     )
-    return percentiles(rows, list(by), "lag_us", points)
+    return percentiles(rows, list(by), "lag_us", points, missing="unknown")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -32,10 +33,10 @@ def expected(values):
     ),
     st.sampled_from([1, 4, 21]),
 )
-def test_percentiles_equal_sorting(spark, rows, bits):
+def test_percentiles_equal_sorting(spark, rows, parts):
     frame = spark.createDataFrame(rows, "g string, v bigint")
     got = {
-        row["g"]: row for row in percentiles(frame, ["g"], "v", POINTS, bits=bits).collect()
+        row["g"]: row for row in percentiles(frame, ["g"], "v", POINTS, parts=parts).collect()
     }
     groups = {}
     for name, value in rows:
@@ -55,16 +56,41 @@ def test_one_value_holds_most_rows(spark):
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(12345)).alias("v"),
     )
     values = [i if i % 3 == 0 else 12345 for i in range(30000)]
-    row = percentiles(frame, ["g"], "v", POINTS, bits=5).first()
+    row = percentiles(frame, ["g"], "v", POINTS, parts=5).first()
     assert [row[column_of(point)] for point in POINTS] == expected(values)
 
 
+def test_nulls_are_counted(spark):
+    rows = [("a", None), ("a", 3), ("b", None), ("b", None), (None, None), ("c", 1), ("c", 1), (None, 5)]
+    frame = spark.createDataFrame(rows, "g string, v bigint")
+    for parts in (1, 2, 9):
+        got = {r["g"]: r for r in percentiles(frame, ["g"], "v", ("0.5",), parts=parts, missing="unknown").collect()}
+        assert {g: (r["n"], r["unknown"], r["p50"], r["min"]) for g, r in got.items()} == {
+            "a": (1, 1, 3, 3), "b": (0, 2, None, None), "c": (2, 0, 1, 1), None: (1, 1, 5, 5)
+        }
+    assert percentiles(frame.limit(0), ["g"], "v", ("0.5",), missing="unknown").collect() == []
+
+
+def test_many_groups_within_and_across_ranges(spark):
+    frame = spark.range(20000).select((F.col("id") % 97).alias("g"), (F.col("id") % 2).alias("h"), (F.col("id") * 7919 % 5003).alias("v"))
+    frame = frame.union(spark.range(30000).select(F.lit(5), F.lit(1), F.col("id")))
+    groups = {}
+    for g, h, v in frame.collect():
+        groups.setdefault((g, h), []).append(v)
+    for row in percentiles(frame, ["g", "h"], "v", POINTS, parts=7).collect():
+        values = groups.pop((row["g"], row["h"]))
+        assert [row[column_of(point)] for point in POINTS] == expected(values) and row["n"] == len(values)
+    assert not groups
+
+
 def test_input_of_percentiles_is_read_once(spark, small):
     frame = spark.read.parquet(f"{small}/events.parquet").withColumn("v", F.col("user_id"))
     result = percentiles(frame, ["event_type"], "v", ("0.5",))
     result.collect()
     final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 3
+    # The counts by value, their ranges, the ends of the ranges and the result; the ranges serve twice and are printed twice.
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
+    assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", final)) - 1 == 4
 
 
 @pytest.mark.parametrize(

@@ -1,19 +1,22 @@
 """The nearest rows to one or many query vectors by cosine similarity, exactly.
 
-Every task keeps the best k of its rows for each query and passes on only those, so one pass over the
-vectors is enough and no pair of query and row leaves the task that made it.
+Every task keeps the best k of its rows for each query and passes on only those, so no pair of query and
+row leaves the task that made it.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_dir, shared_dir
+
 # Query vectors go to every task as long as they take no more than this.
 MAX_QUERY_BYTES = 32 << 20
 # More than rounding can move a similarity of unit vectors.
@@ -22,6 +25,8 @@ MARGIN = 1e-9
 RANK_DIGITS = 12
 # Rows are scored in groups of about this size: each group costs a merge per query.
 SCORED_BYTES = 16 << 20
+# Tasks whose best rows are merged before the query's: no task gets more than k rows of each of so many.
+MERGED_TASKS = 64
 
 
 def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
@@ -97,11 +102,27 @@ class _Best:
                 ).to_batches()
 
 
+def width_of(rows: DataFrame, vector: str) -> int | None:
+    """Width of the vectors, read from one of them; None if there is none. `nearest` checks the others as it reads them."""
+    first = rows.where(F.col(vector).isNotNull()).select(F.size(vector).alias("width")).first()
+    return first.width if first else None
+
+
+def _query_width(queries: DataFrame, query_vector: str) -> int | None:
+    """Width of the query vectors. Different ones are an error, since no row could be compared with all of them."""
+    found = queries.where(F.col(query_vector).isNotNull()).agg(
+        F.min(F.size(query_vector)).alias("least"), F.max(F.size(query_vector)).alias("most")
+    ).first()
+    if found.least != found.most:
+        raise ValueError(f"query vectors are {found.least} to {found.most} wide")
+    return found.most
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int,
-    dims: int,
+    dims: int | None = None,
     *,
     id_cols: list[str],
     vector: str = "embedding",
@@ -109,127 +130,104 @@ def nearest(
     query_vector: str = "query_vector",
     digits: int = 6,
     max_query_bytes: int = MAX_QUERY_BYTES,
+    audit: str | Observation | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """`query_id`, `id_cols`, `similarity` and `rank` of the k best rows of `vectors` per query.
 
     Rows rank by their similarity to `RANK_DIGITS` decimals, beyond which lie only errors of
     summation; equal ones rank by `id_cols`, which have to name a row; only the output is rounded to `digits`. So the result does
-    not depend on how the rows are spread. Vectors of another length, of length zero or with nulls
-    have no similarity and no rank.
+    not depend on how the rows are spread.
+
+    The width is that of the queries, unless `dims` names one that only a part of them has. Vectors of another width, of length
+    zero or with nulls have no similarity and no rank. `audit` counts all rows and those without a similarity, by cause, as an observation;
+    with `strict` a vector of another width is an error.
+
+    Queries that take no more than `max_query_bytes` go to every task in one pass over the vectors, more of them in as many passes
+    as they fill. Vectors are never shuffled. What the tasks pass on is merged for each query in two steps, by groups of tasks first.
     """
+    if dims is None:
+        dims = _query_width(queries, query_vector) or 0
     usable = queries.where(F.size(query_vector) == dims).select(query_id, query_vector)
-    rows = vectors.where(F.size(vector) == dims).select(*id_cols, vector)
+    rows = _compared(vectors, dims, id_cols, vector, audit, strict)
     schema = T.StructType(
         [
             usable.schema[query_id],
             *[rows.schema[name] for name in id_cols],
             T.StructField("similarity", T.DoubleType()),
+            T.StructField("_tasks", T.IntegerType(), False),
         ]
     )
-    most = max(1, max_query_bytes // (8 * dims))
+
+    def passing(block: pa.Table) -> DataFrame:
+        return _one_pass(rows, block, schema, k, dims, id_cols, vector, query_id, digits)
+
     # The limit bounds what reaches the driver; one row above it shows that there are too many.
+    most = max(1, max_query_bytes // (8 * max(dims, 1)))
     head = usable.limit(most + 1).toArrow()
-    if head.num_rows <= most:
-        candidates = _one_pass(rows, head, schema, k, dims, id_cols, vector, query_id, digits)
+    if not head.num_rows:
+        candidates = rows.sparkSession.createDataFrame([], schema)
+    elif head.num_rows <= most and (head.nbytes <= max_query_bytes or head.num_rows <= 1):
+        candidates = passing(head)
     else:
-        candidates = _in_cells(
-            rows, usable, schema, k, dims, id_cols, vector, query_id, query_vector, digits, most
+        candidates = _in_passes(usable, passing, schema, head, max_query_bytes)
+    order = [F.desc("similarity"), *id_cols]
+    for group in ([query_id, "_tasks"], [query_id]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        candidates = candidates.withColumn("rank", rank).where(F.col("rank") <= k)
+    return candidates.select(query_id, *id_cols, (F.round("similarity", digits) + F.lit(0.0)).alias("similarity"), "rank")
+
+
+def _compared(vectors: DataFrame, dims: int, id_cols: list[str], vector: str, audit, strict: bool) -> DataFrame:
+    """Ids and vectors of the right width; the others are counted, or end the job."""
+    size = F.size(vector)
+    if strict:
+        problem = F.concat(F.lit("a vector is "), size.cast("string"), F.lit(f" wide, the queries {dims}"))
+        vectors = vectors.withColumn(vector, F.when(size != dims, F.raise_error(problem)).otherwise(F.col(vector)))
+    if audit is not None:
+        square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+        right = size == dims
+        vectors = vectors.observe(
+            audit,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(vector).isNull()).alias("without_vector"),
+            F.count_if(size != dims).alias("other_width"),
+            F.count_if(right & (square.isNull() | F.isnan(square) | (square == float("inf")))).alias("without_number"),
+            F.count_if(right & (square == 0)).alias("without_length"),
         )
-    order = Window.partitionBy(query_id).orderBy(F.desc("similarity"), *id_cols)
-    ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.withColumn("similarity", F.round("similarity", digits) + F.lit(0.0))
+    return vectors.where(size == dims).select(*id_cols, vector)
 
 
-def _one_pass(rows, head, schema, k, dims, id_cols, vector, query_id, digits) -> DataFrame:
-    """All queries to every task."""
-    ids = head.column(0).combine_chunks()
-    units = _matrix(head.column(1).combine_chunks(), dims)
+def _one_pass(rows, block, schema, k, dims, id_cols, vector, query_id, digits) -> DataFrame:
+    """All queries of a block to every task; the best rows of each task for each query."""
+    ids = block.column(0).combine_chunks()
+    units = _matrix(block.column(1).combine_chunks(), dims)
     shared = rows.sparkSession.sparkContext.broadcast((ids, units))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, units = shared.value
         best = _Best(units, k, id_cols, vector, digits)
+        group = TaskContext.get().partitionId() // MERGED_TASKS
         for batch in batches:
             best.add(pa.Table.from_batches([batch]))
-        yield from best.results(ids, query_id)
+        for found in best.results(ids, query_id):
+            yield found.append_column("_tasks", pa.array([group] * found.num_rows, pa.int32()))
 
     return rows.mapInArrow(search, schema)
 
 
-def _in_cells(
-    rows, usable, schema, k, dims, id_cols, vector, query_id, query_vector, digits, most
-) -> DataFrame:
-    """Queries in blocks, rows in stripes, one cell for each pair of them.
-
-    A cell reads its block first and then lets its rows pass by, so it never holds more than the
-    block. Rows are copied once per block, queries once per stripe.
-    """
-    spark = rows.sparkSession
-    # Twice as many blocks as would just fit, since a hash does not fill them evenly.
-    blocks = 2 * math.ceil(usable.count() / most)
-    stripes = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def each(count: int):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
-
-    query_rows = usable.select(
-        each(stripes).alias("_stripe"),
-        F.pmod(F.xxhash64(query_id, query_vector), F.lit(blocks)).alias("_block"),
-        F.lit(0).alias("_kind"),
-        F.col(query_id).alias("_query"),
-        F.col(query_vector).cast("array<double>").alias("_vector"),
-    )
-    vector_rows = rows.select(
-        F.pmod(F.xxhash64(*id_cols), F.lit(stripes)).alias("_stripe"),
-        each(blocks).alias("_block"),
-        F.lit(1).alias("_kind"),
-        F.col(vector).cast("array<double>").alias("_vector"),
-        *id_cols,
-    )
-    cells = (
-        query_rows.unionByName(vector_rows, allowMissingColumns=True)
-        .repartition(stripes * blocks, "_stripe", "_block")
-        .sortWithinPartitions("_stripe", "_block", "_kind")
-    )
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, loaded, best, ids = None, [], None, None
-        for table in _runs(batches):
-            key = tuple(table.column(name)[0].as_py() for name in ("_stripe", "_block"))
-            if key != cell:
-                if best is not None:
-                    yield from best.results(ids, query_id)
-                cell, loaded, best, ids = key, [], None, None
-            if table.column("_kind")[0].as_py() == 0:
-                loaded.append(table)
-                continue
-            if not loaded:
-                continue
-            if best is None:
-                block_rows = pa.concat_tables(loaded)
-                ids = block_rows.column("_query").combine_chunks()
-                units = _matrix(block_rows.column("_vector").combine_chunks(), dims)
-                best = _Best(units, k, id_cols, "_vector", digits)
-            best.add(table)
-        if best is not None:
-            yield from best.results(ids, query_id)
-
-    return cells.mapInArrow(search, schema)
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches cut where the cell or the kind of row changes."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        keys = np.stack(
-            [
-                table.column(name).to_numpy()
-                for name in ("_stripe", "_block", "_kind")
-            ]
-        )
-        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        edges = [0, *cuts.tolist(), table.num_rows]
-        for start, end in zip(edges, edges[1:]):
-            yield table.slice(start, end - start)
+def _in_passes(usable: DataFrame, passing: Callable, schema: T.StructType, head: pa.Table, limit: int) -> DataFrame:
+    """A pass over the vectors for each block of queries. The driver holds one block, and the best rows are written down."""
+    spark = usable.sparkSession
+    asked, found = shared_dir(spark, "queries"), shared_dir(spark, "nearest")
+    usable.withColumn("_row", F.monotonically_increasing_id()).write.parquet(asked)
+    stored = spark.read.parquet(asked)
+    blocks = math.ceil(stored.count() * head.nbytes / head.num_rows / limit)
+    for number in range(blocks):
+        block = stored.where(F.pmod(F.xxhash64("_row"), F.lit(blocks)) == number).drop("_row").toArrow()
+        # A hash does not fill the blocks evenly, and ids may be of any length.
+        step = max(1, min(block.num_rows, int(block.num_rows * limit / max(block.nbytes, 1))))
+        for start in range(0, block.num_rows, step):
+            passing(block.slice(start, step)).write.mode("append").parquet(found)
+    remove_dir(spark, asked)
+    return spark.read.schema(schema).parquet(found)

@@ -17,7 +17,6 @@ from . import tables
 from .tables import table, zoneless
 
 NEIGHBOURS = 10
-DIMS = 64
 WINDOW_DELAY = "1 hour"
 BATCH_BYTES = 1 << 40
 SMALL_FILES = 40
@@ -172,15 +171,16 @@ def ingest_lag(spark: SparkSession, folder: str) -> DataFrame:
 
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
     """For each label the vectors nearest to the mean of all vectors with that label."""
-    vectors = table(spark, folder, "embeddings").where(F.size("embedding") == DIMS)
+    vectors = table(spark, folder, "embeddings")
+    dims = retrieve.width_of(vectors, "embedding") or 0
     # One row of sums per label and task goes into the shuffle; long form would shuffle each number.
     means = vectors.groupBy("label").agg(
-        F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(DIMS)]).alias(
+        F.array(*[F.avg(F.col("embedding")[i].cast("double")) for i in range(dims)]).alias(
             "query_vector"
         )
     )
     queries = means.withColumnRenamed("label", "query_id")
-    return retrieve.nearest(vectors, queries, NEIGHBOURS, DIMS, id_cols=["vec_id"])
+    return retrieve.nearest(vectors, queries, NEIGHBOURS, dims, id_cols=["vec_id"], strict=True)
 
 
 def _questions(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,7 +197,7 @@ def retrieve_logs(spark: SparkSession, folder: str) -> DataFrame:
         F.col("offset").alias("event_id"),
         embedding.embed(text.strip_noise(F.col("payload.log_raw"))).alias("embedding"),
     )
-    return retrieve.nearest(found, _questions(spark, folder), NEIGHBOURS, DIMS, id_cols=["event_id"])
+    return retrieve.nearest(found, _questions(spark, folder), NEIGHBOURS, id_cols=["event_id"], strict=True)
 
 
 def _file_run(spark: SparkSession, folder: str) -> Config:
@@ -274,9 +274,9 @@ def retrieve_stored_logs(spark: SparkSession, folder: str) -> DataFrame:
         found,
         _questions(spark, folder),
         NEIGHBOURS,
-        DIMS,
         id_cols=["timestamp", "log_raw"],
         vector="embedding_vector",
+        strict=True,
     )
 
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Observation
 
 from hostpulse.operators import retrieve
 from hostpulse.operators.retrieve import nearest
@@ -45,7 +46,7 @@ def queries(vectors):
     return near + [(f"q{i}", random.normal(size=DIMS).tolist()) for i in range(40)]
 
 
-# One pass with all queries at every task; or cells, for a limit of 2 or of 16 queries per task.
+# One pass with all queries at every task; or several passes, for a limit of 2 or of 16 queries per task.
 @pytest.mark.parametrize("limit", [1 << 20, 2 * 8 * DIMS, 16 * 8 * DIMS])
 @pytest.mark.parametrize("k", [1, 7])
 @pytest.mark.parametrize("parts", [1, 5])
@@ -123,3 +124,60 @@ def test_near_ties_rank_by_similarity(spark):
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, query_vector array<double>")
     found = nearest(vectors, queries, 3, 2, id_cols=["vec_id"]).orderBy("rank").collect()
     assert [row["vec_id"] for row in found] == [6, 5, 4]
+
+
+def test_width_comes_from_the_queries(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0, 0.0]), (3, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
+    one = spark.createDataFrame([(0, [0.0, 2.0])], "query_id int, query_vector array<double>")
+    assert [r["vec_id"] for r in nearest(rows, one, 5, id_cols=["vec_id"]).orderBy("rank").collect()] == [3, 1]
+    assert retrieve.width_of(rows.where("vec_id = 2"), "embedding") == 3 and retrieve.width_of(rows.limit(0), "embedding") is None
+    two = one.union(spark.createDataFrame([(1, [1.0])], one.schema))
+    with pytest.raises(ValueError, match="1 to 2 wide"):
+        nearest(rows, two, 5, id_cols=["vec_id"])
+    with pytest.raises(Exception, match="a vector is 3 wide, the queries 2"):
+        nearest(rows, one, 5, id_cols=["vec_id"], strict=True).collect()
+    assert nearest(rows, one.limit(0), 5, id_cols=["vec_id"]).collect() == []
+
+
+def test_unusable_rows_are_counted(spark, vectors):
+    rows = spark.createDataFrame(vectors + [(700, None), (701, [float("nan")] * DIMS)], "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(0, vectors[0][1])], "query_id int, query_vector array<double>")
+    seen = Observation()
+    assert nearest(rows, asked, 3, id_cols=["vec_id"], audit=seen).count() == 3
+    assert seen.get == {"rows": 606, "without_vector": 1, "other_width": 2, "without_number": 2, "without_length": 1}
+
+
+def test_size_check_counts_the_ids(spark, vectors):
+    """Three queries whose vectors fit but whose ids do not."""
+    rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    queries = [(f"{i}" * 5000, vectors[i][1]) for i in range(3)]
+    asked = spark.createDataFrame(queries, "query_id string, query_vector array<double>")
+    got = nearest(rows, asked, 2, id_cols=["vec_id"], max_query_bytes=6000)
+    assert sorted((q[0], i, r) for q, i, _, r in got.collect()) == sorted(
+        (q[0], i, r) for q, i, _, r in brute_force(vectors, queries, 2)
+    )
+
+
+def test_two_steps_of_merging(spark, vectors, queries, monkeypatch):
+    monkeypatch.setattr(retrieve, "MERGED_TASKS", 2)
+    rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(7)
+    asked = spark.createDataFrame(queries, "query_id string, query_vector array<double>")
+    got = nearest(rows, asked, 6, id_cols=["vec_id"])
+    assert sorted((q, i, r) for q, i, _, r in got.collect()) == [(q, i, r) for q, i, _, r in brute_force(vectors, queries, 6)]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    # The vectors are below the first exchange of the merge, so none is shuffled.
+    assert "_tasks" in plan and plan.index("MapInArrow") > plan.rindex("Exchange hashpartitioning(query_id")
+
+
+def test_vectors_are_read_once_for_each_block(spark, vectors, queries):
+    rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame(queries, "query_id string, query_vector array<double>")
+    passes = []
+    keep = retrieve._one_pass
+    retrieve._one_pass = lambda rows, block, *rest: passes.append((block.num_rows, block.nbytes)) or keep(rows, block, *rest)
+    try:
+        nearest(rows, asked, 2, id_cols=["vec_id"], max_query_bytes=1500).collect()
+    finally:
+        retrieve._one_pass = keep
+    assert sum(n for n, _ in passes) == len(queries) and 3 <= len(passes) <= 12
+    assert all(size <= 2500 for _, size in passes)

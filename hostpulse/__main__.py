@@ -37,6 +37,7 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument("--tolerate-data-loss", action="store_true", help="go on if offsets are gone")
     parser.add_argument("--backlog", action="store_true", help="batches as wide as the cluster")
     parser.add_argument("--windows", choices=["parts", "closed"], default=defaults.windows)
+    parser.add_argument("--merge-every", type=int, metavar="BATCHES", help="merge the parts of windows in a folder")
     parser.add_argument("--window-delay", default=defaults.window_delay)
     parser.add_argument("--clock-ahead", default=defaults.clock_ahead)
     parser.add_argument("--encoder", metavar="MODULE:NAME", help="function that opens the encoder of a task")
@@ -63,6 +64,7 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
         broker_zone=given.broker_zone or None,
         fail_on_data_loss=not given.tolerate_data_loss,
         windows=given.windows,
+        merge_every=given.merge_every,
         window_delay=given.window_delay,
         clock_ahead=given.clock_ahead,
     )

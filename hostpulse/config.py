@@ -85,6 +85,8 @@ class Config:
     # `parts`: figures of each batch are written and added up on reading, so no row is late.
     # `closed`: each window is written once, `window_delay` after the newest time; later rows are lost.
     windows: Literal["parts", "closed"] = "parts"
+    # Parts in a folder are merged after so many batches, while the stream runs; None leaves them as they are.
+    merge_every: int | None = None
     window_delay: str = "10 seconds"
     # A sample time this far after the broker's is a wrong clock and must not close windows.
     clock_ahead: str = "10 minutes"

@@ -126,6 +126,35 @@ def merged_metrics(parts: DataFrame) -> DataFrame:
     )
 
 
+def _added_mean(name: str) -> list[Column]:
+    """Parts of a mean from such parts. Once a part has values but no exact sum, their sum has none either."""
+    count, exact, total, misfits = (F.col(f"{name}_{part}") for part in ("count", "exact", "sum", "misfits"))
+    without = F.count_if((count > 0) & exact.isNull())
+    return [
+        F.sum(count).alias(f"{name}_count"),
+        F.when(without == 0, F.try_sum(exact)).cast("decimal(38,9)").alias(f"{name}_exact"),
+        F.sum(total).alias(f"{name}_sum"),
+        F.sum(misfits).alias(f"{name}_misfits"),
+    ]
+
+
+def added_metric_parts(parts: DataFrame) -> DataFrame:
+    """Fewer parts with the same `merged_metrics`."""
+    return parts.groupBy("window_start").agg(
+        F.sum("n").alias("n"),
+        F.min("min_cpu").alias("min_cpu"),
+        F.max("max_cpu").alias("max_cpu"),
+        *_added_mean("cpu"),
+        F.max("max_memory").alias("max_memory"),
+        *_added_mean("memory"),
+        F.min("min_available").alias("min_available"),
+    )
+
+
+def added_log_parts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "category").agg(F.sum("n").alias("n"))
+
+
 def merged_logs(parts: DataFrame) -> DataFrame:
     return parts.groupBy("window_start", "category").agg(F.sum("n").alias("n"))
 

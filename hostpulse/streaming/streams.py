@@ -15,6 +15,7 @@ from ..config import Config
 from ..functions.embedding import HashingEncoder
 from ..operators import route, summaries
 from ..sources import stream_envelopes
+from . import parts as written
 
 log = logging.getLogger(__name__)
 
@@ -77,10 +78,16 @@ def log_windows_frame(spark: SparkSession, config: Config, delay: str | None = N
     return summaries.logs_by_window(_watermarked(samples, config, delay, "logs_5s_input"))
 
 
-def parts_sink(aggregate: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:
+def parts_sink(
+    aggregate: Callable[[DataFrame], DataFrame],
+    sink: Sink,
+    add_up: Callable[[DataFrame], DataFrame] | None = None,
+    merge_every: int | None = None,
+) -> Sink:
     """Writes what each batch adds to its windows, with its `batch_id`; a repeated batch replaces what it wrote.
 
-    No state is kept and no row is late. `summaries.merged_metrics` and `merged_logs` add the parts up.
+    No state is kept and no row is late. `summaries.merged_metrics` and `merged_logs` add the parts up. With `merge_every`, a
+    folder's finished batches are merged by `add_up` after every so many; `parts.read` reads them.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
@@ -88,8 +95,13 @@ def parts_sink(aggregate: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:
         if sink.batch is not None:
             return sink.batch(parts, batch)
         if sink.table is None:
+            if batch <= (upto := written.current(rows.sparkSession, sink.path).upto):
+                raise RuntimeError(f"{sink.path} holds batches up to {upto}: a new checkpoint needs a new folder")
             writer = parts.drop("batch_id").write.mode("overwrite").format(sink.format)
-            return writer.options(**sink.options).save(f"{sink.path}/batch_id={batch}")
+            writer.options(**sink.options).save(f"{sink.path}/batch_id={batch}")
+            if merge_every and add_up:
+                written.merge(rows.sparkSession, sink.path, add_up, batches=merge_every)
+            return None
         spark = rows.sparkSession
         if not spark.catalog.tableExists(sink.table):
             empty = parts.limit(0).write.format(sink.format).options(**sink.options)
@@ -136,7 +148,7 @@ def start_metric_windows(
     """CPU and memory per five seconds, as parts of each batch or, if so configured, as closed windows."""
     if config.windows == "parts":
         rows = route.metric_samples(stream_envelopes(spark, config, "metrics"))
-        sink = parts_sink(summaries.metric_parts, sink)
+        sink = parts_sink(summaries.metric_parts, sink, summaries.added_metric_parts, config.merge_every)
         return start(rows, sink, config.checkpoint("metrics_5s_parts"), trigger)
     rows = metric_windows_frame(spark, config)
     return start(rows, sink, config.checkpoint("metrics_5s"), trigger)
@@ -148,7 +160,7 @@ def start_log_windows(
     """Logs per category and five seconds, in the same two ways."""
     if config.windows == "parts":
         rows = route.log_samples(stream_envelopes(spark, config, "logs"))
-        sink = parts_sink(summaries.log_parts, sink)
+        sink = parts_sink(summaries.log_parts, sink, summaries.added_log_parts, config.merge_every)
         return start(rows, sink, config.checkpoint("logs_5s_parts"), trigger)
     rows = log_windows_frame(spark, config)
     return start(rows, sink, config.checkpoint("logs_5s"), trigger)

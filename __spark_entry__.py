@@ -260,6 +260,8 @@ SELECT broker AS eventhub_timestamp, {_METRICS_COLUMNS}
 FROM messages WHERE type = 'metrics'""",
         "stream_metrics_5s": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} {_CLOSED.format('metrics')}",
         "stream_metrics_5s_small_batches": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} SELECT * FROM windows",
+        "stream_metrics_5s_merged": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} SELECT * FROM windows",
+        "stream_log_counts_5s_late": f"WITH {_MESSAGES}, {_LOG_WINDOWS} SELECT * FROM windows",
         "retrieve_stored_logs": f"""WITH {_MESSAGES}, {_LOGS},
 questions AS (
   SELECT event_type AS query_id, 'user ' || max(user_id) AS text FROM events GROUP BY event_type

@@ -39,6 +39,7 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument("--windows", choices=["parts", "closed"], default=defaults.windows)
     parser.add_argument("--merge-every", type=int, metavar="BATCHES", help="merge the parts of windows in a folder")
     parser.add_argument("--window-delay", default=defaults.window_delay)
+    parser.add_argument("--late", metavar="FOLDER", help="closed windows: keep late samples here instead of losing them")
     parser.add_argument("--clock-ahead", default=defaults.clock_ahead)
     parser.add_argument("--encoder", metavar="MODULE:NAME", help="function that opens the encoder of a task")
     parser.add_argument("--catalog", default=defaults.target.catalog)
@@ -106,6 +107,8 @@ def main(arguments: list[str] | None = None) -> None:
     for name in given.streams:
         start, table = STREAMS[name]
         more = encoder_for(given) if name == "logs" else {}
+        if name.endswith("-5s") and given.late:
+            more = {"late": f"{given.late}/{table}"}
         queries.append(start(spark, config, sink_for(given, config, table, spark), **more))
     with streams.stopping(*queries):
         try:

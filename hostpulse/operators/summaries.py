@@ -96,9 +96,9 @@ def _mean_of_parts(name: str) -> Column:
     return F.when(inexact == 0, F.coalesce(added, plain)).otherwise(plain)
 
 
-def metric_parts(rows: DataFrame, seconds: int = 5, time: str = "at") -> DataFrame:
-    """What a batch adds to `merged_metrics`. Rows without a time are kept, under a window of null."""
-    return rows.groupBy(_start(time, seconds)).agg(
+def metric_parts(rows: DataFrame, seconds: int = 5, time: str = "at", also: Sequence[str] = ()) -> DataFrame:
+    """What a batch adds to `merged_metrics`. Rows without a time are kept, under a window of null. `also`: further groups."""
+    return rows.groupBy(_start(time, seconds), *also).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("cpu_percent").alias("min_cpu"),
         F.max("cpu_percent").alias("max_cpu"),
@@ -109,8 +109,8 @@ def metric_parts(rows: DataFrame, seconds: int = 5, time: str = "at") -> DataFra
     )
 
 
-def log_parts(rows: DataFrame, seconds: int = 5, time: str = "at") -> DataFrame:
-    return rows.groupBy(_start(time, seconds), "category").agg(F.count(F.lit(1)).alias("n"))
+def log_parts(rows: DataFrame, seconds: int = 5, time: str = "at", also: Sequence[str] = ()) -> DataFrame:
+    return rows.groupBy(_start(time, seconds), "category", *also).agg(F.count(F.lit(1)).alias("n"))
 
 
 def merged_metrics(parts: DataFrame) -> DataFrame:

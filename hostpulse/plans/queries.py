@@ -12,7 +12,7 @@ from ..schemas import LOG
 from ..session import shared_dir
 from ..sinks.files import write_envelopes
 from ..sources import read_files
-from ..streaming import streams
+from ..streaming import closed, parts, streams
 from . import tables
 from .tables import table, zoneless
 
@@ -254,11 +254,39 @@ def stream_log_counts_5s(spark: SparkSession, folder: str) -> DataFrame:
     return _zone_free_windows(_stored(spark, windows, "stream-log-counts-5s"))
 
 
-def stream_metrics_5s_small_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """All windows of files in no order of time, taken in the small batches of the usual limits."""
-    config = Config(mode="files", volume_root=shared_dir(spark, "small-batches"))
+def _small_batches(spark: SparkSession, folder: str, **more) -> Config:
+    """All events in files in no order of time, for the small batches of the usual limits."""
+    config = Config(mode="files", volume_root=shared_dir(spark, "small-batches"), **more)
     events = tables.file_envelopes(_events(spark, folder)).repartition(SMALL_FILES)
     write_envelopes(events, config.base_path, rows_per_file=1_000_000)
+    return config
+
+
+def stream_metrics_5s_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same windows, their parts merged by day while the stream runs."""
+    config = _small_batches(spark, folder, merge_every=2)
+    out = shared_dir(spark, "stream-metrics-5s-merged")
+    query = streams.start_metric_windows(spark, config, streams.Sink(path=out), streams.DRAIN)
+    with streams.stopping(query):
+        streams.wait(query, None)
+    return _zone_free_windows(summaries.merged_metrics(parts.read(spark, out)))
+
+
+def stream_log_counts_5s_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed windows of files in no order of time, with the samples that came too late for theirs and the windows still open."""
+    config = _small_batches(spark, folder, windows="closed", window_delay=WINDOW_DELAY)
+    out, late = shared_dir(spark, "stream-log-counts-5s-closed"), shared_dir(spark, "stream-log-counts-5s-late")
+    query = streams.start_log_windows(spark, config, streams.Sink(path=out), streams.DRAIN, late=late)
+    with streams.stopping(query):
+        streams.wait(query, None)
+    columns = ("window_start", "category", "n")
+    found = spark.read.parquet(out).select(*columns).unionByName(spark.read.parquet(late).select(*columns))
+    return _zone_free_windows(summaries.merged_logs(found.unionByName(closed.open_parts(spark, out).select(*columns))))
+
+
+def stream_metrics_5s_small_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows of files in no order of time, taken in the small batches of the usual limits."""
+    config = _small_batches(spark, folder)
     out = shared_dir(spark, "stream-metrics-5s-parts")
     query = streams.start_metric_windows(spark, config, streams.Sink(path=out), streams.DRAIN)
     with streams.stopping(query):
@@ -306,6 +334,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_metrics_5s,
         stream_log_counts_5s,
         stream_metrics_5s_small_batches,
+        stream_metrics_5s_merged,
+        stream_log_counts_5s_late,
         retrieve_stored_logs,
     )
 }

@@ -15,6 +15,7 @@ from ..config import Config
 from ..functions.embedding import HashingEncoder
 from ..operators import route, summaries
 from ..sources import stream_envelopes
+from . import closed
 from . import parts as written
 
 log = logging.getLogger(__name__)
@@ -114,6 +115,12 @@ def parts_sink(
     return Sink(batch=write)
 
 
+def _folder(sink: Sink) -> str:
+    if sink.path is None or sink.format != "parquet":
+        raise ValueError("closed windows with a side table are written to a Parquet folder")
+    return sink.path
+
+
 def start(
     rows: DataFrame, sink: Sink, checkpoint: str, trigger: dict, name: str | None = None
 ) -> StreamingQuery:
@@ -143,25 +150,36 @@ def start_metrics(
 
 
 def start_metric_windows(
-    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER
+    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER, late: str | None = None
 ) -> StreamingQuery:
-    """CPU and memory per five seconds, as parts of each batch or, if so configured, as closed windows."""
+    """CPU and memory per five seconds, as parts of each batch or, if so configured, as closed windows.
+
+    With a folder for `late` samples, closed windows and that folder lose no sample (see `closed`); otherwise late ones are dropped.
+    """
     if config.windows == "parts":
         rows = route.metric_samples(stream_envelopes(spark, config, "metrics"))
         sink = parts_sink(summaries.metric_parts, sink, summaries.added_metric_parts, config.merge_every)
         return start(rows, sink, config.checkpoint("metrics_5s_parts"), trigger)
+    if late is not None:
+        rows = route.metric_samples(stream_envelopes(spark, config, "metrics"), "broker_time")
+        write = closed.closing_metrics(_folder(sink), late, config.window_delay, config.clock_ahead)
+        return start(rows, Sink(batch=write), config.checkpoint("metrics_5s_closed"), trigger)
     rows = metric_windows_frame(spark, config)
     return start(rows, sink, config.checkpoint("metrics_5s"), trigger)
 
 
 def start_log_windows(
-    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER
+    spark: SparkSession, config: Config, sink: Sink, trigger: dict = WINDOWS_TRIGGER, late: str | None = None
 ) -> StreamingQuery:
     """Logs per category and five seconds, in the same two ways."""
     if config.windows == "parts":
         rows = route.log_samples(stream_envelopes(spark, config, "logs"))
         sink = parts_sink(summaries.log_parts, sink, summaries.added_log_parts, config.merge_every)
         return start(rows, sink, config.checkpoint("logs_5s_parts"), trigger)
+    if late is not None:
+        rows = route.log_samples(stream_envelopes(spark, config, "logs"), "broker_time")
+        write = closed.closing_logs(_folder(sink), late, config.window_delay, config.clock_ahead)
+        return start(rows, Sink(batch=write), config.checkpoint("logs_5s_closed"), trigger)
     rows = log_windows_frame(spark, config)
     return start(rows, sink, config.checkpoint("logs_5s"), trigger)
 

@@ -43,25 +43,26 @@ GRAM = 100
 WORDS = 50
 WORD_GRAM = 8
 #: Second buckets of one first bucket that one task refines together; they hold at most `GROUP` times 2 * LENGTH bytes.
-GROUP = 512
+GROUP = 4096
 #: Bytes, of several first buckets, that are refined at a time, and bytes or words of a text whose anchors are sought at a time.
 REFINED = 1 << 20
 PIECE = 1 << 20
-#: Words whose hashes a task remembers.
-KNOWN_WORDS = 200_000
 _PLACE = np.uint64((1 << 32) - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = re.compile(rb"[ \t-\r]")
 _WORD = re.compile(rb"[^ \t-\r]+")
 
 
-def sequence(text: bytes, hashes: common.WordHashes | None) -> bytes:
+def sequence(text: bytes, words: bool) -> bytes:
     """The text itself or, in 8 bytes each, the hashes of its words."""
-    if hashes is None:
+    if not words:
         return text
-    return hashes.of(text.split()).tobytes() if len(text) <= PIECE else b"".join(
-        hashes.of(part.split()).tobytes() for part in _at_blanks(text)
-    )
+    parts = (text,) if len(text) <= PIECE else _at_blanks(text)
+    return b"".join(_hashed(part.split()) for part in parts)
+
+
+def _hashed(words: list[bytes]) -> bytes:
+    return b"".join(map(xxhash.xxh3_64_digest, words))
 
 
 def _at_blanks(text: bytes) -> Iterator[bytes]:
@@ -147,10 +148,9 @@ def _found(rows: DataFrame, length: int, gram: int, unit: int) -> DataFrame:
     """The anchors of all rows with their first and second bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes(KNOWN_WORDS) if unit == 8 else None
         for batch in batches:
             for part in common.slices(batch, "text"):
-                texts = [sequence(text, hashes) for text in common.bytes_of(part, "text")]
+                texts = [sequence(text, unit == 8) for text in common.bytes_of(part, "text")]
                 for group in _pieces(texts, unit, length):
                     yield of(part, texts, group)
 
@@ -246,14 +246,15 @@ def spans(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["first", "a", "b", "several", "members", "strings", "context"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()]
-        hashes = common.WordHashes(KNOWN_WORDS) if words else None
         for batch in batches:
             for number in range(batch.num_rows):
-                text = sequence(batch.column("text")[number].as_py() or b"", hashes)
+                text = batch.column("text")[number].as_py() or b""
+                units = text.split() if words else text
                 out = []
                 for e in batch.column("work")[number].as_py():
                     place, back, more = _unpack(e["spread"])
-                    context = text[(place - back) * unit : (place - back + more + length) * unit]
+                    context = units[place - back : place - back + more + length]
+                    context = _hashed(context) if words else context
                     out.append((e["first"], e["a"], e["b"], e["n"] > 1, e["members"], more + 1, context))
                 data = list(zip(*out)) if out else [[]] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(d, k) for d, k in zip(data, kinds)], names)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from hostpulse.llm import common
@@ -202,18 +204,24 @@ def worker_encoder(sent) -> Encoder:
 
 
 class _Sent:
-    """A broadcast value with a number that worker processes can key their caches by."""
+    """A broadcast value with a number that worker processes can key their caches by.
+
+    Broadcasts are pickled by reference, which needs the package on every executor; so the value goes out as bytes that carry its class.
+    """
 
     def __init__(self, spark, value):
-        self._sent = spark.sparkContext.broadcast(value)
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
         self.id = self._sent._jbroadcast.id()
+        self._value = value
 
     @property
     def value(self):
-        return self._sent.value
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value
 
     def __getstate__(self):
-        return {"_sent": self._sent, "id": self.id}
+        return {"_sent": self._sent, "id": self.id, "_value": None}
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

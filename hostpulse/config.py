@@ -90,6 +90,13 @@ class Config:
     window_delay: str = "10 seconds"
     # A sample time this far after the broker's is a wrong clock and must not close windows.
     clock_ahead: str = "10 minutes"
+    # Files that have been read: moved to a folder beside the scanned one, deleted, or left, where they are listed at every trigger.
+    # For a folder that one stream alone reads.
+    clean_source: Literal["archive", "delete", "off"] = "off"
+    # Older files, by the newest one's time, are passed over; such as "7d".
+    max_file_age: str | None = None
+    # Only files whose path matches are read, such as "2024-05-*".
+    file_glob: str | None = None
     # The scanned folder in file mode, if it is not the one made of root and environment.
     input_path: str | None = None
 
@@ -101,6 +108,16 @@ class Config:
     def base_path(self) -> str:
         return self.input_path or f"{self.volume_root}/{self.environment}/default/streaming_data"
 
+    @property
+    def file_options(self) -> dict[str, str]:
+        """Options of the file source besides its limits."""
+        options = {"maxFileAge": self.max_file_age, "pathGlobFilter": self.file_glob}
+        if self.clean_source != "off":
+            options["cleanSource"] = self.clean_source
+        if self.clean_source == "archive":
+            options["sourceArchiveDir"] = f"{self.base_path.rstrip('/')}_archive"
+        return {key: value for key, value in options.items() if value is not None}
+
     def checkpoint(self, stream: str) -> str:
         """One checkpoint per source mode and stream: file and Kafka offsets cannot be mixed.
 

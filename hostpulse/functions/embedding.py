@@ -11,6 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,11 +67,46 @@ class PredictEncoder:
         return np.stack(vectors)
 
 
-def encode_chunk(encode: Encoder, texts: list[str], attempts: int, wait_seconds: float):
+class Calls:
+    """What encoder calls of all tasks add up to. The longest call is found among those of finished tasks."""
+
+    def __init__(self, context: SparkContext):
+        self._calls = context.accumulator(0)
+        self._texts = context.accumulator(0)
+        self._seconds = context.accumulator(0.0)
+        self._longest = context.accumulator(0.0, _Largest())
+
+    def add(self, texts: int, seconds: float) -> None:
+        self._calls.add(1)
+        self._texts.add(texts)
+        self._seconds.add(seconds)
+        self._longest.add(seconds)
+
+    def figures(self) -> tuple[int, int, float]:
+        """Calls, texts and seconds so far."""
+        return self._calls.value, self._texts.value, self._seconds.value
+
+    @property
+    def longest(self) -> float:
+        return self._longest.value
+
+
+class _Largest(AccumulatorParam):
+    def zero(self, value: float) -> float:
+        return 0.0
+
+    def addInPlace(self, a: float, b: float) -> float:
+        return max(a, b)
+
+
+def encode_chunk(encode: Encoder, texts: list[str], attempts: int, wait_seconds: float, calls: Calls | None = None):
     """One encoder call with a bounded number of retries. A wrong number of vectors is an error."""
     for attempt in range(1, attempts + 1):
+        begun = time.perf_counter()
         try:
             vectors = encode(texts)
+            if calls is not None:
+                calls.add(len(texts), time.perf_counter() - begun)
             break
         except Exception:
             if attempt == attempts:
@@ -97,13 +134,14 @@ def embed_batches(
     chunk_size: int = CHUNK_SIZE,
     attempts: int = 3,
     wait_seconds: float = 0.5,
+    calls: Calls | None = None,
 ) -> Iterator[pa.Array]:
     """One array of vectors per array of texts, in the same order. Null is embedded as empty text."""
     encode = open_encoder()
     for batch in batches:
         texts = ["" if text is None else text for text in batch.to_pylist()]
         chunks = [
-            to_arrow(encode_chunk(encode, texts[i : i + chunk_size], attempts, wait_seconds))
+            to_arrow(encode_chunk(encode, texts[i : i + chunk_size], attempts, wait_seconds, calls))
             for i in range(0, len(texts), chunk_size)
         ]
         yield pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(pa.float64()))
@@ -114,9 +152,12 @@ def embed(
     open_encoder: Callable[[], Encoder] = HashingEncoder,
     chunk_size: int = CHUNK_SIZE,
     attempts: int = 3,
+    calls: Calls | None = None,
 ) -> Column:
+    """Vectors of a text column. `calls` is told the size and the time of each encoder call."""
+
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def embedding(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from embed_batches(batches, open_encoder, chunk_size, attempts)
+        yield from embed_batches(batches, open_encoder, chunk_size, attempts, calls=calls)
 
     return embedding(text)

@@ -83,9 +83,10 @@ def enriched(
     log_rows: DataFrame,
     open_encoder=embedding.HashingEncoder,
     chunk_size: int = embedding.CHUNK_SIZE,
+    calls: embedding.Calls | None = None,
 ) -> DataFrame:
     """Logs with the vector of their cleaned text, in the column order of the table."""
-    vector = embedding.embed(F.col("log_raw"), open_encoder, chunk_size)
+    vector = embedding.embed(F.col("log_raw"), open_encoder, chunk_size, calls=calls)
     return log_rows.withColumn("embedding_vector", vector).select(*ENRICHED_LOGS)
 
 

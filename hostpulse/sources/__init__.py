@@ -16,5 +16,5 @@ def stream_envelopes(spark: SparkSession, config: Config, stream: StreamName) ->
     """The streaming envelopes of the configured source. What follows does not depend on it."""
     if config.mode == "files":
         limits = config.limits(stream)
-        return stream_files(spark, config.base_path, limits.max_files, limits.max_bytes)
+        return stream_files(spark, config.base_path, limits.max_files, limits.max_bytes, config.file_options)
     return stream_kafka(spark, config, stream)

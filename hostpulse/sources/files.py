@@ -18,10 +18,14 @@ def normalise_files(rows: DataFrame) -> DataFrame:
 
 
 def stream_files(
-    spark: SparkSession, path: str, max_files: int | None = 10, max_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = 10,
+    max_bytes: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """New files of a folder. The given schema spares an inference pass; `_*` paths are not read."""
-    reader = spark.readStream.schema(ENVELOPE)
+    reader = spark.readStream.schema(ENVELOPE).options(**(options or {}))
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     elif max_files is not None:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..config import Config
-from ..functions.embedding import HashingEncoder
+from ..functions.embedding import Calls, HashingEncoder
 from ..operators import route, summaries
 from ..sources import stream_envelopes
 from . import closed
@@ -46,10 +46,12 @@ class Sink:
         return writer.toTable(self.table) if self.table else writer.start(self.path)
 
 
-def logs_frame(spark: SparkSession, config: Config, open_encoder=HashingEncoder) -> DataFrame:
+def logs_frame(
+    spark: SparkSession, config: Config, open_encoder=HashingEncoder, calls: Calls | None = None
+) -> DataFrame:
     envelopes = stream_envelopes(spark, config, "logs")
     rows = route.logs(envelopes, config.clean, config.zone, audit="logs_input")
-    return route.enriched(rows, open_encoder)
+    return route.enriched(rows, open_encoder, calls=calls)
 
 
 def metrics_frame(spark: SparkSession, config: Config) -> DataFrame:
@@ -138,15 +140,16 @@ def start_logs(
     sink: Sink,
     trigger: dict = LOGS_TRIGGER,
     open_encoder=HashingEncoder,
+    calls: Calls | None = None,
 ) -> StreamingQuery:
-    rows = logs_frame(spark, config, open_encoder)
-    return start(rows, sink, config.checkpoint("logs"), trigger)
+    rows = logs_frame(spark, config, open_encoder, calls)
+    return start(rows, sink, config.checkpoint("logs"), trigger, "logs")
 
 
 def start_metrics(
     spark: SparkSession, config: Config, sink: Sink, trigger: dict = DRAIN
 ) -> StreamingQuery:
-    return start(metrics_frame(spark, config), sink, config.checkpoint("metrics"), trigger)
+    return start(metrics_frame(spark, config), sink, config.checkpoint("metrics"), trigger, "metrics")
 
 
 def start_metric_windows(
@@ -159,13 +162,13 @@ def start_metric_windows(
     if config.windows == "parts":
         rows = route.metric_samples(stream_envelopes(spark, config, "metrics"))
         sink = parts_sink(summaries.metric_parts, sink, summaries.added_metric_parts, config.merge_every)
-        return start(rows, sink, config.checkpoint("metrics_5s_parts"), trigger)
+        return start(rows, sink, config.checkpoint("metrics_5s_parts"), trigger, "metrics-5s")
     if late is not None:
         rows = route.metric_samples(stream_envelopes(spark, config, "metrics"), "broker_time")
         write = closed.closing_metrics(_folder(sink), late, config.window_delay, config.clock_ahead)
-        return start(rows, Sink(batch=write), config.checkpoint("metrics_5s_closed"), trigger)
+        return start(rows, Sink(batch=write), config.checkpoint("metrics_5s_closed"), trigger, "metrics-5s")
     rows = metric_windows_frame(spark, config)
-    return start(rows, sink, config.checkpoint("metrics_5s"), trigger)
+    return start(rows, sink, config.checkpoint("metrics_5s"), trigger, "metrics-5s")
 
 
 def start_log_windows(
@@ -175,13 +178,13 @@ def start_log_windows(
     if config.windows == "parts":
         rows = route.log_samples(stream_envelopes(spark, config, "logs"))
         sink = parts_sink(summaries.log_parts, sink, summaries.added_log_parts, config.merge_every)
-        return start(rows, sink, config.checkpoint("logs_5s_parts"), trigger)
+        return start(rows, sink, config.checkpoint("logs_5s_parts"), trigger, "logs-5s")
     if late is not None:
         rows = route.log_samples(stream_envelopes(spark, config, "logs"), "broker_time")
         write = closed.closing_logs(_folder(sink), late, config.window_delay, config.clock_ahead)
-        return start(rows, Sink(batch=write), config.checkpoint("logs_5s_closed"), trigger)
+        return start(rows, Sink(batch=write), config.checkpoint("logs_5s_closed"), trigger, "logs-5s")
     rows = log_windows_frame(spark, config)
-    return start(rows, sink, config.checkpoint("logs_5s"), trigger)
+    return start(rows, sink, config.checkpoint("logs_5s"), trigger, "logs-5s")
 
 
 def wait(query: StreamingQuery, seconds: float | None = 10) -> bool:

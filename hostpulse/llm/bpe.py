@@ -20,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import islice
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -113,26 +114,31 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         _trim(self.known_pieces)
-        ids, made, new = self.known_pieces, [], set()
+        ids, special = self.known_pieces, self.v.special
+        # Most words are one piece, or one and a mark; they are kept in plain lists, as an object for each would cost more than the rest.
+        whole, whole_pieces, marked, heads, marks, others = [], [], [], [], [], []
         for word in words:
-            if word in self.v.special:
-                self.known[word] = np.array([self.v.special[word]], "<u4").tobytes()
+            if word in special:
+                self.known[word] = np.array([special[word]], "<u4").tobytes()
                 continue
-            plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
             # The library lowers letter by letter, without the special form of a final sigma.
-            plain = plain.lower()
+            plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
             if plain.isalpha():  # all letters, so the pattern takes it whole
-                found = [plain]
+                whole.append(word)
+                whole_pieces.append(plain)
             elif plain[-1] in ".,!" and plain[:-1].isalpha():
-                found = [plain[:-1], plain[-1]]
+                marked.append(word)
+                heads.append(plain[:-1])
+                marks.append(plain[-1])
             else:
-                found = self.pieces.findall(plain)
-            made.append((word, found))
-            new.update([piece for piece in found if piece not in ids])
+                others.append((word, self.pieces.findall(plain)))
+        new = set(whole_pieces).union(heads, marks, *(found for _, found in others)).difference(ids)
         order = list(new)
         ids.update(zip(order, self.merge([piece.encode() for piece in order])))
-        for word, found in made:
-            self.known[word] = ids[found[0]] if len(found) == 1 else b"".join([ids[piece] for piece in found])
+        of = ids.__getitem__
+        self.known.update(zip(whole, map(of, whole_pieces)))
+        self.known.update(zip(marked, map(add, map(of, heads), map(of, marks))))
+        self.known.update((word, b"".join(map(of, found))) for word, found in others)
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word, all words together in rounds."""

@@ -1,13 +1,15 @@
 """Quality rules: a linear-chain conditional random field marks each line as content or boilerplate.
 
-Lines are described by yes-or-no features of their words and letters. The field's weights are trained by maximum
-likelihood, with the lines of a document of good quality as content and those of a bad one as boilerplate; the
-noise in these labels is what makes a clean line in a bad document content all the same. Viterbi decoding finds the
-likeliest sequence of marks of the whole document. A document is kept if it passes the base rules and at least
-`CONTENT_SHARE` of its words stand on content lines.
+Lines are described by yes-or-no features of their words and letters. A label says of a whole document whether it is good, so
+it fixes no line's mark, only on which side of `CONTENT_SHARE` the words on content lines lie. The field is trained in turns: maximum
+likelihood for given marks, then Viterbi marks under that constraint. So that the field learns what a change of marks
+looks like, half of what it sees are planted sequences: a bad document put between two parts of a good one, and the reverse.
+Viterbi decoding finds the likeliest sequence of marks of the whole document. A document is kept if it passes the base rules and at
+least `CONTENT_SHARE` of its words stand on content lines.
 
 Null and empty texts have no words and so fail the base rules. Repeated rows give repeated results; columns
-besides the id and the text are ignored. Without labelled rows every line counts as content.
+besides the id and the text are ignored. Of labelled rows that share an id one is learnt from. Without labelled rows every line
+counts as content.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ from hostpulse.llm import common
 
 #: Most labelled documents that the field is fitted on: those with the smallest hash of the id.
 TRAINING_DOCUMENTS = 2000
+#: Most lines that the field learns from in each of them: a run of lines at a place that the id decides.
+TRAINING_LINES = 256
+#: Turns of finding weights for marks and marks for weights.
+TURNS = 2
 CONTENT_SHARE = 0.5
 WINDOW = 8
 MIN_WORDS = 20
@@ -183,12 +189,12 @@ class Field:
     def __init__(self, emission: np.ndarray, transition: np.ndarray):
         self.emission, self.transition = emission, transition  # (features, 2), (2, 2)
 
-    def viterbi(self, features: np.ndarray) -> list[int]:
-        """The likeliest marks of one sequence; content where both are equally likely."""
+    def viterbi(self, features: np.ndarray, lean: float = 0.0) -> list[int]:
+        """The likeliest marks of one sequence; content where both are equally likely. `lean` is added for content on each line."""
         if not len(features):
             return []
         (t00, t01), (t10, t11) = self.transition.tolist()
-        scores = (features @ self.emission).tolist()
+        scores = (features @ self.emission + [0.0, lean]).tolist()
         a, b = scores[0]
         back = []
         for x, y in scores[1:]:
@@ -203,8 +209,8 @@ class Field:
         return marks[::-1]
 
 
-def fit(sequences: list[np.ndarray], marks: list[int], rounds: int = 150, decay: float = 1e-3) -> Field:
-    """Maximum likelihood with a small penalty, by Adam; every line of a sequence carries the sequence's mark.
+def fit(sequences: list[np.ndarray], marks: list, rounds: int = 150, decay: float = 1e-3) -> Field:
+    """Maximum likelihood with a small penalty, by Adam. Marks are one for each line, or one for all lines of a sequence.
 
     All sequences advance together, one line at a time, the longest first.
     """
@@ -212,16 +218,17 @@ def fit(sequences: list[np.ndarray], marks: list[int], rounds: int = 150, decay:
     emission, transition = np.zeros((width, 2)), np.zeros((2, 2))
     order = sorted(range(len(sequences)), key=lambda k: -len(sequences[k]))
     lengths = np.array([len(sequences[k]) for k in order])
-    gold = np.array([marks[k] for k in order])
+    gold = [np.broadcast_to(np.asarray(marks[k], np.int64), len(sequences[k])) for k in order]
     active = [int((lengths > t).sum()) for t in range(lengths[0])]
     steps = [np.stack([sequences[k][t] for k in order[:n]]).astype(float) for t, n in enumerate(active)]
     total = lengths.sum()
     seen_emission, seen_transition = np.zeros_like(emission), np.zeros_like(transition)
     for t, n in enumerate(active):
+        now = np.array([line[t] for line in gold[:n]])
         for mark in (0, 1):
-            seen_emission[:, mark] += steps[t][gold[:n] == mark].sum(axis=0)
-            if t:
-                seen_transition[mark, mark] += (gold[:n] == mark).sum()
+            seen_emission[:, mark] += steps[t][now == mark].sum(axis=0)
+        if t:
+            np.add.at(seen_transition, ([line[t - 1] for line in gold[:n]], now), 1)
     moments = [np.zeros(width * 2 + 4), np.zeros(width * 2 + 4)]
     for turn in range(1, rounds + 1):
         scores = [step @ emission for step in steps]
@@ -254,6 +261,41 @@ def fit(sequences: list[np.ndarray], marks: list[int], rounds: int = 150, decay:
     return Field(emission, transition)
 
 
+def constrained(field: Field, features: np.ndarray, words: np.ndarray, good: int) -> np.ndarray:
+    """The likeliest marks that agree with the label: at least `CONTENT_SHARE` of the words on content lines if good, else less."""
+    lean = 0.0
+    while True:
+        marks = np.array(field.viterbi(features, lean), np.int64)
+        if ((marks @ words >= CONTENT_SHARE * words.sum()) == bool(good)) or abs(lean) > 64:
+            return marks
+        lean = (2 * abs(lean) or 0.5) * (1 if good else -1)
+
+
+def planted(sequences: list[np.ndarray], marks: list[np.ndarray], labels: list[int]) -> tuple[list, list]:
+    """Each sequence of the rarer label between two parts of one of the other label, and the reverse, with their marks."""
+    kinds = [[k for k, label in enumerate(labels) if label == kind] for kind in (0, 1)]
+    few, many = sorted(kinds, key=len)
+    rng = np.random.default_rng(len(labels))
+    found, given = [], []
+    for inner, outer in zip(few, rng.permutation(many)):
+        for x, y in ((inner, outer), (outer, inner)):
+            at = int(rng.integers(0, len(sequences[y]) + 1))
+            for out, parts in ((found, sequences), (given, marks)):
+                out.append(np.concatenate([parts[y][:at], parts[x], parts[y][at:]]))
+    return found, given
+
+
+def learn(sequences: list[np.ndarray], words: list[np.ndarray], labels: list[int], turns: int = TURNS) -> Field:
+    """A field from the lines' features, their numbers of words and the documents' labels. Marks start as the labels."""
+    marks = [np.full(len(rows), label, np.int64) for rows, label in zip(sequences, labels)]
+    for turn in range(turns):
+        more, given = planted(sequences, marks, labels)
+        field = fit([*sequences, *more], [*marks, *given])
+        if turn + 1 < turns:
+            marks = [constrained(field, *row) for row in zip(sequences, words, labels)]
+    return field
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -261,8 +303,9 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
     limit: int = TRAINING_DOCUMENTS,
+    lines: int = TRAINING_LINES,
 ) -> Field:
-    """A field fitted on at most `limit` labelled documents. Only line features reach the driver, never texts."""
+    """A field fitted on at most `limit` labelled documents, at most `lines` lines of each. No text reaches the driver."""
     chosen = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(id_col)
@@ -274,17 +317,28 @@ def train(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch, text_col):
-                lines = Lines(common.bytes_of(part, text_col))
-                stops = np.searchsorted(lines.line_text, np.arange(lines.n_texts + 1))
-                rows = [np.packbits(lines.features[a:b], axis=1).tobytes() for a, b in zip(stops, stops[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("mark"), pa.array(rows, pa.binary())], ["mark", "rows"])
-
-    # At most `limit` ids: a bounded broadcast.
+                found = Lines(common.bytes_of(part, text_col))
+                stops = np.searchsorted(found.line_text, np.arange(found.n_texts + 1)).tolist()
+                rows, words = [], []
+                for a, b, place in zip(stops, stops[1:], part.column("place").to_pylist()):
+                    a += place % max(1, b - a - lines + 1)
+                    b = min(b, a + lines)
+                    rows.append(np.packbits(found.features[a:b], axis=1).tobytes())
+                    words.append(found.line_words[a:b].astype(np.int32).tobytes())
+                columns = [part.column("key"), part.column("mark"), pa.array(rows, pa.binary()), pa.array(words, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "mark", "rows", "words"])
+
+    # At most `limit` ids: a bounded broadcast. Of rows that share an id the one with the smallest features stays.
+    key = F.col(id_col).cast("string")
     found = (
         docs.select(id_col, text_col)
         .join(F.broadcast(chosen), id_col)
-        .select("mark", text_col)
-        .mapInArrow(run, "mark int, rows binary")
+        .select(key.alias("key"), "mark", (F.xxhash64(key).bitwiseAND((1 << 62) - 1)).alias("place"), text_col)
+        .mapInArrow(run, "key string, mark int, rows binary, words binary")
+        .groupBy("key")
+        .agg(F.min(F.struct("rows", "words", "mark")).alias("one"))
+        .select("one.*")
+        .orderBy("rows", "words", "mark")
         .collect()
     )
     width = len(FEATURES)
@@ -294,13 +348,15 @@ def train(
     ]
     if not sequences:
         return Field(np.zeros((width, 2)), np.zeros((2, 2)))
-    return fit(sequences, [row.mark for row in found])
+    return learn(sequences, [np.frombuffer(row.words, np.int32) for row in found], [row.mark for row in found])
 
 
 def assess(
     docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The id (and the columns in `keep`) of each row with the base counts, the content share and the verdict."""
+    """The id (and the columns in `keep`) of each row with the base counts, the words on content lines, the lines with a word by
+    their mark, and the verdict.
+    """
     names = list(dict.fromkeys([id_col, *keep]))
     taken = docs.select(*dict.fromkeys([*names, text_col]))
     kinds = {f.name: f.dataType.simpleString() for f in taken.schema.fields}
@@ -311,6 +367,8 @@ def assess(
         "n_dup_lines": "long",
         "n_repeat_words": "long",
         "content_words": "long",
+        "content_lines": "long",
+        "boilerplate_lines": "long",
         "base_failed": "boolean",
         "kept": "boolean",
     }
@@ -320,13 +378,17 @@ def assess(
             for part in common.slices(batch, text_col):
                 lines = Lines(common.bytes_of(part, text_col))
                 stops = np.searchsorted(lines.line_text, np.arange(lines.n_texts + 1)).tolist()
-                content = [
-                    int(lines.line_words[a:b] @ np.array(field.viterbi(lines.features[a:b]), np.int64))
-                    for a, b in zip(stops, stops[1:])
-                ]
-                content, failed = np.array(content, np.int64), lines.failed()
+                content, marked = np.zeros(lines.n_texts, np.int64), np.zeros((2, lines.n_texts), np.int64)
+                for k, (a, b) in enumerate(zip(stops, stops[1:])):
+                    marks, counts = np.array(field.viterbi(lines.features[a:b]), np.int64), lines.line_words[a:b]
+                    content[k] = counts @ marks
+                    # Lines without a word carry no share; they are counted with neither.
+                    marked[1, k] = np.count_nonzero(marks & (counts > 0))
+                    marked[0, k] = np.count_nonzero(counts) - marked[1, k]
+                failed = lines.failed()
                 kept = ~failed & (content >= CONTENT_SHARE * lines.words)
                 numbers = [lines.words, lines.chars, lines.symbols, lines.duplicates, lines.repeated, content]
+                numbers += [marked[1], marked[0]]
                 columns = [part.column(name) for name in names]
                 columns += [pa.array(n, pa.int64()) for n in numbers] + [pa.array(failed), pa.array(kept)]
                 yield pa.RecordBatch.from_arrays(columns, [*names, *added])

@@ -206,6 +206,53 @@ def test_viterbi_and_training():
     assert field.viterbi(good) == [1] * 4 and field.viterbi(bad) == [0] * 4
 
 
+def test_marks_change_within_planted_texts(spark):
+    """Learnt from two thirds of the ids: verdicts and marks of other documents, also where half the lines come from a bad one."""
+    folder = "/root/testdata/sf0.01"
+    docs, known = common.documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = common.remainder("doc_id", 3) == 1
+    field = quality.train(docs, known.where(~held_out))
+    rows = quality.assess(docs, field, keep=("text",)).join(known.where(held_out), "doc_id").where("not base_failed").collect()
+    assert np.mean([r.kept == (r.quality == 1) for r in rows]) > 0.95
+    halves = [
+        [line.encode() for text in texts for line in text.split("\n") if len(line.split()) > 9][:60]
+        for texts in ([r.text for r in rows if r.quality == kind] for kind in (1, 0))
+    ]
+    size = min(map(len, halves)) // 4 * 4
+    assert size >= 12
+    right, both = [], []
+    for at in range(0, size, 4):
+        good, bad = halves[0][at : at + 4], halves[1][at : at + 4]
+        for text, want in ((good + bad, [1] * 4 + [0] * 4), (bad + good, [0] * 4 + [1] * 4)):
+            marks = field.viterbi(quality.Lines([b"\n".join(text)]).features)
+            right.append(np.mean(np.array(marks) == want))
+            both.append(len(set(marks)) == 2)
+    assert np.mean(right) > 0.85 and np.mean(both) > 0.8
+
+
+def test_marks_agree_with_the_label():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        field = quality.Field(rng.normal(size=(4, 2)), rng.normal(size=(2, 2)))
+        lines, sizes = rng.integers(0, 2, (rng.integers(1, 9), 4)), rng.integers(1, 20, 9)
+        sizes = sizes[: len(lines)]
+        for good in (0, 1):
+            marks = quality.constrained(field, lines, sizes, good)
+            assert (marks @ sizes >= quality.CONTENT_SHARE * sizes.sum()) == bool(good)
+    empty = np.zeros(3, np.int64)
+    assert len(quality.constrained(field, lines[:3], empty, 0)) == min(3, len(lines))  # no words, no share: it ends
+
+
+def test_training_takes_one_row_of_an_id_and_a_bounded_run_of_lines(spark):
+    good = "\n".join(f"this is line {k} of a good text." for k in range(40))
+    docs = table(spark, [good] * 5 + ["# $ %"] * 2, [1] * 5 + [2, 2])
+    known = labels(spark, [1, 2])
+    field = quality.train(docs, known, lines=8)
+    once = quality.train(table(spark, [good, "# $ %"], [1, 2]), known, lines=8)
+    assert np.array_equal(field.emission, once.emission) and np.array_equal(field.transition, once.transition)
+    assert field.viterbi(quality.Lines([good.encode()]).features) == [1] * 40
+
+
 def test_quality_and_toxicity_learn(spark):
     folder = "/root/testdata/sf0.01"
     known = spark.read.parquet(f"{folder}/labels.parquet")

@@ -4,8 +4,9 @@ The terms of a text are its runs of three words (all words as one run if there a
 it occurs. A term's hash votes with its sign in each of the `BITS` places; the fingerprint holds the majority, 0
 where votes are even. Texts without a word have the fingerprint of no votes, all zeros.
 
-`near` finds all fingerprints within a Hamming radius by permuted block tables. `beside` pairs each document with the one
-that follows it in the order of ids, without a window over the whole table: ids are dealt into ranges, and the first
+Permuted block tables find all fingerprints within a Hamming radius: `classes` gives every document its class of documents
+that are connected by near fingerprints, `near` all pairs of a small set. `beside` pairs each document with the one that follows it in
+the order of ids, without a window over the whole table: ids are dealt into ranges, one to a task, and the first
 document of each range is sent to the range before it as well. Null texts count as empty; null ids come first; repeated
 rows follow each other. Other columns are ignored, and an empty table gives an empty result.
 """
@@ -21,12 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hostpulse.llm import common
+from hostpulse.llm import common, links
 
 BITS = 128
 RUN = 3
-#: Radius of the search: fingerprints that differ in at most so many bits.
-RADIUS = 6
+#: Likeness from which on two fingerprints are near, and the number of differing bits that stands for it.
+LIKENESS = 0.985
+RADIUS = int(BITS * np.arccos(LIKENESS) / np.pi)
+#: Further pivots that the search compares large buckets with.
+ROUNDS = 3
 CACHED_WORDS = 300_000
 
 
@@ -97,20 +101,19 @@ def beside(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     part = _range_of(F.col("id"), bounds)
     placed = rows.withColumn("part", part)
     # One row for each range: its smallest row, as (is the id known, id).
-    order = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).alias("id"))
-    firsts = sorted((r.part, r.low.known, r.low.id) for r in placed.groupBy("part").agg(F.min(order).alias("low")).collect())
-    before = {firsts[k][0]: firsts[k - 1][0] for k in range(len(firsts))}  # the first range comes after the last one
-    lows = {p: (known, low) for p, known, low in firsts}
-    pairs = F.create_map(*[F.lit(x) for p, b in before.items() for x in (p, b)]) if before else F.create_map(F.lit(0), F.lit(0))
-    low = F.create_map(*[F.lit(x) for p, (_, v) in lows.items() for x in (p, v)]) if lows else F.create_map(F.lit(0), F.lit(0))
-    known = F.create_map(*[F.lit(x) for p, (k, _) in lows.items() for x in (p, k)]) if lows else F.create_map(F.lit(0), F.lit(True))
-    opens = (F.col("id").isNotNull() == known[F.col("part")]) & (F.coalesce("id", F.lit(0)) == low[F.col("part")])
+    order = F.struct(F.col("id").isNotNull().alias("known"), F.coalesce("id", F.lit(0)).alias("low"))
+    firsts = sorted((r.part, r.least.known, r.least.low) for r in placed.groupBy("part").agg(F.min(order).alias("least")).collect())
+    # The first range comes after the last one. At most one row for each task of the shuffle: a bounded broadcast.
+    heads = [(*first, firsts[k - 1][0]) for k, first in enumerate(firsts)]
+    heads = spark.createDataFrame(heads, "part int, known boolean, low long, before int")
+    opens = (F.col("id").isNotNull() == F.col("known")) & (F.coalesce("id", F.lit(0)) == F.col("low"))
     own = F.struct(F.col("part").alias("to"), F.lit(False).alias("extra"))
-    guest = F.struct(pairs[F.col("part")].alias("to"), F.lit(True).alias("extra"))
-    sent = placed.select(
+    guest = F.struct(F.col("before").alias("to"), F.lit(True).alias("extra"))
+    sent = placed.join(F.broadcast(heads), "part").select(
         "id", "text", F.explode(F.when(opens, F.array(own, guest)).otherwise(F.array(own))).alias("copy")
     ).select("id", "text", "copy.to", "copy.extra")
-    ordered = sent.repartition(parts, "to").sortWithinPartitions("to", "extra", F.col("id").asc_nulls_first(), "text")
+    # Range k goes to task k: dealt by hash, some tasks would get several ranges and others none.
+    ordered = sent.repartitionById(parts, "to").sortWithinPartitions("to", "extra", F.col("id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last own row: (id, text, range)
@@ -133,17 +136,16 @@ def beside(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _range_of(number, bounds: list[int]):
-    """The number of bounds that are at most the value, found by halving; null lies below all."""
+    """The number of bounds that are at most the value, found by halving in one constant array; null lies below all."""
     if not bounds:
         return F.lit(0)
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))))
 
-    def halve(low: int, high: int):
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(number >= bounds[middle], halve(middle + 1, high)).otherwise(halve(low, middle))
+    def advance(found, step):
+        return F.when(F.get(table, found + step - 1) <= number, found + step).otherwise(found)
 
-    return halve(0, len(bounds))
+    return F.aggregate(steps, F.lit(0), advance)
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,36 +191,81 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return beside(docs, id_col, text_col).mapInArrow(run, schema)
 
 
-def near(prints: DataFrame, radius: int = RADIUS, id_col: str = "doc_id") -> DataFrame:
-    """All pairs of distinct fingerprints that differ in at most `radius` bits: `a`, `b` (a < b) and `distance`.
+def _entries(prints: DataFrame, radius: int) -> DataFrame:
+    """The distinct fingerprints as `node`, halves `high`, `low` and `keys`, one for each block table.
 
-    The bits are cut into `radius` + 2 blocks. Two near fingerprints agree in at least two blocks, so each table holds the
-    fingerprints with one pair of blocks permuted to the front, and those that share the front are compared. A pair
-    is reported by the first table that finds it. Documents with equal fingerprints are one entry; join the result
-    with the fingerprints to get at the documents.
+    The bits are cut into `radius` + 2 blocks. Two near fingerprints agree in at least two blocks, so each table has one pair
+    of blocks permuted to the front and holds together what shares that front. Keys are hashes of table and front.
     """
     blocks = radius + 2
     edges = [BITS * k // blocks for k in range(blocks + 1)]
-    prints = prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct()
-    binary = F.concat(*[F.lpad(F.conv(F.substring("fingerprint", 1 + 8 * k, 8), 16, 2), 32, "0") for k in range(BITS // 32)])
-    cut = [F.substring("bits", a + 1, b - a) for a, b in zip(edges, edges[1:])]
     tables = list(combinations(range(blocks), 2))
-    fronts = F.array(*[F.concat(F.lit(f"{i}:{j}:"), cut[i], cut[j]) for i, j in tables])
-    entries = prints.withColumn("bits", binary).select("fingerprint", F.posexplode(fronts).alias("table", "front"))
-    left = entries.select(F.col("fingerprint").alias("a"), "front")
-    right = entries.select(F.col("fingerprint").alias("b"), "front")
-    distance = sum(
-        F.bit_count(
-            F.conv(F.substring("a", 1 + 8 * k, 8), 16, 10).cast("long").bitwiseXOR(
-                F.conv(F.substring("b", 1 + 8 * k, 8), 16, 10).cast("long")
-            )
-        )
-        for k in range(BITS // 32)
-    )
-    return (
-        left.join(right, (left.front == right.front) & (F.col("a") < F.col("b")))
-        .withColumn("distance", distance)
-        .where(F.col("distance") <= radius)
-        .select("a", "b", "distance")
-        .distinct()
+    if blocks > BITS:
+        raise ValueError(f"a radius of {radius} leaves blocks without bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = np.frombuffer(bytes.fromhex("".join(batch.column("fingerprint").to_pylist())), np.uint8).reshape(-1, BITS // 8)
+            bits, fronts = np.unpackbits(data, axis=1), []
+            for a, b in zip(edges, edges[1:]):
+                wide = np.zeros((len(data), 64), np.uint8)
+                wide[:, 64 - (b - a) :] = bits[:, a:b]
+                fronts.append(np.packbits(wide, axis=1).view(">u8")[:, 0].astype(np.uint64))
+            keys = np.empty((len(data), len(tables)), np.int64)
+            for number, (i, j) in enumerate(tables):
+                keys[:, number] = common.mixed(common.mixed(fronts[i] + np.uint64(number << 56)) + fronts[j]).view(np.int64)
+            ends = pa.array(np.arange(len(data) + 1) * len(tables), pa.int32())
+            halves = data.view(">i8").astype(np.int64)
+            columns = [batch.column("fingerprint"), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+            columns.append(pa.ListArray.from_arrays(ends, pa.array(keys.ravel())))
+            yield pa.RecordBatch.from_arrays(columns, ["fingerprint", "high", "low", "keys"])
+
+    known = prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct()
+    entries = known.mapInArrow(run, "fingerprint string, high long, low long, keys array<long>")
+    return entries.withColumn("node", F.monotonically_increasing_id())
+
+
+def _distance(x, y):
+    return sum(F.bit_count(x[half].bitwiseXOR(y[half])) for half in ("high", "low"))
+
+
+def classes(prints: DataFrame, radius: int = RADIUS, id_col: str = "doc_id") -> DataFrame:
+    """The rows of `prints` with `near_class`: the smallest id that a chain of fingerprints, each within `radius` bits of the next, leads to.
+
+    Rows without a fingerprint have no class; rows without an id count as members but name no class. Equal fingerprints are one
+    entry of the tables, and members of a bucket that are connected already are never compared, so that large groups of
+    near copies don't cost all their pairs. No link is lost. A column named `near_class` gives way.
+    """
+    prints = prints.drop("near_class")
+    entries = common.stored(_entries(prints, radius), "fingerprints")  # fixes the numbers
+    halves = entries.select("node", F.struct("high", "low").alias("about"))
+
+    parts = links.linked(
+        entries.select(F.explode("keys").alias("key"), "node", F.lit(0).cast("long").alias("info")),
+        lambda info: info,
+        lambda x, y: F.lit(True),
+        lambda active: halves,
+        lambda x, y: _distance(x, y) <= radius,
+        lambda pairs: pairs,  # the comparison of the whole fingerprints has been exact
+        rounds=ROUNDS,
+        hot=True,
     )
+    parts = entries.select("fingerprint", "node").join(parts, "node", "left")
+    parts = common.stored(parts.select("fingerprint", F.coalesce("component", "node").alias("part")), "classes")
+    # The smallest id of each fingerprint first, then of each class.
+    lowest = prints.groupBy("fingerprint").agg(F.min(id_col).alias("least")).join(parts, "fingerprint")
+    lowest = lowest.groupBy("part").agg(F.min("least").alias("near_class"))
+    named = parts.join(lowest, "part").select("fingerprint", "near_class")
+    return prints.join(named, "fingerprint", "left").select(*prints.columns, "near_class")
+
+
+def near(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """All pairs of distinct fingerprints that differ in at most `radius` bits: `a`, `b` (a < b) and `distance`.
+
+    Meant for sets whose groups are small, as a group of near copies gives all its pairs; `classes` is for any others.
+    """
+    entries = _entries(prints, radius).select("fingerprint", F.struct("high", "low").alias("about"), F.explode("keys").alias("key"))
+    left, right = (entries.toDF(name, f"{name}_about", "key") for name in "ab")
+    both = left.join(right, "key").where(F.col("a") < F.col("b"))
+    both = both.withColumn("distance", _distance(F.col("a_about"), F.col("b_about")))
+    return both.where(F.col("distance") <= radius).select("a", "b", "distance").distinct()

@@ -22,7 +22,7 @@ from hostpulse.llm import (
     toxicity,
     urls,
 )
-from hostpulse.llm.common import documents, remainder
+from hostpulse.llm.common import documents, remainder, stored
 
 #: The id that ends a document in packed sequences.
 END_ID = 2
@@ -94,8 +94,8 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text, and how near they are."""
-    return fingerprints.compare_with_next(documents(spark, folder))
+    """Fingerprints of every document and of its edited text, how near they are, and the class of documents with near fingerprints."""
+    return fingerprints.classes(stored(fingerprints.compare_with_next(documents(spark, folder)), "fingerprints"))
 
 
 def op10_urls(spark: SparkSession, folder: str) -> DataFrame:

@@ -564,6 +564,66 @@ def test_fingerprints(spark, docs):
     assert {tuple(r) for r in fingerprints.near(frame).collect()} == expected and expected
 
 
+def test_fingerprint_values_equal_votes_counted_one_by_one(spark, docs):
+    """The same hashes, but every bit of every term is voted on by itself."""
+    def spread(value):
+        return int(common.mixed(np.array([value % (1 << 64)], np.uint64))[0])
+
+    found = {r.doc_id: r.fingerprint for r in fingerprints.fingerprint(docs).collect()}
+    for number, text in list(enumerate(corpus()))[:12]:
+        codes = [xxhash.xxh3_64_intdigest(word) for word in text.encode().split()]
+        run, votes = min(3, len(codes)), [0] * 128
+        for k in range(len(codes) - run + 1 if run else 0):
+            term = 0
+            for j in range(run):
+                term = spread(term + codes[k + j] + j + 1)
+            if run < 2:
+                assert term == spread(codes[0] + 1)
+            for half in range(2):
+                word = spread(term + 0x9E3779B97F4A7C15 * (half + 1)).to_bytes(8, "little")
+                for place in range(64):
+                    votes[64 * half + place] += 1 if word[place // 8] >> (7 - place % 8) & 1 else -1
+        assert found[number] == f"{int(''.join(str(int(v > 0)) for v in votes), 2):032x}"
+
+
+@pytest.mark.parametrize("radius", [0, 3, 7])
+@pytest.mark.parametrize("least", [0, links.PAIRS_A_MEMBER])
+def test_classes_equal_brute_force(spark, monkeypatch, radius, least):
+    """Chains, stars, equal prints and outsiders; null ids and prints; a clashing column."""
+    monkeypatch.setattr(links, "PAIRS_A_MEMBER", least)
+    rng = random.Random(radius)
+    values = []
+    for _ in range(6):
+        value = rng.getrandbits(128)
+        for _ in range(12):
+            values += [value] * rng.choice([1, 1, 3])
+            value ^= sum(1 << b for b in rng.sample(range(128), rng.randint(1, 9)))
+        values += [value ^ 1 << b for b in rng.sample(range(128), 12)]
+    values += [0, (1 << 128) - 1]
+    rng.shuffle(values)
+    rows = [(k, f"{v:032x}", "x") for k, v in enumerate(values)] + [(None, f"{values[0]:032x}", "x"), (900, None, "x")]
+    label = list(range(len(values)))
+    for a in range(len(values)):
+        for b in range(a):
+            if (values[a] ^ values[b]).bit_count() <= radius and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = [low if v == high else v for v in label]
+    frame = spark.createDataFrame(rows, "doc_id long, fingerprint string, near_class string").repartition(3)
+    found = fingerprints.classes(frame, radius)
+    assert found.columns == ["doc_id", "fingerprint", "near_class"]
+    got = {(r.doc_id, r.near_class) for r in found.collect()}
+    assert got == {*enumerate(label), (None, label[0]), (900, None)} and found.count() == len(rows)
+    assert fingerprints.classes(frame.limit(0), radius).count() == 0
+
+
+@pytest.mark.parametrize("bounds", [[], [5], [-3, 0, 7], list(range(0, 4000, 3))])
+def test_ranges(spark, bounds):
+    numbers = [None, -9, *range(-4, 12), 3998, 5000]
+    rows = spark.createDataFrame([(n,) for n in numbers], "id long")
+    found = rows.select("id", fingerprints._range_of(F.col("id"), bounds).alias("part")).collect()
+    assert all(r.part == (0 if r.id is None else sum(b <= r.id for b in bounds)) for r in found)
+
+
 def test_short_lines_repeated_exactly_go(spark, tmp_path):
     """Equal short lines go from the query and the pipeline; those a letter apart, blank ones and ones that stand once stay."""
     notice = "Licensed under CC BY-NC 4.0."

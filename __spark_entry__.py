@@ -201,6 +201,18 @@ UNION ALL SELECT *, 'kernel' FROM records WHERE contains(event_message, 'kernel'
        CASE WHEN event_type = 'error' THEN 'log' ELSE 'metrics' END AS type,
        CASE WHEN event_type = 'error' THEN 'system-logs' ELSE 'system-metrics' END AS topic
 FROM events""",
+        "deliver_messages": r"""SELECT event_id,
+       CASE WHEN sent THEN CASE event_type WHEN 'click' THEN 'system-metrics' ELSE 'system-logs' END END AS topic,
+       CASE WHEN event_type NOT IN ('click', 'error') THEN 'no topic' WHEN NOT sent THEN 'too large' END AS reason
+FROM (
+  SELECT event_id, event_type, event_type IN ('click', 'error') AND size <= 200 AS sent
+  FROM (
+    SELECT event_id, event_type,
+           strlen('{"event_id":' || event_id || ',"props":"' || '"}')
+           + strlen(replace(props, '"', '\"')) * CASE WHEN user_id % 50 = 0 THEN 20 ELSE 1 END AS size
+    FROM events
+  )
+)""",
         "metrics_5s": f"WITH {_MESSAGES}, {_METRICS_WINDOWS} SELECT * FROM windows",
         "log_counts_5s": f"WITH {_MESSAGES}, {_LOG_WINDOWS} SELECT * FROM windows",
         "ingest_lag": f"""WITH {_MESSAGES}, lags AS (

@@ -5,6 +5,7 @@ import importlib
 import os
 import sys
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +63,7 @@ def parse(arguments: list[str] | None = None) -> tuple[argparse.Namespace, Confi
     parser.add_argument(
         "--run-name", default="run", help="change it for the database after deleting a checkpoint"
     )
+    parser.add_argument("--restarts", type=int, default=0, help="start a failed stream again, so often in ten minutes")
     parser.add_argument("--wait", type=float, help="seconds to run; default: until the streams end")
     given = parser.parse_args(arguments)
     config = replace(
@@ -140,18 +142,18 @@ def main(arguments: list[str] | None = None) -> None:
     latencies = Latencies({"logs": calls})
     if given.latency:
         spark.streams.addListener(latencies)
-    queries = []
+    starts = {}
     for name in given.streams:
         start, table = STREAMS[name]
         more = encoder_for(given) | {"calls": calls} if name == "logs" else {}
         if name.endswith("-5s") and given.late:
             more = {"late": f"{given.late}/{table}"}
-        queries.append(start(spark, config, sink_for(given, config, table, spark), **trigger_for(given), **more))
-    with streams.stopping(*queries):
-        try:
-            streams.wait_all(queries, given.wait)
-        except KeyboardInterrupt:
-            print("stopped", file=sys.stderr)
+        sink = sink_for(given, config, table, spark)
+        starts[name] = partial(start, spark, config, sink, **trigger_for(given), **more)
+    try:
+        streams.supervise(starts, given.restarts, seconds=given.wait)
+    except KeyboardInterrupt:
+        print("stopped", file=sys.stderr)
     if given.latency:
         for query, part, batches, _, median, late, longest in latencies.summary():
             print(f"{query} {part}: {batches} batches, median {median:.0f} ms, 99th percentile {late:.0f} ms, longest {longest:.0f} ms")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import embedding, payload, text, times
 from ..operators import collect, retrieve, route, summaries
-from ..schemas import LOG
+from ..schemas import LOG, METRICS
 from ..session import shared_dir
+from ..sinks import kafka
 from ..sinks.files import write_envelopes
 from ..sources import read_files
 from ..streaming import closed, parts, streams
@@ -151,6 +152,29 @@ def assign_topic(spark: SparkSession, folder: str) -> DataFrame:
     return collect.addressed(rows)
 
 
+def deliver_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events drained in two batches: clicks as metrics and errors as logs are sent, what has no topic is kept beside it."""
+    rows = _events(spark, folder).select(
+        "event_id",
+        F.when(F.col("event_type") == "click", METRICS).when(F.col("event_type") == "error", LOG)
+        .otherwise(F.col("event_type")).alias("type"),
+        F.to_json(F.struct("event_id", F.when(F.col("user_id") % 50 == 0, F.repeat("props", 20)).otherwise(F.col("props")).alias("props"))).alias("value"),
+    )
+    target = shared_dir(spark, "delivered")
+
+    def send(records: DataFrame) -> None:
+        records.write.mode("append").parquet(f"{target}/sent")
+
+    write = kafka.delivering(send, f"{target}/dead", most=200)
+    for batch in (0, 1):
+        write(rows.where(F.col("event_id") % 2 == batch), batch)
+    sent = spark.read.schema("topic string, value string").parquet(f"{target}/sent")
+    dead = spark.read.schema("event_id bigint, type string, value string, reason string").parquet(f"{target}/dead")
+    return sent.select(
+        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "topic", F.lit(None).cast("string").alias("reason")
+    ).unionByName(dead.select("event_id", F.lit(None).cast("string").alias("topic"), "reason"))
+
+
 def _zone_free_windows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("window_start", zoneless(F.col("window_start")))
 
@@ -323,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         filter_log_lines,
         route_categories,
         assign_topic,
+        deliver_messages,
         metrics_5s,
         log_counts_5s,
         ingest_lag,

@@ -216,6 +216,55 @@ def wait_all(queries: list[StreamingQuery], seconds: float | None = None) -> boo
         active[0].awaitTermination(min(1.0, max(0.1, end - time.monotonic())) if end is not None else 1.0)
 
 
+def supervise(
+    starts: dict[str, Callable[[], StreamingQuery]],
+    restarts: int = 3,
+    pause: float = 1.0,
+    forget: float = 600.0,
+    seconds: float | None = None,
+) -> bool:
+    """Runs all streams and starts one that fails again, from its checkpoint, while the others go on.
+
+    A stream that fails for the `restarts` + 1st time within `forget` seconds ends the run with its error. Before each new start it
+    rests for `pause` seconds, twice as long each time. True once all have ended by themselves, False after `seconds`; all are
+    stopped on the way out.
+    """
+    end = None if seconds is None else time.monotonic() + seconds
+    running: dict[str, StreamingQuery] = {}
+    due = {name: 0.0 for name in starts}  # names to start, and not before when
+    failed: dict[str, list[float]] = {name: [] for name in starts}
+
+    def failure(name: str, error: Exception) -> None:
+        now = time.monotonic()
+        failed[name] = [at for at in failed[name] if now - at < forget] + [now]
+        if len(failed[name]) > restarts:
+            raise error
+        due[name] = now + pause * 2 ** (len(failed[name]) - 1)
+        log.warning("stream %s failed (%s of %s restarts): %s", name, len(failed[name]), restarts, error)
+
+    try:
+        while running or due:
+            for name in [name for name, at in due.items() if at <= time.monotonic()]:
+                del due[name]
+                try:
+                    running[name] = starts[name]()
+                except Exception as error:  # a source that can't be reached fails here already
+                    failure(name, error)
+            for name, query in [*running.items()]:
+                if not query.isActive:
+                    del running[name]
+                    if (error := query.exception()) is not None:
+                        failure(name, error)
+            if end is not None and time.monotonic() >= end:
+                return not (running or due)
+            if running or due:
+                time.sleep(0.1)
+        return True
+    finally:
+        for query in running.values():
+            query.stop()
+
+
 @contextmanager
 def stopping(*queries: StreamingQuery) -> Iterator[None]:
     """Stops the queries on the way out, whatever happened inside."""

@@ -1,11 +1,12 @@
 """Parameters, option maps and names. No broker or database is reached."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from hostpulse.__main__ import parse, sink_for
 from hostpulse.config import Config, Secret, Target
 from hostpulse.sinks import jdbc
-from hostpulse.sinks.kafka import records, write_options
+from hostpulse.sinks.kafka import delivering, records, write_options
 from hostpulse.sources.kafka import connection_options, read_options
 from hostpulse.streaming import streams
 
@@ -66,6 +67,22 @@ def test_records_go_to_the_topic_of_their_type(spark):
     assert got == {("system-logs", "a"), ("system-metrics", "b")}
 
 
+def test_what_cannot_be_sent_is_kept(spark, tmp_path):
+    """Sent and dead rows are the input, also after a repeated batch."""
+    rows = [(1, "log", "a"), (2, "metrics", None), (3, "other", "c"), (4, None, "d"), (5, "log", "é" * 6), (6, "metrics", "f" * 10)]
+    frame = spark.createDataFrame(rows, "id int, type string, value string").withColumn("reason", F.lit("of the sender"))
+    sent = []
+    write = delivering(lambda records: sent.append({tuple(r) for r in records.collect()}), str(tmp_path / "dead"), most=10)
+    for batch in (0, 0, 1):
+        write(frame, batch)
+    assert sent == [{("system-logs", "a"), ("system-metrics", "f" * 10)}] * 3
+    dead = spark.read.parquet(str(tmp_path / "dead"))
+    expected = {(2, "no value"), (3, "no topic"), (4, "no topic"), (5, "too large")}
+    assert {(r.id, r.reason) for r in dead.collect()} == expected and dead.count() == 8
+    write(frame.limit(0), 2)
+    assert sent[-1] == set() and spark.read.parquet(str(tmp_path / "dead")).count() == 8
+
+
 def test_secret_is_not_printed(config):
     database = jdbc.Database("jdbc:x", password=Secret(lambda: SECRET))
     assert SECRET not in repr(config) + repr(database) + str(config.connection)

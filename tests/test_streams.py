@@ -235,6 +235,50 @@ def test_any_failed_stream_is_noticed(spark, tmp_path):
             streams.wait_all([steady, broken], 60)
 
 
+def test_a_failed_stream_starts_again_while_the_other_goes_on(spark, envelopes, config, tmp_path):
+    write_envelopes(envelopes, config.base_path)
+    config = replace(config, metrics=replace(config.metrics, max_files=1))
+    tries, started = [], []
+
+    def write(rows, batch):
+        tries.append(batch)
+        if len(tries) in (2, 3):
+            raise ConnectionError("no database")
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/m/batch_id={batch}")
+
+    def metrics():
+        return start_metrics(spark, config, Sink(batch=write))
+
+    def logs():
+        started.append(start_logs(spark, config, Sink(path=f"{tmp_path}/l")))  # goes on for ever
+        return started[-1]
+
+    with pytest.raises(StreamingQueryException, match="no database"):
+        streams.supervise({"metrics": metrics, "logs": logs}, restarts=1, pause=0.01, seconds=120)
+    assert len(started) == 1 and not started[0].isActive and tries == [0, 1, 1]
+    assert not streams.supervise({"metrics": metrics, "logs": logs}, restarts=1, pause=0.01, seconds=15)
+    assert tries == [0, 1, 1, *range(1, tries[-1] + 1)]  # resumed where it failed
+    static = read_files(spark, config.base_path)
+    assert bag(spark.read.parquet(f"{tmp_path}/m").drop("batch_id")) == bag(route.metrics(static))
+    assert spark.read.parquet(f"{tmp_path}/l").count() == route.logs(static).count()
+
+
+def test_a_stream_that_cannot_start_is_tried_again(spark, tmp_path):
+    tries = []
+
+    def start():
+        tries.append(1)
+        if len(tries) < 3:
+            raise ConnectionError("no broker")
+        rows = spark.readStream.format("rate").load().writeStream.format("noop")
+        return rows.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+
+    assert streams.supervise({"x": start}, restarts=2, pause=0.01, seconds=60)
+    tries.clear()
+    with pytest.raises(ConnectionError):
+        streams.supervise({"x": start}, restarts=1, pause=0.01, seconds=60)
+
+
 def _samples(spark, config, times):
     """Metrics messages as files: sample time in seconds, broker time equal to it unless given."""
     rows = spark.createDataFrame(times, "s double, cpu double, broker string")

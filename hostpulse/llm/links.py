@@ -19,6 +19,8 @@ from hostpulse.llm.common import release, stored
 
 #: Pairs for each member outside its bucket's largest component up to which further pivots are not worth a round.
 PAIRS_A_MEMBER = 4
+#: Members above which a bucket of several components is dealt into finer ones, where the caller has any.
+FULL = 256
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -62,6 +64,8 @@ def linked(
     verify: Callable[[DataFrame], DataFrame],
     rounds: int = 0,
     hot: bool = False,
+    barren: Callable[[Column], Column] | None = None,
+    split: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components of the items in the buckets.
 
@@ -73,6 +77,9 @@ def linked(
     component, before the rest is compared; only the work depends on it. Rounds end early where they no longer help.
     `hot` finds the first pivots by an aggregation that is joined back, so that a bucket of a third of all rows is split among tasks;
     otherwise a bucket is sorted in one task, which moves the members once instead of twice.
+    `barren` says of a pivot's info that no two members of its bucket can fit; such buckets go at once.
+    `split` gets the nodes of the buckets that still hold several components and more than `FULL` members, and returns members
+    of finer buckets: any two of the nodes that are linked share one of these. They replace the full buckets.
     """
     # One order for all buckets: items that share many buckets then meet the same few pivots in all of them.
     rank = (first(F.col("info")).alias("first"), F.xxhash64("node").alias("turn"), F.col("node"))
@@ -82,6 +89,8 @@ def linked(
     else:
         pivot = F.first(F.struct("node", "info")).over(Window.partitionBy("key").orderBy(*rank))
         stars = members.withColumn("p", pivot).where(F.col("p.node") != F.col("node"))
+    if barren is not None:
+        stars = stars.where(~barren(F.col("p.info")))
     stars = stored(stars.select("key", "node", "info", F.col("p.node").alias("p_node"), F.col("p.info").alias("p_info")), "stars")
     pivots = stars.select("key", F.col("p_node").alias("node"), F.col("p_info").alias("info"))
     everyone = stored(stars.select("key", "node", "info").union(pivots).distinct(), "members")
@@ -118,21 +127,31 @@ def linked(
         parts = components(found)
         placed, mixed = _placed(some.select("key", "node", "info"), parts)
         release(some)
-    mixed = mixed.select("key", "major")
-    # Written, so that the join below deals its rows out anew and a frequent bucket can be split among tasks.
-    rest = stored(placed.join(mixed, "key").join(about, "node"), "mixed-members")
+
+    def unlinked(placed: DataFrame, mixed: DataFrame) -> DataFrame:
+        """The pairs of different components: of each bucket those outside its largest component with all others."""
+        # Written, so that the join below deals its rows out anew and a frequent bucket can be split among tasks.
+        rest = stored(placed.join(mixed.select("key", "major"), "key").join(about, "node"), "mixed-members")
+        columns = ("node", "info", "part", "about")
+        x = rest.where("part <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in columns))
+        y = rest.select("key", "major", *(F.col(c).alias(f"y_{c}") for c in columns))
+        apart = (
+            (F.col("x_part") != F.col("y_part"))
+            & ((F.col("y_part") == F.col("major")) | (F.col("x_node") < F.col("y_node")))
+            & fits(F.col("x_info"), F.col("y_info"))
+            & close(F.col("x_about"), F.col("y_about"))
+        )
+        return _pairs(x.join(y, "key").where(apart))
+
+    full = mixed.where(F.col("total") > FULL)
+    if split is None or full.isEmpty():
+        left = unlinked(placed, mixed)
+    else:
+        nodes = stored(placed.join(full.select("key"), "key").select("node").distinct(), "full")
+        finer = _placed(split(nodes), parts)
+        left = unlinked(placed, mixed.where(F.col("total") <= FULL)).union(unlinked(*finer)).distinct()
     release(placed)
-    columns = ("node", "info", "part", "about")
-    x = rest.where("part <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in columns))
-    y = rest.select("key", "major", *(F.col(c).alias(f"y_{c}") for c in columns))
-    apart = (
-        (F.col("x_part") != F.col("y_part"))
-        & ((F.col("y_part") == F.col("major")) | (F.col("x_node") < F.col("y_node")))
-        & fits(F.col("x_info"), F.col("y_info"))
-        & close(F.col("x_about"), F.col("y_about"))
-    )
-    both = x.join(y, "key").where(apart)
-    more = stored(verify(stored(_pairs(both).join(tried, ["a", "b"], "left_anti"), "pairs")), "links")
+    more = stored(verify(stored(left.join(tried, ["a", "b"], "left_anti"), "pairs")), "links")
     if more.isEmpty():
         return parts
     return components(found.union(more))

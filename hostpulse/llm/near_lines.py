@@ -3,7 +3,9 @@
 Two lines within `EDITS` edits agree, unchanged and nearly in place, in at least one of `EDITS` + 1 segments of the shorter one. So each
 distinct line is indexed by its segments and probes, for each length that a partner may have, the substrings that can
 stand for a segment of that length. Candidates whose letter counts differ by more than the edits allow are
-dropped, and the rest is verified with banded bit-parallel edit distance. Lines that are linked, directly or through
+dropped, and the rest is verified with banded bit-parallel edit distance. Where more than `links.FULL` lines that are not
+connected share a segment, as those of a template do, they are compared only if they also share one of their rarest strings
+of `GRAM` letters, which all linked lines do; so lines that share nothing else don't cost all their pairs. Lines that are linked, directly or through
 others, form a component.
 
 A line is removed if an earlier one, in the order of id, text and line number, is in its component: exact repeats are components of their
@@ -17,6 +19,7 @@ besides the id and the text are kept by `dedup` and never looked at. An empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,9 @@ EDITS = 2
 LEAST = 30
 #: Classes of letters that are counted before verification.
 RANGES = 16
+#: Letters of the strings by which the lines of a full bucket are told apart, and the slots of their frequency table.
+GRAM = 4
+SLOTS = 1 << 16
 #: What stands between words, besides the line's end.
 BLANKS = " \t\x0b\f\r"
 
@@ -46,23 +52,49 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-def keys(line: str, edits: int) -> list[int]:
-    """Hashes of the line's own segments, then of the other substrings with which it probes lines no longer than itself."""
-    n, data = len(line), line.encode("utf-32-le", "surrogatepass")
-
-    def key(length: int, number: int, start: int, size: int) -> int:
-        return xxhash.xxh3_64_intdigest(data[4 * start : 4 * (start + size)], length * 31 + number) - (1 << 63)
-
-    own = [key(n, i, start, size) for i, (start, size) in enumerate(segments(n, edits))]
-    probes = set()
+@lru_cache(maxsize=4096)
+def _spots(n: int, edits: int) -> list[tuple[int, int, int]]:
+    """Number, beginning and end, in bytes, of what is hashed of a line of `n` letters: first its own segments."""
+    own = [(n * 31 + i, start, size) for i, (start, size) in enumerate(segments(n, edits))]
+    others = []
     for length in range(max(0, n - edits), n + 1):
         shift = n - length
         for i, (start, size) in enumerate(segments(length, edits)):
             # Of the edits, at most i lie before segment i and at most edits - i behind it, if it is the first that agrees.
             low = max(0, start - i, start + shift - (edits - i))
             high = min(n - size, start + i, start + shift + (edits - i))
-            probes.update(key(length, i, at, size) for at in range(low, high + 1))
-    return own + sorted(probes.difference(own))
+            others += [(length * 31 + i, at, size) for at in range(low, high + 1) if shift or at != start]
+    return [(number, 4 * at, 4 * (at + size)) for number, at, size in own + others]
+
+
+def keys(line: str, edits: int) -> list[int]:
+    """Hashes of the line's own segments, then of the other substrings with which it probes lines no longer than itself."""
+    data, digest = line.encode("utf-32-le", "surrogatepass"), xxhash.xxh3_64_intdigest
+    found = [digest(data[start:end], number) - (1 << 63) for number, start, end in _spots(len(line), edits)]
+    own = found[: edits + 1]
+    return own + sorted(set(found).difference(own))
+
+
+def grams(line: str) -> np.ndarray:
+    """Hashes of the line's strings of `GRAM` letters, repeats numbered, so that all are different."""
+    letters = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    count = max(0, len(letters) - GRAM + 1)
+    value = np.zeros(count, np.uint64)
+    for k in range(GRAM):
+        value = common.mixed(value + letters[k : k + count] + np.uint64(1))
+    value.sort()
+    starts = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if count else np.zeros(0, np.int64)
+    turn = np.arange(count) - np.repeat(starts, np.diff(np.r_[starts, count]))
+    return np.where(turn == 0, value, common.mixed(value + turn.astype(np.uint64)))
+
+
+def rarest(found: np.ndarray, times: np.ndarray, edits: int) -> np.ndarray:
+    """The `GRAM` * `edits` + 1 first grams by one order for all lines, rare slots first.
+
+    An edit changes at most `GRAM` grams, so two lines that are linked share one of these, if they have as many.
+    """
+    order = np.lexsort((found, times[found % np.uint64(SLOTS)]))
+    return found[order[: GRAM * edits + 1]]
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -92,23 +124,29 @@ def _banded(a: str, b: str, edits: int) -> bool:
 
     Rows are the letters of `a`, columns those of `b`. In column j (from 0), bit k stands for row j - edits + k. `rise` and
     `fall` hold the rows whose value is one more or one less than that of the row above. The distance is followed down the
-    band's lower edge until the last row, then along that row.
+    band's lower edge until the last row, then along that row. Of each letter only the rows of the band at its last place are
+    kept, with the band's first row there.
     """
     m, width = len(a), 2 * edits + 1
     full, lowest = (1 << width) - 1, 1 << (width - 1)
-    rows: dict[str, int] = {}
-    for row, letter in enumerate(a):
-        rows[letter] = rows.get(letter, 0) | 1 << row
+    rows: dict[str, tuple[int, int]] = {}
+    for row in range(min(m, edits)):
+        rows[a[row]] = (rows.get(a[row], (0, 0))[0] | 1 << (row + edits), -edits)
     rise, fall, distance = (full << edits) & full, 0, min(m, edits)
     for column, letter in enumerate(b):
-        base = column - edits
-        hit = rows.get(letter, 0)
-        hit = (hit >> base if base >= 0 else hit << -base) & full
+        base, row = column - edits, column + edits
+        if row < m:
+            mask, since = rows.get(a[row], (0, base))
+            rows[a[row]] = (mask >> min(base - since, width) | lowest, base)
+        mask, since = rows.get(letter, (0, base))
+        hit = mask >> min(base - since, width)
         same = ((((hit & rise) + rise) ^ rise) | hit | fall) & full  # no more than the cell one up and one left
         right_rise = fall | (full & ~(same | rise))
         right_fall = same & rise
         if column < m - edits:
             distance += not same & lowest
+            if distance > 3 * edits:  # it falls by at most 2 * `edits` along the last row
+                return False
         else:
             last = 1 << (m - 1 + edits - column)
             distance += bool(right_rise & last) - bool(right_fall & last)
@@ -152,6 +190,36 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _by_grams(lines: DataFrame, edits: int) -> DataFrame:
+    """Buckets of the lines by their rarest grams, for lines of which too many share a segment: `key`, `node`, `info` 0."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for part in common.slices(batch, "line"):
+                found = np.concatenate([grams(line) for line in common.texts_of(part, "line")])
+                total += np.bincount((found % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], ["slot", "times"])
+
+    lines = common.stored(lines, "full-lines")
+    times = np.zeros(SLOTS, np.int64)
+    # At most `SLOTS` rows, whatever the number of lines.
+    for row in lines.mapInArrow(count, "slot long, times long").groupBy("slot").agg(F.sum("times").alias("times")).collect():
+        times[row.slot] = row.times
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch, "line"):
+                found = [rarest(grams(line), times, edits) for line in common.texts_of(part, "line")]
+                nodes = np.repeat(part.column("node").to_numpy(), [len(own) for own in found])
+                flat = np.concatenate(found).view(np.int64)
+                columns = [pa.array(flat), pa.array(nodes, pa.int64()), pa.array(np.zeros(len(flat), np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "info"])
+
+    return lines.mapInArrow(run, "key long, node long, info long")
+
+
 def removals(
     docs: DataFrame,
     edits: int = EDITS,
@@ -224,7 +292,12 @@ def removals(
     def fits(x: Column, y: Column) -> Column:
         return F.least(x, y) == 0
 
-    parts = links.linked(members, lambda info: info, fits, profile, close, verify)
+    def split(nodes: DataFrame) -> DataFrame:
+        return _by_grams(lines[0].join(nodes, "node").select("node", "line"), edits)
+
+    # Lines with fewer grams than an edit join needs can't be told apart by them.
+    finer = split if least - GRAM >= GRAM * edits else None
+    parts = links.linked(members, lambda info: info, fits, profile, close, verify, barren=lambda info: info > 0, split=finer)
     small = items.select("l1", "l2", "first", "times", "node")
     named = small.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     heads = named.where("component IS NOT NULL").groupBy("part").agg(F.min("first").alias("head"))

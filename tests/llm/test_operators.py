@@ -487,9 +487,37 @@ def test_edit_distance_and_keys():
             assert set(x[: edits + 1]) & set(y) or set(y[: edits + 1]) & set(x)
 
 
-def test_lines_equal_brute_force(spark):
+def test_edit_distance_of_long_lines():
+    rng = random.Random(2)
+    a = "".join(rng.choices("abcdef ", k=400_000))
+    near = "x" + a[1:200_000] + a[200_001:] + "y"
+    assert near_lines.within(a, near, 3) and not near_lines.within(a, near, 2)
+    assert near_lines.within("".join(["x", a[1:-1], "y"]), a, 2)
+    assert not near_lines.within(a, a[::-1], 2)
+
+
+def test_linked_lines_share_a_rare_gram():
+    """Whatever the order of the grams, for changes at the places that change most of them."""
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        edits = int(rng.integers(1, 3))
+        a = "".join(rng.choice(list("ab "), 30 + int(rng.integers(0, 12))))
+        b = list(a)
+        for at in sorted(rng.integers(0, len(a) - 2, edits).tolist(), reverse=True):
+            b[at : at + 1] = [["c"], [], [b[at], "c"]][int(rng.integers(0, 3))]
+        times = rng.integers(0, 9, near_lines.SLOTS)
+        x, y = (near_lines.rarest(near_lines.grams(line), times, edits) for line in (a, "".join(b)))
+        assert len(set(x)) == len(x) == near_lines.GRAM * edits + 1 and set(x) & set(y)
+
+
+@pytest.mark.parametrize("full", [links.FULL, 1])
+def test_lines_equal_brute_force(spark, monkeypatch, full):
+    monkeypatch.setattr(links, "FULL", full)
     rng = random.Random(8)
     lines = [words(rng, 12) for _ in range(15)]
+    start = words(rng, 12)
+    lines += [start + words(rng, 3) for _ in range(12)]  # one template: no links, but shared segments
+    lines += [line[:-2] + "q" for line in lines[-4:]]
     lines += [line[:9] + "x" + line[10:] for line in lines[:6]] + [line + "zz" for line in lines[:5]] + [lines[2][3:]]
     texts = ["\n".join(rng.choices([*lines, "short", ""], k=rng.randint(1, 8))) for _ in range(30)]
     spots = [(k, n, line) for k, t in enumerate(texts) for n, line in enumerate(t.split("\n")) if len(line) >= 30]

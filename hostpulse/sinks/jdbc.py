@@ -9,6 +9,9 @@ a micro-batch that is run again would insert all of them twice. Each batch there
 3. from staging to the target in one transaction, which first checks that staging holds every row
    exactly once and removes what an earlier run of the same batch left.
 
+Staged rows name the query and batch that they are for. The transaction that publishes a batch also deletes what is staged
+for it and for earlier ones: by attempts that failed, and by tasks that went on after theirs was given up.
+
 A new checkpoint starts its batch ids at zero again, so it needs a new `query_name`.
 """
 
@@ -76,14 +79,20 @@ def storable(rows: DataFrame, arrays_as_json: bool) -> DataFrame:
     )
 
 
-def staged_rows(rows: DataFrame, attempt: str, connections: int) -> DataFrame:
-    """Rows with their number and the attempt they belong to.
+def staged_rows(
+    rows: DataFrame, attempt: str, connections: int, query_name: str = "", batch_id: int = 0
+) -> DataFrame:
+    """Rows with their number and the attempt, query and batch they belong to.
 
     The number follows from the files read and the position in them, so a task that runs again gives
     its rows the same numbers.
     """
-    numbered = rows.withColumn("row_no", F.monotonically_increasing_id()).withColumn(
-        "attempt", F.lit(attempt)
+    numbered = rows.select(
+        "*",
+        F.monotonically_increasing_id().alias("row_no"),
+        F.lit(attempt).alias("attempt"),
+        F.lit(query_name).alias("for_query"),
+        F.lit(batch_id).cast("bigint").alias("for_batch"),
     )
     return numbered.coalesce(connections)
 
@@ -95,10 +104,13 @@ def count_statement(staging: str, attempt: str) -> Statement:
     )
 
 
-def publish_statements(
-    table: str, staging: str, columns: list[str], query_name: str, batch_id: int, attempt: str
-) -> list[Statement]:
-    names = ", ".join(f'"{name}"' for name in columns)
+def _listed(columns: list[str]) -> str:
+    return ", ".join(f'"{name}"' for name in columns)
+
+
+def target_statements(table: str, staging: str, columns: list[str]) -> list[Statement]:
+    """Makes the target; needed once for each writer."""
+    names = _listed(columns)
     index = f"{table.rsplit('.', 1)[-1]}_by_batch"
     return [
         (
@@ -109,6 +121,14 @@ def publish_statements(
         ),
         # Without it the delete below would read the whole table for every micro-batch.
         (f"CREATE INDEX IF NOT EXISTS {index} ON {table} (query_name, batch_id)", ()),
+    ]
+
+
+def publish_statements(
+    table: str, staging: str, columns: list[str], query_name: str, batch_id: int, attempt: str
+) -> list[Statement]:
+    names = _listed(columns)
+    return [
         (f"DELETE FROM {table} WHERE query_name = ? AND batch_id = ?", (query_name, batch_id)),
         (
             f"INSERT INTO {table} ({names}, query_name, batch_id) "
@@ -116,7 +136,8 @@ def publish_statements(
             f"FROM {staging} WHERE attempt = ?",
             (query_name, batch_id, attempt),
         ),
-        (f"DELETE FROM {staging} WHERE attempt = ?", (attempt,)),
+        # One batch of a query is in flight at a time, so nothing still needs what is staged up to this one.
+        (f"DELETE FROM {staging} WHERE for_query = ? AND for_batch <= ?", (query_name, batch_id)),
     ]
 
 
@@ -179,8 +200,10 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The function for `foreachBatch`. `stage` and `transaction` are what touches the database."""
     staging = f"{table}_staging"
+    made = False
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal made
         spark = batch.sparkSession
         # One batch of a query is in flight at a time, so each may overwrite the one before.
         path = f"{folder}/{query_name}"
@@ -196,10 +219,12 @@ def batch_writer(
 
         for left in reversed(range(attempts)):
             attempt = uuid.uuid4().hex
-            stage(staged_rows(rows, attempt, connections), staging)
-            publish = publish_statements(table, staging, columns, query_name, batch_id, attempt)
+            stage(staged_rows(rows, attempt, connections, query_name, batch_id), staging)
+            publish = [] if made else target_statements(table, staging, columns)
+            publish += publish_statements(table, staging, columns, query_name, batch_id, attempt)
             try:
                 transaction(count_statement(staging, attempt), complete, publish)
+                made = True
                 return
             except IncompleteStaging:
                 if left == 0:

@@ -8,7 +8,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from hostpulse.sinks.jdbc import IncompleteStaging, batch_writer, staged_rows, storable
+from hostpulse.config import Secret
+from hostpulse.sinks.jdbc import Database, IncompleteStaging, batch_writer, jdbc_transaction, staged_rows, storable
 
 
 class Engine:
@@ -16,6 +17,7 @@ class Engine:
         self.connection = duckdb.connect()
         self.repeat_next = 0
         self.fail_next_publish = False
+        self.texts = []
 
     def stage(self, rows, staging):
         arrow = rows.toArrow()  # noqa: F841
@@ -33,6 +35,7 @@ class Engine:
         try:
             check(self.connection.execute(*count).fetchone())
             for text, values in rest:
+                self.texts.append(text)
                 self.connection.execute(text, values)
                 if self.fail_next_publish and text.startswith("DELETE"):
                     self.fail_next_publish = False
@@ -42,6 +45,9 @@ class Engine:
             self.connection.execute("ROLLBACK")
             raise
 
+    def staged(self):
+        return self.connection.execute("SELECT count(*) FROM t_staging").fetchone()[0]
+
     def rows(self, columns="*"):
         return self.connection.execute(f"SELECT {columns} FROM t ORDER BY ALL").fetchall()
 
@@ -103,6 +109,116 @@ def test_a_publish_that_fails_midway_changes_nothing(spark, engine, writer):
     assert engine.rows("id") == [(i,) for i in range(10)]
 
 
+def test_staging_is_empty_after_failures(spark, engine, writer):
+    engine.repeat_next = 3
+    with pytest.raises(IncompleteStaging):
+        writer(batch(spark, 0, 10), 0)
+    assert engine.staged() == 39
+    writer(batch(spark, 0, 10), 0)
+    assert engine.staged() == 0
+    engine.fail_next_publish = True
+    with pytest.raises(ConnectionError):
+        writer(batch(spark, 10, 20), 1)
+    assert engine.staged() == 10
+    writer(batch(spark, 10, 20), 1)
+    assert engine.staged() == 0 and engine.rows("id") == [(i,) for i in range(20)]
+
+
+def test_a_task_that_goes_on_after_its_batch_leaves_nothing(spark, engine, writer):
+    writer(batch(spark, 0, 10), 0)
+    engine.stage(staged_rows(batch(spark, 0, 3), "old", 2, "q", 0), "t_staging")
+    engine.stage(staged_rows(batch(spark, 0, 4), "own", 2, "another", 0), "t_staging")
+    writer(batch(spark, 10, 20), 1)
+    assert engine.rows("id") == [(i,) for i in range(20)]
+    assert engine.connection.execute("SELECT DISTINCT for_query FROM t_staging").fetchall() == [("another",)]
+    assert engine.staged() == 4
+
+
+def test_the_target_is_made_once(spark, engine, writer):
+    engine.fail_next_publish = True
+    with pytest.raises(ConnectionError):
+        writer(batch(spark, 0, 5), 0)
+    engine.texts.clear()
+    for number in range(3):
+        writer(batch(spark, 0, 5), number)
+    assert sum(text.startswith("CREATE") for text in engine.texts) == 2
+    assert len(engine.rows()) == 15
+
+
+class Recorder:
+    """Stands in for the classes of a database driver and notes what is called on them."""
+
+    def __init__(self, found=(5, 5), failing=None):
+        self.calls, self.found, self.failing = [], found, failing
+
+    def __getattr__(self, name):
+        if name in ("java", "lang", "util", "sql", "Thread", "Connection"):
+            return self
+        if name == "TRANSACTION_REPEATABLE_READ":
+            return 4
+
+        def call(*values):
+            self.calls.append((name, *values))
+            if name == "getLong":
+                return self.found[values[0] - 1]
+            if name == "prepareStatement" and values[0] == self.failing:
+                raise ConnectionError("lost")
+            return self
+
+        return call
+
+
+def transacted(recorder, check):
+    class Session:
+        _jvm = recorder
+
+    database = Database("jdbc:x", driver="a.Driver", user="u", password=Secret(lambda: "p"), extra={})
+    jdbc_transaction(Session, database)(("COUNT ?", ("a",)), check, [("ONE ?, ?", (1, "x")), ("TWO", ())])
+
+
+def test_driver_calls_of_a_transaction():
+    recorder, seen = Recorder(), []
+    transacted(recorder, seen.append)
+    assert seen == [(5, 5)]
+    assert [call for call in recorder.calls if call[0] == "setProperty"] == [
+        ("setProperty", "driver", "a.Driver"),
+        ("setProperty", "user", "u"),
+        ("setProperty", "password", "p"),
+    ]
+    names = [call[0] for call in recorder.calls]
+    assert recorder.calls[names.index("setAutoCommit") :] == [
+        ("setAutoCommit", False),
+        ("setTransactionIsolation", 4),
+        ("prepareStatement", "COUNT ?"),
+        ("setObject", 1, "a"),
+        ("executeQuery",),
+        ("next",),
+        ("getLong", 1),
+        ("getLong", 2),
+        ("prepareStatement", "ONE ?, ?"),
+        ("setObject", 1, 1),
+        ("setObject", 2, "x"),
+        ("executeUpdate",),
+        ("prepareStatement", "TWO"),
+        ("executeUpdate",),
+        ("commit",),
+        ("close",),
+    ]
+
+
+@pytest.mark.parametrize("failing", ["COUNT ?", "ONE ?, ?", "TWO", None])
+def test_a_failed_transaction_is_rolled_back_and_closed(failing):
+    def check(found):
+        if failing is None:
+            raise IncompleteStaging("rows missing")
+
+    recorder = Recorder(failing=failing)
+    with pytest.raises((ConnectionError, IncompleteStaging)):
+        transacted(recorder, check)
+    names = [call[0] for call in recorder.calls]
+    assert names[-2:] == ["rollback", "close"] and "commit" not in names
+
+
 def test_empty_batch(spark, engine, writer):
     writer(batch(spark, 0, 10), 0)
     writer(batch(spark, 0, 0), 1)

@@ -19,7 +19,6 @@ besides the id and the text are kept by `dedup` and never looked at. An empty ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +35,8 @@ RANGES = 16
 #: Letters of the strings by which the lines of a full bucket are told apart, and the slots of their frequency table.
 GRAM = 4
 SLOTS = 1 << 16
+#: Lengths of lines whose places are remembered by a task.
+LENGTHS = 4096
 #: What stands between words, besides the line's end.
 BLANKS = " \t\x0b\f\r"
 
@@ -52,7 +53,6 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-@lru_cache(maxsize=4096)
 def _spots(n: int, edits: int) -> list[tuple[int, int, int]]:
     """Number, beginning and end, in bytes, of what is hashed of a line of `n` letters: first its own segments."""
     own = [(n * 31 + i, start, size) for i, (start, size) in enumerate(segments(n, edits))]
@@ -67,10 +67,18 @@ def _spots(n: int, edits: int) -> list[tuple[int, int, int]]:
     return [(number, 4 * at, 4 * (at + size)) for number, at, size in own + others]
 
 
-def keys(line: str, edits: int) -> list[int]:
-    """Hashes of the line's own segments, then of the other substrings with which it probes lines no longer than itself."""
+def keys(line: str, edits: int, known: dict | None = None) -> list[int]:
+    """Hashes of the line's own segments, then of the other substrings with which it probes lines no longer than itself.
+
+    `known` remembers the places by length, for up to `LENGTHS` lengths.
+    """
     data, digest = line.encode("utf-32-le", "surrogatepass"), xxhash.xxh3_64_intdigest
-    found = [digest(data[start:end], number) - (1 << 63) for number, start, end in _spots(len(line), edits)]
+    known = {} if known is None else known
+    if (spots := known.get(len(line))) is None:
+        if len(known) >= LENGTHS:
+            known.clear()
+        spots = known[len(line)] = _spots(len(line), edits)
+    found = [digest(data[start:end], number) - (1 << 63) for number, start, end in spots]
     own = found[: edits + 1]
     return own + sorted(set(found).difference(own))
 
@@ -161,6 +169,7 @@ def _occurrences(rows: DataFrame, edits: int, least: int, short: bool) -> DataFr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
             for part in common.slices(batch, "text"):
                 owners, numbers, digests, flat, ends = [], [], [], [], [0]
@@ -171,7 +180,7 @@ def _occurrences(rows: DataFrame, edits: int, least: int, short: bool) -> DataFr
                             owners.append(owner), numbers.append(number)
                             digests.append(xxhash.xxh3_128_digest(line.encode()))
                             if long:
-                                flat += keys(line, edits)
+                                flat += keys(line, edits, known)
                             ends.append(len(flat))
                 both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 columns = [part.column(name).take(pa.array(owners, pa.int64())) for name in ("k1", "k2", "known")]

@@ -36,7 +36,7 @@ for name in {names!r}:
 
 
 @pytest.mark.parametrize(
-    "names", [["op1_bpe", "op3_toxicity", "op8_packing", "op11_pii"], ["op12_divergence", "op13_centroids", "op9_simhash", "pipeline"]]
+    "names", [["op1_bpe", "op3_toxicity", "op8_packing", "op11_pii"], ["op12_divergence", "op13_centroids", "op9_simhash", "op6_lines", "pipeline"]]
 )
 def test_workers_without_the_package(tmp_path, names):
     script = tmp_path / "alone.py"

@@ -50,20 +50,31 @@ class _Best:
         self.rows: list[pa.Table | None] = [None] * len(unit_queries)
         self.floor = np.full(len(unit_queries), -np.inf)
         self.waiting: list[pa.Table] = []
+        self.units = np.empty((0, unit_queries.shape[1]))
+        self.filled = 0
         self.group = max(1, SCORED_BYTES // (8 * unit_queries.shape[1]))
 
     def add(self, rows: pa.Table) -> None:
-        self.waiting.append(rows)
-        if sum(map(len, self.waiting)) >= self.group:
+        """Only unit rows and ids wait for their group, and in one copy: a batch is let go as soon as it is read."""
+        dims = self.queries.shape[1]
+        end = self.filled + len(rows)
+        if end > len(self.units):
+            units = np.empty((self.group + len(rows), dims))
+            units[: self.filled] = self.units[: self.filled]
+            self.units = units
+        self.units[self.filled : end] = _matrix(rows.column(self.vector).combine_chunks(), dims)
+        self.filled = end
+        # Taken, since columns of a batch share one buffer and ids by reference would hold its vectors.
+        self.waiting.append(rows.select(self.ties).take(pa.array(np.arange(len(rows)))))
+        if self.filled >= self.group:
             self._score()
 
     def _score(self) -> None:
         waiting, self.waiting = self.waiting, []
-        if not sum(map(len, waiting)) or not len(self.queries):
+        units, self.filled = self.units[: self.filled], 0
+        if not len(units) or not len(self.queries):
             return
-        rows = pa.concat_tables(waiting).combine_chunks()
-        units = _matrix(rows.column(self.vector).combine_chunks(), self.queries.shape[1])
-        ties = rows.select(self.ties)
+        ties = pa.concat_tables(waiting).combine_chunks()
         # A million similarities at a time, whatever the number of queries.
         step = max(1, 1_000_000 // len(units))
         for start in range(0, len(self.queries), step):
@@ -102,6 +113,14 @@ class _Best:
                 ).to_batches()
 
 
+def _made_once(rows: DataFrame, vector: str) -> DataFrame:
+    """The vector generated rather than projected.
+
+    A filter on a projected vector moves below the projection, and the encoder runs once more there.
+    """
+    return rows.withColumn(vector, F.explode(F.array(vector)))
+
+
 def width_of(rows: DataFrame, vector: str) -> int | None:
     """Width of the vectors, read from one of them; None if there is none. `nearest` checks the others as it reads them."""
     first = rows.where(F.col(vector).isNotNull()).select(F.size(vector).alias("width")).first()
@@ -146,6 +165,7 @@ def nearest(
     Queries that take no more than `max_query_bytes` go to every task in one pass over the vectors, more of them in as many passes
     as they fill. Vectors are never shuffled. What the tasks pass on is merged for each query in two steps, by groups of tasks first.
     """
+    vectors, queries = _made_once(vectors, vector), _made_once(queries, query_vector)
     if dims is None:
         dims = _query_width(queries, query_vector) or 0
     usable = queries.where(F.size(query_vector) == dims).select(query_id, query_vector)

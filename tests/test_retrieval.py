@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
+from hostpulse.functions.embedding import Calls, embed
 from hostpulse.operators import retrieve
 from hostpulse.operators.retrieve import nearest
 
@@ -97,6 +99,39 @@ def test_many_groups_of_rows(monkeypatch):
     assert found[0] == found[1] == found[2]
 
 
+def test_waiting_rows_do_not_hold_their_batches(tmp_path):
+    random = np.random.default_rng(4)
+    schema = pa.schema([("id", pa.int64()), ("v", pa.list_(pa.float64()))])
+    with pa.OSFile(str(tmp_path / "rows"), "wb") as file, pa.ipc.new_stream(file, schema) as out:
+        for start in range(0, 10_000, 1000):
+            ids = pa.array(range(start, start + 1000))
+            out.write(pa.record_batch([ids, pa.array(list(random.normal(size=(1000, 64))), schema.field("v").type)], schema=schema))
+    best = retrieve._Best(np.eye(64)[:2], 5, ["id"], "v", 6)
+    before = pa.total_allocated_bytes()
+    with pa.OSFile(str(tmp_path / "rows")) as file:
+        for batch in pa.ipc.open_stream(file):
+            best.add(pa.Table.from_batches([batch]))
+    del batch
+    # Ids of ten batches take 80 KB, their vectors 5 MB.
+    assert pa.total_allocated_bytes() - before < 1 << 20
+    assert sum(b.num_rows for b in best.results(pa.array([0, 1]), "q")) == 10
+
+
+@pytest.mark.parametrize("audit", [None, "audit"])
+def test_each_text_is_embedded_once(spark, audit):
+    """The checks of the vectors do not call the encoder again."""
+    logs, questions = Calls(spark.sparkContext), Calls(spark.sparkContext)
+    rows = spark.createDataFrame([(i, f"user {i}") for i in range(250)], "id int, t string").repartition(3)
+    asked = spark.createDataFrame([(0, "user 7"), (1, "user 8")], "query_id int, t string")
+    found = rows.select("id", embed(F.col("t"), calls=logs).alias("embedding"))
+    wanted = asked.select("query_id", embed(F.col("t"), calls=questions).alias("query_vector"))
+    got = nearest(found, wanted, 1, id_cols=["id"], audit=audit, strict=True).collect()
+    assert sorted((q, i, s) for q, i, s, _ in got) == [(0, 7, 1.0), (1, 8, 1.0)]
+    assert logs.figures()[1] == 250
+    # Their width is read in one job, they themselves in another.
+    assert questions.figures()[1] <= 2 * 2
+
+
 def test_text_ids_and_two_id_columns(spark):
     rows = spark.createDataFrame(
         [("b", 1, [1.0] * DIMS), ("a", 2, [1.0] * DIMS), ("a", 1, [1.0] * DIMS)],
